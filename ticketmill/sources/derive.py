@@ -1,0 +1,80 @@
+"""Deterministic tickets out of the `orders` table, with integer arithmetic only.
+
+Every order is one ticket; every tenth arrives again with a later version and
+every 35th with an older version that comes late, so that deduplication, upsert
+guards and lookback windows have something to do.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from .. import schema
+
+REPLAY_DELAY = 40 * 86400
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _add(ts: Column, seconds: Column) -> Column:
+    return F.timestamp_add("SECOND", seconds.cast("bigint"), ts)
+
+
+def tickets_from_orders(orders: DataFrame) -> DataFrame:
+    k = F.col("o_orderkey")
+    # The session zone is UTC, so the NTZ order date becomes the same UTC instant.
+    base = orders.select(
+        k, "o_custkey", "o_orderstatus", "o_orderpriority",
+        _add(F.col("o_orderdate").cast("timestamp"), (k * 7919) % 86400).alias("prblm_sysdate"),
+        F.explode(F.array_compact(F.array(
+            F.lit(0), F.when(k % 10 == 0, F.lit(1)), F.when(k % 35 == 0, F.lit(2))))).alias("ver"))
+    ver, created = F.col("ver"), F.col("prblm_sysdate")
+    status = (F.when(ver == 2, F.lit(1))
+              .when((ver == 1) | (F.col("o_orderstatus") == "F"), F.lit(5))
+              .when(F.col("o_orderstatus") == "O", 1 + k % 2)
+              .otherwise(3 + k % 2))
+    updated = F.when(ver == 2, _add(created, F.lit(-1))).otherwise(
+        _add(created, (k * 104729) % 2592000 + ver * 86400))
+    responded = F.when(k % 17 != 0, _add(created, 1800 + (k * 6151) % 100000))
+    staged = base.withColumns({
+        "prblm_status_id": status.cast("int"),
+        "prblm_updateddate": updated,
+        "prblm_preassignenddate": responded,
+    })
+    done = F.col("prblm_status_id") == 5
+    agent = F.concat(F.lit("EMP-"), (1000 + k % 50).cast("string"))
+    forwarded = k % 5 == 0
+    cols = {
+        "prblm_code": F.concat(F.lit("PRB-"), F.year("prblm_sysdate").cast("string"), F.lit("-"),
+                               F.lpad(k.cast("string"), 7, "0")),
+        "prblm_donedate": F.when(done, _add(F.col("prblm_updateddate"), (k * 31) % 7200)),
+        "prblm_preassignbegindate": _add(F.col("prblm_preassignenddate"), -((k * 7) % 1800)),
+        "prblm_source_id": 1 + ((k * 7919) % 104729) % 5,
+        "prblm_class_id": 1 + ((k * 6151) % 104723) % 20,
+        "prblm_intclass_id": 1 + k % 30,
+        "prblm_perform_id": F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(2))
+                             .when(F.col("o_orderpriority") == "2-HIGH", F.lit(1)),
+        "prblm_complain_id": F.when(k % 20 == 0, F.lit(3))
+                              .when((k % 20).isin(1, 2), F.lit(2)).otherwise(F.lit(1)),
+        "prblm_processuser": agent,
+        "prblm_doneuser": F.when(done, agent),
+        "prblm_sysuser": F.concat(F.lit("EMP-"), (2000 + k % 30).cast("string")),
+        "usr_id": F.when(k % 101 == 0, F.lit(None).cast("string"))
+                   .when(k % 103 == 0, F.lit("U1"))
+                   .otherwise(F.concat(F.lit("USR-"), F.lpad(F.col("o_custkey").cast("string"), 7, "0"))),
+        "prblm_name": F.when(k % 89 == 0, F.lit(None).cast("string"))
+                       .when(k % 97 == 0, F.lit(""))
+                       .when(k % 2 == 0, F.lit("王小明")).otherwise(F.lit("John")),
+        "gd_id": F.concat(F.lit("GD-"), F.lpad((k % 100000).cast("string"), 6, "0")),
+        "catsub_id": 1 + ((k * 3571) % 104717) % 10,
+        "supplier_id": 1 + k % 5000,
+        "prblm_doneatatime": done & (k % 7 < 3),
+        "prblm_forwarddatetime": F.when(forwarded, _add(created, 3600 + (k * 13) % 600000)),
+        "prblm_forwardtype": F.when(forwarded, 1 + k % 4),
+        "prblm_notasreason_id": F.when(k % 3 == 0, (1 + k % 20).cast("string")),
+        "prblm_notasowndept_id": F.when(k % 3 == 1, 1 + k % 15),
+        "ingested_at": _add(created, (k * 17) % 3600 + ver * REPLAY_DELAY),
+    }
+    return staged.select([cols.get(n, F.col(n)).cast(t).alias(n) for n, t in schema.RAW_COLUMNS])
