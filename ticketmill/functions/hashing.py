@@ -23,7 +23,7 @@ def stable_hash64_md5(value: Column) -> Column:
     """Leading 8 bytes of MD5, sign bit cleared. Never mix with stable_hash64 in a table."""
     text = F.coalesce(value.cast("string"), F.lit(NULL_TEXT))
     unsigned = F.conv(F.substring(F.md5(text), 1, 16), 16, 10).cast("decimal(20,0)")
-    return (unsigned % F.lit(MASK_63 + 1).cast("decimal(20,0)")).cast("bigint")
+    return (unsigned % F.lit(str(MASK_63 + 1)).cast("decimal(20,0)")).cast("bigint")
 
 
 def pii_hash(value: Column) -> Column:

@@ -50,13 +50,10 @@ def _unreadable_stamp(name: str) -> Column:
     return text.isNotNull() & parse_iso_timestamp(text).isNull()
 
 
-def to_feed(raw: DataFrame, chunks: int) -> DataFrame:
-    """Inverse of parse_feed: one message per (day, chunk) of the raw rows."""
+def to_feed(raw: DataFrame) -> DataFrame:
+    """Inverse of parse_feed: one message per row, without a shuffle."""
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     cells = [F.date_format(n, iso).alias(n) if isinstance(t, T.TimestampType) else F.col(n)
              for n, t in schema.RAW_COLUMNS]
-    return (raw.select(F.to_date("ingested_at").alias("_day"),
-                       F.pmod(F.xxhash64("prblm_code"), F.lit(chunks)).alias("_chunk"),
-                       F.struct(*cells).alias("_row"))
-            .groupBy("_day", "_chunk").agg(F.collect_list("_row").alias("rows"))
-            .select(F.to_json(F.struct("rows", F.size("rows").alias("count"))).alias("value")))
+    message = F.struct(F.array(F.struct(*cells)).alias("rows"), F.lit(1).alias("count"))
+    return raw.select(F.to_json(message).alias("value"))

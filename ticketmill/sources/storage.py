@@ -226,9 +226,9 @@ def compact(spark: SparkSession, path: str, partition_col: str, values: list,
         spark.conf.set(key, before)
 
 
-def file_counts(df: DataFrame, partition_col: str) -> DataFrame:
-    return (df.groupBy(partition_col)
-            .agg(F.countDistinct(F.input_file_name()).alias("files"), F.count("*").alias("n_rows")))
+def count_files(spark: SparkSession, path: str) -> int:
+    fs, target = _fs(spark, path)
+    return fs.getContentSummary(target).getFileCount()
 
 
 def bulk_load(build: Callable[[int], DataFrame], years: list[int], path: str,
