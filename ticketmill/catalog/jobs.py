@@ -1 +1,77 @@
+"""Jobs above single tables: nightly build, range backfill, audit."""
 
+from datetime import date, datetime
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
+
+from ..operators import quality as dq
+from ..plans import warehouse as w
+from ..plans.warehouse import AuditedRun, Warehouse
+from . import oracle as o
+from .core import AS_OF, Tables, query
+from .storage import SLICE, slices
+
+c = F.col
+CALENDAR = (date(1995, 1, 1), date(2001, 12, 31))
+
+
+@query("n1_daily_build", """
+SELECT 'silver' AS table_name, count(*) AS n_rows, count(*)::DOUBLE AS total FROM t_silver
+UNION ALL SELECT 'hour_long', count(*), sum(value_decimal) FROM t_long
+UNION ALL SELECT 'hour_wide', count(*), sum(total_tickets) FROM t_hourw
+UNION ALL SELECT 'day_wide', count(*), sum(total_tickets) FROM t_day
+UNION ALL SELECT 'month_wide', count(*), sum(total_tickets) FROM t_month
+UNION ALL SELECT 'mart_daily', count(*), sum(total_tickets) FROM m_daily
+UNION ALL SELECT 'mart_hourly', count(*), sum(total_tickets) FROM m_hourly
+UNION ALL SELECT 'mart_report', count(*), sum(total_tickets) FROM m_report""")
+def daily_build(t: Tables):
+    """The whole nightly run; its checks must pass, then every table is summed up."""
+    wh = Warehouse(t.scratch("warehouse"), "month_sk")
+    dq.enforce(w.daily_build(t.spark, wh, t.raw, AS_OF, CALENDAR))
+    totals = {"silver": F.count("*"), "hour_long": F.sum("value_decimal")}
+    return reduce(DataFrame.unionByName, [
+        wh.read(t.spark, name).agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("n_rows"),
+            totals.get(name, F.sum("total_tickets")).cast("double").alias("total"))
+        for name in ("silver", "hour_long", "hour_wide", "day_wide", "month_wide", "mart_daily",
+                     "mart_hourly", "mart_report")])
+
+
+@query("n2_range_backfill", f"""
+SELECT prblm_date, prblm_status_id, count(*)::DOUBLE AS total_tickets, sum(is_resolved)::DOUBLE AS resolved_tickets FROM (
+  SELECT *, row_number() OVER (PARTITION BY prblm_code ORDER BY prblm_updateddate DESC, ingested_at DESC) AS rn
+  FROM (SELECT *, (prblm_sysdate + INTERVAL 8 HOUR)::DATE AS prblm_date FROM t_bronze)
+  WHERE {SLICE} < 2 OR prblm_date BETWEEN DATE '1998-02-01' AND DATE '1998-05-31') WHERE rn = 1 GROUP BY ALL""")
+def range_backfill(t: Tables):
+    """Gold is built from the first two arrivals. The third reaches bronze only; the
+    backfill brings it into four months and leaves the others as they were."""
+    wh = Warehouse(t.scratch("warehouse"), "month_sk")
+    first, second, third = slices(t.raw)
+    w.run_batch(t.spark, wh, first.unionByName(second), AS_OF, "b-1")
+    w.append_bronze(wh, third, AS_OF, "b-2")
+    w.backfill(t.spark, wh, date(1998, 2, 10), date(1998, 5, 20), AS_OF)
+    return wh.read(t.spark, "day_wide").groupBy("prblm_date", "prblm_status_id").agg(
+        F.sum("total_tickets").alias("total_tickets"), F.sum("resolved_tickets").alias("resolved_tickets"))
+
+
+@query("n3_audit_log", """
+SELECT 'run-1' AS run_id, step, status, detail FROM (
+  SELECT 'bronze' AS step, 'success' AS status, count(*)::VARCHAR AS detail FROM t_raw
+  UNION ALL SELECT 'silver', 'success', count(*)::VARCHAR FROM t_silver
+  UNION ALL SELECT 'marts', 'failed', 'ValueError: bronze has ' || count(*) || ' rows' FROM t_raw)""")
+def audit_log(t: Tables):
+    """Two steps that succeed and one that fails leave three rows."""
+    wh = Warehouse(t.scratch("warehouse"))
+    run = AuditedRun(t.spark, wh, "run-1")
+    rows = run.step("bronze", t.bronze.count)
+    run.step("silver", t.silver.count)
+
+    def broken():
+        raise ValueError(f"bronze has {rows} rows")
+
+    try:
+        run.step("marts", broken)
+    except ValueError:
+        pass
+    return wh.read(t.spark, "audit").select("run_id", "step", "status", "detail")

@@ -66,18 +66,26 @@ def unique(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def relationships(df: DataFrame, parents: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Orphan counts against several parents: distinct child keys are joined, so a
-    parent of any size meets each key once and a frequent key costs one row."""
-    checks = []
-    for column, (parent, parent_key) in parents.items():
-        keys = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-        known = parent.select(F.col(parent_key).alias(column)).distinct().withColumn("_hit", F.lit(1))
-        checks.append(keys.join(known, column, "left").agg(
-            F.lit("relationships").alias("rule"), F.lit(column).alias("column_name"),
-            F.coalesce(F.sum(F.when(F.col("_hit").isNull(), F.col("n")).otherwise(0)), F.lit(0))
-            .cast("bigint").alias("failures"),
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("checked")))
-    return reduce(DataFrame.unionByName, checks)
+    """Orphan counts of several foreign keys in one scan of the child.
+
+    The child is reduced to its distinct (column, key) pairs with their counts
+    before it meets the parents, so a frequent key costs one row.
+    """
+    pairs = F.inline(F.array(*[
+        F.struct(F.lit(n).alias("column_name"), F.col(n).cast("string").alias("key")) for n in parents]))
+    used = (df.select(pairs).where(F.col("key").isNotNull())
+            .groupBy("column_name", "key").agg(F.count("*").alias("n")))
+    known = reduce(DataFrame.unionByName, [
+        parent.select(F.lit(n).alias("column_name"), F.col(k).cast("string").alias("key")).distinct()
+        for n, (parent, k) in parents.items()]).withColumn("_hit", F.lit(1))
+    found = used.join(known, ["column_name", "key"], "left").groupBy("column_name").agg(
+        F.sum(F.when(F.col("_hit").isNull(), F.col("n")).otherwise(0)).alias("failures"),
+        F.sum("n").alias("checked"))
+    names = df.sparkSession.createDataFrame([(n,) for n in parents], "column_name string")
+    return F.broadcast(names).join(found, "column_name", "left").select(
+        F.lit("relationships").alias("rule"), "column_name",
+        F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"),
+        F.coalesce("checked", F.lit(0)).cast("bigint").alias("checked"))
 
 
 def hash_collisions(df: DataFrame, key: str, natural: str) -> DataFrame:

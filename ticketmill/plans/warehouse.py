@@ -82,8 +82,12 @@ def incremental_append(source: DataFrame, path: str, column: str, overlap_minute
 # -- silver and facts --------------------------------------------------------------
 
 def merge_silver(wh: Warehouse, bronze_rows: DataFrame, as_of: datetime) -> list:
-    """Guarded merge of a bronze batch; returns the partitions it touched."""
-    batch = wh.tagged(layers.silver(bronze_rows, as_of))
+    """Guarded merge of a bronze batch; returns the partitions it touched.
+
+    The batch is not deduplicated beforehand: the merge ranks stored and new
+    versions together, so one ranking settles both.
+    """
+    batch = wh.tagged(layers.silver_columns(bronze_rows, as_of))
     return storage.upsert(batch, wh.path("silver"), ["prblm_code"], wh.partition_col,
                           ticket_version_order())
 
@@ -136,7 +140,7 @@ class AuditedRun:
 
     def step(self, name: str, action: Callable[[], object]) -> object:
         started, clock = datetime.now(timezone.utc), time.monotonic()
-        status, detail = "failed", ""
+        status, detail, result = "failed", "", None
         try:
             result = action()
             status = "success"
@@ -145,6 +149,7 @@ class AuditedRun:
             detail = f"{type(error).__name__}: {error}"[:2000]
             raise
         finally:
+            detail = str(result) if status == "success" and isinstance(result, int) else detail
             row = (self.run_id, name, status, started, time.monotonic() - clock, detail)
             storage.append(self.spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1),
                            self.wh.path("audit"))
@@ -160,9 +165,11 @@ def write_dims(spark: SparkSession, wh: Warehouse, first: date, last: date) -> N
 
 def gold_checks(spark: SparkSession, wh: Warehouse) -> DataFrame:
     days = wh.read(spark, "day_wide")
-    keys = ["catsub_id", "prblm_source_id", "prblm_perform_id", "prblm_status_id"]
+    dim_of = {"catsub_id": "dim_catsub", "prblm_source_id": "dim_prblm_source",
+              "prblm_perform_id": "dim_perform", "prblm_status_id": "dim_prblm_status"}
+    keys = list(dim_of)
     parents = {"prblm_date": (wh.read(spark, "dim_date"), "date_sk"),
-               **{k: (wh.read(spark, f"dim_{k.removesuffix('_id')}"), k) for k in keys}}
+               **{k: (wh.read(spark, d), k) for k, d in dim_of.items()}}
     hours = wh.read(spark, "hour_wide")
     return dq.run_checks([
         ("day_wide", dq.check_rows(days, [dq.not_null(c) for c in
