@@ -48,7 +48,7 @@ class Tables:
 
     @cached_property
     def hours(self) -> DataFrame:
-        return facts.hour_wide(self.long)
+        return facts.hour_totals(self.silver, AS_OF)
 
     @cached_property
     def days(self) -> DataFrame:
@@ -106,7 +106,7 @@ class Tables:
 
     @cached_property
     def case_hours(self) -> DataFrame:
-        return cases.case_hour_wide(self.case_long)
+        return cases.case_hour_totals(self.cases)
 
     @cached_property
     def case_days(self) -> DataFrame:

@@ -167,7 +167,7 @@ def _zero_null(names=o.CASE_FIELDS):
 
 @query("e17_cs_hour_wide", f"SELECT event_date, event_hour, month_sk, entity_sk, {_zero_null()} FROM c_hour")
 def cs_hour_wide(t: Tables):
-    return t.case_hours
+    return cases.case_hour_wide(t.case_long)
 
 
 @query("e17_cs_day_wide", f"SELECT event_date, month_sk, entity_sk, {_zero_null()} FROM c_day")
@@ -234,6 +234,7 @@ def fact_hour_long(t: Tables):
 
 @query("j4_fact_hour_wide", f"SELECT prblm_date, month_sk, prblm_hour, {o.KEYS5}, {SUMMED}, updated_at FROM t_hourw")
 def fact_hour_wide(t: Tables):
+    """From silver in one aggregate; e3 gives the same rows from the long fact."""
     return t.hours
 
 

@@ -24,10 +24,13 @@ def normalise_perform(perform: Column) -> Column:
     return F.when(~perform.isin(STANDARD_ALIASES), perform)
 
 
-def within_sla(response_hours: Column, perform: Column) -> Column:
-    limit = (F.when(perform.isNull(), SLA_HOURS[None])
-             .when(perform == SLA_EXPRESS, SLA_HOURS[SLA_EXPRESS])
-             .when(perform == SLA_URGENT, SLA_HOURS[SLA_URGENT]))
+def within_sla(response_hours: Column, perform: Column, strict: bool = False) -> Column:
+    """First response within the limit of its tier. Feeds send the standard tier as 99
+    or -1 too; a strict reading accepts NULL only."""
+    standard = perform.isNull() if strict else perform.isNull() | perform.isin(STANDARD_ALIASES)
+    limit = (F.when(perform == SLA_EXPRESS, SLA_HOURS[SLA_EXPRESS])
+             .when(perform == SLA_URGENT, SLA_HOURS[SLA_URGENT])
+             .when(standard, SLA_HOURS[None]))
     return _bit(response_hours <= limit)
 
 

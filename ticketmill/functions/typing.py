@@ -1,16 +1,15 @@
 from pyspark.sql import Column, functions as F
 
-# The two accepted timestamp shapes, after the UTC suffix is cut.
-ISO_FORMATS = ["yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss"]
+# Fixed value: date, T, time, at most six fraction digits, then nothing or a UTC suffix.
+ISO_UTC = r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?(\+00:00)?Z*$"
 
 
 def parse_iso_timestamp(text: Column) -> Column:
-    """UTC instant from ISO-8601 text; NULL when neither shape fits."""
-    bare = F.regexp_replace(F.rtrim(text, F.lit("Z")), r"\+00:00", "")
-    fraction = F.rpad(F.regexp_extract(bare, r"\.(\d{1,6})$", 1), 6, "0")
-    micros = F.concat(F.regexp_replace(bare, r"\.\d{1,6}$", ""), F.lit("."), fraction)
-    padded = F.when(bare.rlike(r"\.\d{1,6}$"), micros).otherwise(bare)
-    return F.coalesce(*[F.try_to_timestamp(padded, F.lit(f)) for f in ISO_FORMATS])
+    """UTC instant from ISO-8601 text; NULL when the shape or a field does not fit.
+
+    The session zone is UTC, so text without a suffix is UTC as well.
+    """
+    return F.when(text.rlike(ISO_UTC), F.rtrim(text, F.lit("Z")).try_cast("timestamp"))
 
 
 def cast_amount(text: Column) -> Column:

@@ -10,6 +10,7 @@ from .. import functions as fn
 from ..operators import registry as reg
 from ..operators.joins import attribute_map, decode, observed_combinations
 from ..operators.registry import CASES
+from ..schema import MEASURE
 
 # Category codes whose mail belongs to the shopping group.
 SHOPPING_MAIL = [49, 41, 43, 38, 53, 158, 44, 39, 37, 47, 45, 46, 50, 48, 74, 51, 42, 40]
@@ -49,7 +50,7 @@ def case_events(raw: DataFrame) -> DataFrame:
         *[f.alias(n) for n, f in flags.items()])
 
 
-def case_hour_long(events: DataFrame) -> DataFrame:
+def case_hour_agg(events: DataFrame) -> DataFrame:
     """Grouped on the natural keys; keys are hashed once per group, not once per row."""
     def hours(column: str) -> Column:
         # Fractions of an hour are whole minutes, so they add up exactly as integers.
@@ -65,15 +66,25 @@ def case_hour_long(events: DataFrame) -> DataFrame:
         F.sum("sla_8hr_met").alias("sla_8hr_met_count"),
         F.sum("sla_24hr_met").alias("sla_24hr_met_count"),
         F.sum("is_first_resolution").alias("first_resolution_count"))
-    return reg.unpivot(agg.withColumn("entity_sk", entity_sk()), CASES,
-                       ["event_date", "event_hour", "month_sk", "entity_sk"]).drop("value_double")
+    return agg.withColumn("entity_sk", entity_sk())
 
 
 CODES = [f.code for f in CASES.stored]
+HOUR_GRAIN = ["event_date", "event_hour", "month_sk", "entity_sk"]
+
+
+def case_hour_long(events: DataFrame) -> DataFrame:
+    return reg.unpivot(case_hour_agg(events), CASES, HOUR_GRAIN).drop("value_double")
+
+
+def case_hour_totals(events: DataFrame) -> DataFrame:
+    """The wide hours without the way through the long form; same rows."""
+    return case_hour_agg(events).select(*HOUR_GRAIN, *[
+        F.coalesce(c(n), F.lit(0)).cast(MEASURE).alias(n) for n in CODES])
 
 
 def case_hour_wide(long: DataFrame) -> DataFrame:
-    return (long.groupBy("event_date", "event_hour", "month_sk", "entity_sk")
+    return (long.groupBy(*HOUR_GRAIN)
             .agg(*reg.pivot_columns(CASES)))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import functions as fn
 from ..operators import registry as reg
 from ..operators.registry import TICKETS
-from ..schema import DAY_KEYS, HOUR_KEYS, MONTH_KEYS
+from ..schema import DAY_KEYS, HOUR_KEYS, MEASURE, MONTH_KEYS
 
 COUNTS = ["total_tickets", "resolved_tickets", "one_shot_resolved", "complain_tickets",
           "forwarded_tickets", "within_sla_tickets"]
@@ -50,6 +50,33 @@ def hour_long(silver: DataFrame, as_of: datetime) -> DataFrame:
     return long.withColumn("updated_at", fn.utc_instant(as_of))
 
 
+def hour_totals(silver: DataFrame, as_of: datetime) -> DataFrame:
+    """The hourly wide fact straight from silver.
+
+    Equal to pivoting the long fact, since pivoting an unpivoted aggregate gives
+    the aggregate back, at a tenth of the rows. Full builds use this one.
+    """
+    agg = hour_agg(silver)
+    def cell(f: str):
+        zero = F.coalesce(F.col(f), F.lit(0.0)) if f.endswith("_sum") else F.col(f).cast(MEASURE)
+        return zero.alias(PARTS.get(f, f))
+    return agg.select("prblm_date", fn.month_sk(F.col("prblm_date")).alias("month_sk"), *HOUR_KEYS[1:],
+                      *[cell(f) for f in [*COUNTS, *PARTS]], fn.utc_instant(as_of).alias("updated_at"))
+
+
+def long_from_wide(wide: DataFrame) -> DataFrame:
+    """Narrow form of stored hours: a map over the rows, without an aggregate."""
+    fields = {**{c: F.col(c) for c in COUNTS},
+              **{f: F.col(c) for f, c in PARTS.items()}}
+    for kind in ("resolution", "response"):
+        counted = F.col(f"cnt_{kind}_hours") > 0
+        fields[f"{kind}_hours_sum"] = F.when(counted, F.col(f"sum_{kind}_hours"))
+    keys = ["prblm_date", "month_sk", *HOUR_KEYS[1:]]
+    narrow = wide.select(*keys, *[c.alias(f) for f, c in fields.items()], "updated_at")
+    long = reg.unpivot(narrow, TICKETS, [*keys, "updated_at"])
+    return long.select(*keys, "field_sk", "value_decimal", "value_double", "updated_at")
+
+
 def hour_wide(long: DataFrame) -> DataFrame:
     keys = ["prblm_date", "month_sk", *HOUR_KEYS[1:]]
     wide = long.groupBy(*keys).agg(*reg.pivot_columns(TICKETS),

@@ -31,8 +31,6 @@ def bronze(raw: DataFrame, as_of: datetime, batch_id: str = "full",
 
     strict_perform keeps 99 and -1 outside the standard tier when judging the SLA.
     """
-    perform = F.col("prblm_perform_id")
-    tier = perform if strict_perform else fn.normalise_perform(perform)
     measured = raw.withColumns({
         "customer_name_masked": fn.mask_name(F.col("prblm_name")),
         "usr_pk": fn.pii_hash(F.col("usr_id")),
@@ -41,7 +39,8 @@ def bronze(raw: DataFrame, as_of: datetime, batch_id: str = "full",
         "response_hours": fn.duration_hours(F.col("prblm_sysdate"), F.col("prblm_preassignenddate")),
     }).withColumns({
         "is_resolved": fn.is_resolved(F.col("resolution_hours")),
-        "within_sla": fn.within_sla(F.col("response_hours"), tier),
+        "within_sla": fn.within_sla(
+            F.col("response_hours"), F.col("prblm_perform_id"), strict_perform),
         "bronze_created_at": fn.utc_instant(as_of),
     })
     return with_audit(measured, batch_id).select(

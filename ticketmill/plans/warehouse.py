@@ -101,8 +101,8 @@ def refresh_facts(spark: SparkSession, wh: Warehouse, touched: list, as_of: date
         return wh.read(spark, table).where(part.isin(touched))
 
     silver = wh.read(spark, "silver").where(part.isin(touched))
-    long = swap("hour_long", facts.hour_long(silver, as_of))
-    hours = swap("hour_wide", facts.hour_wide(long))
+    hours = swap("hour_wide", facts.hour_totals(silver, as_of))
+    swap("hour_long", facts.long_from_wide(hours))
     swap("day_wide", facts.day_wide(hours))
     refresh_months(spark, wh, touched)
 

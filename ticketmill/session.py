@@ -18,16 +18,24 @@ REQUIRED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # HotSpot does not compile methods beyond 8000 bytes of bytecode, so one huge
+    # generated method runs interpreted. Below the limit Spark splits it instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+# Settings that only a new session can take: call sites of every column expression
+# are not recorded, which halves the time to build a wide plan.
+AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def build_session(app: str = "ticketmill", master: str | None = None,
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in REQUIRED.items():
+    for key, value in {**REQUIRED, **AT_START}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

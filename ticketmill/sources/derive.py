@@ -7,74 +7,73 @@ guards and lookback windows have something to do.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from .. import schema
+from .storage import size_bytes
 
 REPLAY_DELAY = 40 * 86400
+SPREAD_FROM = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A stored table. One that is too small to give every core a split is spread once;
+    a large one is read as it lies."""
+    path = f"{sf_dir}/{name}.parquet"
+    df, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    if SPREAD_FROM < size_bytes(spark, path) < cores * split:
+        return df.repartition(cores)
+    return df
 
 
-def _add(ts: Column, seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds.cast("bigint"), ts)
+def _add(ts: str, seconds: str) -> str:
+    return f"timestampadd(SECOND, CAST({seconds} AS BIGINT), {ts})"
+
+
+# Versions of an order, its own columns, and what the other columns build on.
+_VERSIONS = """explode(array_compact(array(
+    0, CASE WHEN o_orderkey % 10 = 0 THEN 1 END, CASE WHEN o_orderkey % 35 = 0 THEN 2 END))) AS ver"""
+_BASE = {
+    "prblm_status_id": """CASE WHEN ver = 2 THEN 1 WHEN ver = 1 OR o_orderstatus = 'F' THEN 5
+                               WHEN o_orderstatus = 'O' THEN 1 + k % 2 ELSE 3 + k % 2 END""",
+    "prblm_updateddate": f"""CASE WHEN ver = 2 THEN {_add('prblm_sysdate', '-1')}
+                                  ELSE {_add('prblm_sysdate', '(k * 104729) % 2592000 + ver * 86400')} END""",
+    "prblm_preassignenddate": f"CASE WHEN k % 17 <> 0 THEN {_add('prblm_sysdate', '1800 + (k * 6151) % 100000')} END",
+}
+_COLUMNS = {
+    "prblm_code": "concat('PRB-', year(prblm_sysdate), '-', lpad(k, 7, '0'))",
+    "prblm_donedate": f"CASE WHEN prblm_status_id = 5 THEN {_add('prblm_updateddate', '(k * 31) % 7200')} END",
+    "prblm_preassignbegindate": _add("prblm_preassignenddate", "-((k * 7) % 1800)"),
+    "prblm_source_id": "1 + ((k * 7919) % 104729) % 5",
+    "prblm_class_id": "1 + ((k * 6151) % 104723) % 20",
+    "prblm_intclass_id": "1 + k % 30",
+    "prblm_perform_id": "CASE o_orderpriority WHEN '1-URGENT' THEN 2 WHEN '2-HIGH' THEN 1 END",
+    "prblm_complain_id": "CASE WHEN k % 20 = 0 THEN 3 WHEN k % 20 IN (1, 2) THEN 2 ELSE 1 END",
+    "prblm_processuser": "concat('EMP-', 1000 + k % 50)",
+    "prblm_doneuser": "CASE WHEN prblm_status_id = 5 THEN concat('EMP-', 1000 + k % 50) END",
+    "prblm_sysuser": "concat('EMP-', 2000 + k % 30)",
+    "usr_id": """CASE WHEN k % 101 = 0 THEN NULL WHEN k % 103 = 0 THEN 'U1'
+                      ELSE concat('USR-', lpad(o_custkey, 7, '0')) END""",
+    "prblm_name": """CASE WHEN k % 89 = 0 THEN NULL WHEN k % 97 = 0 THEN ''
+                          WHEN k % 2 = 0 THEN '王小明' ELSE 'John' END""",
+    "gd_id": "concat('GD-', lpad(k % 100000, 6, '0'))",
+    "catsub_id": "1 + ((k * 3571) % 104717) % 10",
+    "supplier_id": "1 + k % 5000",
+    "prblm_doneatatime": "prblm_status_id = 5 AND k % 7 < 3",
+    "prblm_forwarddatetime": f"CASE WHEN k % 5 = 0 THEN {_add('prblm_sysdate', '3600 + (k * 13) % 600000')} END",
+    "prblm_forwardtype": "CASE WHEN k % 5 = 0 THEN 1 + k % 4 END",
+    "prblm_notasreason_id": "CASE WHEN k % 3 = 0 THEN 1 + k % 20 END",
+    "prblm_notasowndept_id": "CASE WHEN k % 3 = 1 THEN 1 + k % 15 END",
+    "ingested_at": _add("prblm_sysdate", f"(k * 17) % 3600 + ver * {REPLAY_DELAY}"),
+}
 
 
 def tickets_from_orders(orders: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
     # The session zone is UTC, so the NTZ order date becomes the same UTC instant.
-    base = orders.select(
-        k, "o_custkey", "o_orderstatus", "o_orderpriority",
-        _add(F.col("o_orderdate").cast("timestamp"), (k * 7919) % 86400).alias("prblm_sysdate"),
-        F.explode(F.array_compact(F.array(
-            F.lit(0), F.when(k % 10 == 0, F.lit(1)), F.when(k % 35 == 0, F.lit(2))))).alias("ver"))
-    ver, created = F.col("ver"), F.col("prblm_sysdate")
-    status = (F.when(ver == 2, F.lit(1))
-              .when((ver == 1) | (F.col("o_orderstatus") == "F"), F.lit(5))
-              .when(F.col("o_orderstatus") == "O", 1 + k % 2)
-              .otherwise(3 + k % 2))
-    updated = F.when(ver == 2, _add(created, F.lit(-1))).otherwise(
-        _add(created, (k * 104729) % 2592000 + ver * 86400))
-    responded = F.when(k % 17 != 0, _add(created, 1800 + (k * 6151) % 100000))
-    staged = base.withColumns({
-        "prblm_status_id": status.cast("int"),
-        "prblm_updateddate": updated,
-        "prblm_preassignenddate": responded,
-    })
-    done = F.col("prblm_status_id") == 5
-    agent = F.concat(F.lit("EMP-"), (1000 + k % 50).cast("string"))
-    forwarded = k % 5 == 0
-    cols = {
-        "prblm_code": F.concat(F.lit("PRB-"), F.year("prblm_sysdate").cast("string"), F.lit("-"),
-                               F.lpad(k.cast("string"), 7, "0")),
-        "prblm_donedate": F.when(done, _add(F.col("prblm_updateddate"), (k * 31) % 7200)),
-        "prblm_preassignbegindate": _add(F.col("prblm_preassignenddate"), -((k * 7) % 1800)),
-        "prblm_source_id": 1 + ((k * 7919) % 104729) % 5,
-        "prblm_class_id": 1 + ((k * 6151) % 104723) % 20,
-        "prblm_intclass_id": 1 + k % 30,
-        "prblm_perform_id": F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(2))
-                             .when(F.col("o_orderpriority") == "2-HIGH", F.lit(1)),
-        "prblm_complain_id": F.when(k % 20 == 0, F.lit(3))
-                              .when((k % 20).isin(1, 2), F.lit(2)).otherwise(F.lit(1)),
-        "prblm_processuser": agent,
-        "prblm_doneuser": F.when(done, agent),
-        "prblm_sysuser": F.concat(F.lit("EMP-"), (2000 + k % 30).cast("string")),
-        "usr_id": F.when(k % 101 == 0, F.lit(None).cast("string"))
-                   .when(k % 103 == 0, F.lit("U1"))
-                   .otherwise(F.concat(F.lit("USR-"), F.lpad(F.col("o_custkey").cast("string"), 7, "0"))),
-        "prblm_name": F.when(k % 89 == 0, F.lit(None).cast("string"))
-                       .when(k % 97 == 0, F.lit(""))
-                       .when(k % 2 == 0, F.lit("王小明")).otherwise(F.lit("John")),
-        "gd_id": F.concat(F.lit("GD-"), F.lpad((k % 100000).cast("string"), 6, "0")),
-        "catsub_id": 1 + ((k * 3571) % 104717) % 10,
-        "supplier_id": 1 + k % 5000,
-        "prblm_doneatatime": done & (k % 7 < 3),
-        "prblm_forwarddatetime": F.when(forwarded, _add(created, 3600 + (k * 13) % 600000)),
-        "prblm_forwardtype": F.when(forwarded, 1 + k % 4),
-        "prblm_notasreason_id": F.when(k % 3 == 0, (1 + k % 20).cast("string")),
-        "prblm_notasowndept_id": F.when(k % 3 == 1, 1 + k % 15),
-        "ingested_at": _add(created, (k * 17) % 3600 + ver * REPLAY_DELAY),
-    }
-    return staged.select([cols.get(n, F.col(n)).cast(t).alias(n) for n, t in schema.RAW_COLUMNS])
+    created = _add("CAST(o_orderdate AS TIMESTAMP)", "(o_orderkey * 7919) % 86400")
+    base = orders.selectExpr("o_orderkey AS k", "o_custkey", "o_orderstatus", "o_orderpriority",
+                             f"{created} AS prblm_sysdate", _VERSIONS)
+    staged = base.selectExpr("*", *[f"{e} AS {n}" for n, e in _BASE.items()])
+    return staged.selectExpr(*[
+        f"CAST({_COLUMNS.get(n, n)} AS {t.simpleString()}) AS {n}" for n, t in schema.RAW_COLUMNS])

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schema
 from ..functions import parse_iso_timestamp
@@ -30,13 +30,14 @@ def parse_feed(messages: DataFrame, body: str = "value") -> tuple[DataFrame, Dat
     rows = parsed.select("_body", F.explode_outer("_m.rows").alias("_r"),
                          F.col("_m.rows").isNull().alias("_unreadable"))
     stamps = [n for n, t in schema.RAW_COLUMNS if isinstance(t, T.TimestampType)]
-    bad = F.array_compact(F.array(*[F.when(_unreadable_stamp(n), F.lit(n)) for n in stamps]))
-    typed = rows.select(
-        "_body", "_r", "_unreadable", bad.alias("_bad"),
-        *[(parse_iso_timestamp(F.col(f"_r.{n}")) if n in stamps else F.col(f"_r.{n}")).alias(n)
-          for n, _ in schema.RAW_COLUMNS])
-    good = typed.where(~F.col("_unreadable") & F.col("_r").isNotNull() & (F.size("_bad") == 0))
-    rejected = typed.where(F.col("_unreadable") | (F.size("_bad") > 0))
+    typed = rows.select("_body", "_r", "_unreadable", *[
+        (parse_iso_timestamp(F.col(f"_r.{n}")) if n in stamps else F.col(f"_r.{n}")).alias(n)
+        for n, _ in schema.RAW_COLUMNS])
+    bad = F.array_compact(F.array(*[
+        F.when(F.col(f"_r.{n}").isNotNull() & F.col(n).isNull(), F.lit(n)) for n in stamps]))
+    judged = typed.withColumn("_bad", bad)
+    good = judged.where(~F.col("_unreadable") & F.col("_r").isNotNull() & (F.size("_bad") == 0))
+    rejected = judged.where(F.col("_unreadable") | (F.size("_bad") > 0))
     return (good.select([n for n, _ in schema.RAW_COLUMNS]),
             rejected.select(
                 F.when(F.col("_unreadable"), F.col("_body")).otherwise(F.to_json("_r"))
@@ -45,11 +46,6 @@ def parse_feed(messages: DataFrame, body: str = "value") -> tuple[DataFrame, Dat
                 .otherwise(F.array_join("_bad", ",")).alias("reason")))
 
 
-def _unreadable_stamp(name: str) -> Column:
-    text = F.col(f"_r.{name}")
-    return text.isNotNull() & parse_iso_timestamp(text).isNull()
-
-
 def to_feed(raw: DataFrame) -> DataFrame:
     """Inverse of parse_feed: one message per row, without a shuffle."""
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
