@@ -6,6 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..functions import local_date
 from ..plans import cases, dims, facts, layers, marts, sales
 from ..session import prepare, scratch_path
 from ..sources.derive import read_table, tickets_from_orders
@@ -68,10 +69,11 @@ class Tables:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        """Every local day between the first and the last ticket."""
-        from ..functions import local_date
-        day = local_date(F.col("prblm_sysdate"))
-        bounds = self.raw.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
+        """Every day from the first UTC to the last local day of a ticket, since some
+        facts are keyed by the one and some by the other."""
+        created = F.col("prblm_sysdate")
+        bounds = self.raw.agg(F.min(F.to_date(created)).alias("first_day"),
+                              F.max(local_date(created)).alias("last_day"))
         return dims.dim_date(dims.date_spine(bounds))
 
     # orders

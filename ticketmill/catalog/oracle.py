@@ -282,7 +282,7 @@ SELECT d AS date_sk, year(d)::INTEGER AS year, month(d)::INTEGER AS month, day(d
        CASE WHEN isodow(d) >= 6 THEN 1 ELSE 0 END AS is_weekend, strftime(d, '%Y%m') AS year_month,
        year(d) || '-Q' || quarter(d) AS year_quarter
 FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY))::DATE AS d
-      FROM (SELECT min((prblm_sysdate + INTERVAL 8 HOUR)::DATE) AS lo, max((prblm_sysdate + INTERVAL 8 HOUR)::DATE) AS hi FROM t_raw))""",
+      FROM (SELECT min(prblm_sysdate::DATE) AS lo, max((prblm_sysdate + INTERVAL 8 HOUR)::DATE) AS hi FROM t_raw))""",
     "m_daily": f"""
 SELECT prblm_date AS date_sk, {KEYS5}, {LABELS}, {', '.join([*COUNTS, *SUMS])}, {RATIO_NAMES}, updated_at
 FROM t_day {STAR} WHERE prblm_date >= {TODAY} - 730""",
