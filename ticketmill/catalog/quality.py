@@ -170,7 +170,7 @@ def contract_schema_check(t: Tables):
     if broken:
         raise ValueError(f"hour_wide breaks its contract: {broken}")
     counts = t.hours.agg(F.count("*").alias("n_rows"), F.count("total_tickets").alias("filled"))
-    return dq.schema_rows(t.spark, t.hours.schema).join(F.broadcast(counts))
+    return dq.beside(counts, ["column_name", "data_type"], dq.schema_rows(t.hours.schema))
 
 
 def schema_from(types: dict[str, str]):
@@ -186,7 +186,8 @@ def schema_drift(t: Tables):
     """Yesterday's raw table against today's, in which three columns changed."""
     today = t.raw.drop("gd_id").withColumns({"channel": F.lit("web"), "catsub_id": c("catsub_id").cast("bigint")})
     affected = today.agg(F.count("*").alias("n_rows"))
-    return dq.schema_diff(t.spark, t.raw.schema, today.schema).join(F.broadcast(affected))
+    return dq.beside(affected, ["column_name", "change", "old_type", "new_type"],
+                     dq.schema_diff(t.raw.schema, today.schema))
 
 
 @query("m16_check_runner", f"""

@@ -235,8 +235,8 @@ def compact(t: Tables):
     rows = t.silver.select("prblm_code", "prblm_date", "within_sla", fn.month_sk(c("prblm_date")).alias("month_sk"))
     rows.repartition(4, "prblm_code").write.partitionBy("month_sk").parquet(path)
     before = st.count_files(t.spark, path)
-    months = [int(v) for v in st.partition_values(t.spark, path, "month_sk")]
-    st.compact(t.spark, path, "month_sk", months, schema=rows.schema)
+    worn = [int(v) for v in st.fragmented(t.spark, path, "month_sk")]
+    st.compact(t.spark, path, "month_sk", worn, schema=rows.schema)
     fewer = st.count_files(t.spark, path) < before
     return st.read(t.spark, path, rows.schema).groupBy("month_sk").agg(
         F.count("*").alias("n_rows"), F.lit(fewer).alias("fewer_files"))

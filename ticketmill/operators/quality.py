@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import utc_instant
 
@@ -147,19 +147,24 @@ def rates(df: DataFrame, keys: list[str], source: str, cast: Column) -> DataFram
 NUMERIC_KEYS = (T.NumericType, T.DateType)
 
 
-def schema_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema],
-                                 "column_name string, data_type string")
+def beside(one_row: DataFrame, names: list[str], rows: list[tuple]) -> DataFrame:
+    """A few literal text rows, each next to the columns of a one-row frame."""
+    structs = [F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, r)]) for r in rows]
+    return one_row.select(F.inline(F.array(*structs)), *one_row.columns)
 
 
-def schema_diff(spark: SparkSession, before: T.StructType, after: T.StructType) -> DataFrame:
+def schema_rows(schema: T.StructType) -> list[tuple]:
+    return [(f.name, f.dataType.simpleString()) for f in schema]
+
+
+def schema_diff(before: T.StructType, after: T.StructType) -> list[tuple]:
+    """(column, change, old type, new type) per difference."""
     old = {f.name: f.dataType.simpleString() for f in before}
     new = {f.name: f.dataType.simpleString() for f in after}
     rows = [(n, "removed", old[n], None) for n in old if n not in new]
     rows += [(n, "added", None, new[n]) for n in new if n not in old]
     rows += [(n, "type_changed", old[n], new[n]) for n in old if n in new and old[n] != new[n]]
-    return spark.createDataFrame(
-        rows, "column_name string, change string, old_type string, new_type string")
+    return rows
 
 
 def contract_violations(df: DataFrame, contract: T.StructType, numeric_only: bool,

@@ -64,7 +64,8 @@ class Warehouse:
 def append_bronze(wh: Warehouse, raw: DataFrame, as_of: datetime, batch_id: str) -> DataFrame:
     """Store one batch under its id. The same batch replaces itself when it is retried."""
     path = wh.path("bronze")
-    storage.overwrite_partitions(layers.bronze(raw, as_of, batch_id), path, ["_batch_id"])
+    storage.overwrite_partitions(layers.bronze(raw, as_of, batch_id), path, ["_batch_id"],
+                                 cluster_by=["prblm_sysdate"])
     return (storage.read(raw.sparkSession, path).where(F.col("_batch_id") == batch_id)
             .withColumn("_batch_id", F.col("_batch_id").cast("string")))
 

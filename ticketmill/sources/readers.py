@@ -19,10 +19,16 @@ def conform_raw(df: DataFrame) -> DataFrame:
 
 
 def parse_feed(messages: DataFrame, body: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Feed messages {"rows": [...], "count": n} -> (typed rows, rejected rows).
+    """Feed messages {"rows": [...], "count": n} -> (typed rows, rejected rows)."""
+    judged = judge_feed(messages, body)
+    return accepted(judged), rejected(judged)
+
+
+def judge_feed(messages: DataFrame, body: str = "value") -> DataFrame:
+    """Typed feed rows with a verdict.
 
     A row is rejected when a timestamp is present but unreadable, and a message
-    when its JSON does not parse. Both results derive from one parse.
+    when its JSON does not parse.
     """
     # FAILFAST would kill the job on one bad message; PERMISSIVE leaves rows NULL.
     parsed = messages.select(
@@ -35,15 +41,19 @@ def parse_feed(messages: DataFrame, body: str = "value") -> tuple[DataFrame, Dat
         for n, _ in schema.RAW_COLUMNS])
     bad = F.array_compact(F.array(*[
         F.when(F.col(f"_r.{n}").isNotNull() & F.col(n).isNull(), F.lit(n)) for n in stamps]))
-    judged = typed.withColumn("_bad", bad)
+    return typed.withColumn("_bad", bad)
+
+
+def accepted(judged: DataFrame) -> DataFrame:
     good = judged.where(~F.col("_unreadable") & F.col("_r").isNotNull() & (F.size("_bad") == 0))
-    rejected = judged.where(F.col("_unreadable") | (F.size("_bad") > 0))
-    return (good.select([n for n, _ in schema.RAW_COLUMNS]),
-            rejected.select(
-                F.when(F.col("_unreadable"), F.col("_body")).otherwise(F.to_json("_r"))
-                .alias("payload"),
-                F.when(F.col("_unreadable"), F.lit("json"))
-                .otherwise(F.array_join("_bad", ",")).alias("reason")))
+    return good.select([n for n, _ in schema.RAW_COLUMNS])
+
+
+def rejected(judged: DataFrame) -> DataFrame:
+    unreadable = F.col("_unreadable")
+    return judged.where(unreadable | (F.size("_bad") > 0)).select(
+        F.when(unreadable, F.col("_body")).otherwise(F.to_json("_r")).alias("payload"),
+        F.when(unreadable, F.lit("json")).otherwise(F.array_join("_bad", ",")).alias("reason"))
 
 
 def to_feed(raw: DataFrame) -> DataFrame:

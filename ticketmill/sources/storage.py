@@ -57,6 +57,14 @@ def _spread(df: DataFrame, partition_by: list[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
 
 
+def _clustered(df: DataFrame, partition_by: list[str], cluster_by: list[str]) -> DataFrame:
+    """Rows sorted inside each file, so that row-group statistics of the cluster
+    columns are narrow. The order starts with the partition columns, which the
+    partitioned writer needs anyway."""
+    spread = _spread(df, partition_by)
+    return spread.sortWithinPartitions(*partition_by, *cluster_by) if cluster_by else spread
+
+
 def append(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
     """Append a batch. An empty batch still leaves a readable, typed table."""
     _writer(_spread(df, list(partition_by)), list(partition_by)).mode("append").parquet(path)
@@ -70,8 +78,9 @@ def _writer(df: DataFrame, partition_by: list[str]):
     return df.write.partitionBy(*partition_by) if partition_by else df.write
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    (_spread(df, partition_by).write.mode("overwrite")
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str],
+                         cluster_by: list[str] = ()) -> None:
+    (_clustered(df, partition_by, list(cluster_by)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
 
 
@@ -209,6 +218,17 @@ def _last_day(value: str) -> date:
     return date(year + month // 12, month % 12 + 1, 1) - timedelta(days=1)
 
 
+def fragmented(spark: SparkSession, path: str, column: str, target_mb: int = 384) -> list[str]:
+    """Partitions that hold more files than their bytes need; read from metadata."""
+    out = []
+    for value in partition_values(spark, path, column):
+        fs, folder = _fs(spark, f"{path}/{column}={value}")
+        summary = fs.getContentSummary(folder)
+        if summary.getFileCount() > max(1, -(-summary.getLength() // (target_mb << 20))):
+            out.append(value)
+    return out
+
+
 def compact(spark: SparkSession, path: str, partition_col: str, values: list,
             target_mb: int = 384, schema: T.StructType | None = None) -> None:
     """Rewrite partitions into files of about the target size.

@@ -39,10 +39,13 @@ def drain_ingest(spark: SparkSession, landing: str, target: str, rejects: str,
     failure replaces its own output.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        good, bad = readers.parse_feed(batch)
-        for rows, path in ((good, target), (bad, rejects)):
-            storage.overwrite_partitions(rows.withColumn("ingest_batch", F.lit(batch_id)), path,
-                                         ["ingest_batch"])
+        judged = readers.judge_feed(batch).persist()
+        try:
+            for rows, path in ((readers.accepted(judged), target), (readers.rejected(judged), rejects)):
+                storage.overwrite_partitions(rows.withColumn("ingest_batch", F.lit(batch_id)), path,
+                                             ["ingest_batch"])
+        finally:
+            judged.unpersist()
     return drain(feed_stream(spark, landing), checkpoint, handle)
 
 
@@ -82,7 +85,12 @@ def keep_latest(df: DataFrame, path: str, keys: list[str], partition_col: str,
                 checkpoint: str) -> StreamingQuery:
     """Update-mode aggregates merged into a stored table by key."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        storage.upsert(batch, path, keys, partition_col)
+        # Used twice below; without this the stateful batch would run twice.
+        batch.persist()
+        try:
+            storage.upsert(batch, path, keys, partition_col)
+        finally:
+            batch.unpersist()
     query = (df.writeStream.outputMode("update").foreachBatch(handle)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
