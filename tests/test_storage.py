@@ -152,6 +152,12 @@ def test_daily_build_passes_its_checks_and_writes_audit(spark, tables):
     assert audit == dict.fromkeys(["dims", "bronze", "silver", "facts", "marts", "retention"], "success")
 
 
+def test_cycle_without_rows_changes_nothing(spark, tables):
+    wh = Warehouse(scratch_path(spark, "empty"))
+    assert w.run_batch(spark, wh, tables.raw.limit(0), AS_OF, "b") == []
+    assert not st.exists(spark, wh.path("silver"))
+
+
 def test_history_is_idempotent_and_keeps_closed_versions(spark):
     def snap(*pairs):
         return spark.createDataFrame(list(pairs), "k int, v string")

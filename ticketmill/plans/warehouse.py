@@ -200,7 +200,12 @@ def daily_build(spark: SparkSession, wh: Warehouse, raw: DataFrame, as_of: datet
 
 def run_batch(spark: SparkSession, wh: Warehouse, raw: DataFrame, as_of: datetime,
               batch_id: str) -> list:
-    """One micro-batch through every layer, touching only the partitions it reaches."""
+    """One micro-batch through every layer, touching only the partitions it reaches.
+
+    A cycle without rows changes nothing.
+    """
+    if raw.isEmpty():
+        return []
     rows = append_bronze(wh, raw, as_of, batch_id)
     touched = merge_silver(wh, rows, as_of)
     refresh_facts(spark, wh, touched, as_of)

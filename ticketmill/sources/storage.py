@@ -66,7 +66,8 @@ def _clustered(df: DataFrame, partition_by: list[str], cluster_by: list[str]) ->
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
-    """Append a batch. An empty batch still leaves a readable, typed table."""
+    """Append a batch. An empty one still leaves a typed table; where the table is
+    partitioned it has no file yet and is read with its schema."""
     _writer(_spread(df, list(partition_by)), list(partition_by)).mode("append").parquet(path)
 
 
