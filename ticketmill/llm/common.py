@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import os
+import site
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+_SHIPPED: set[str] = set()
+
 # A word is a run of bytes other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -80,3 +86,20 @@ def with_running_total(df: DataFrame, group: str, digits: tuple[str, str], order
     return (df.withColumn("_own", F.coalesce(F.sum(value).over(within), F.lit(0)))
             .join(base, [group, coarse, fine])
             .withColumn(out, F.col("_own") + F.col("_base")).drop("_own", "_base"))
+
+
+def with_package(df: DataFrame) -> DataFrame:
+    """`df`, after making sure that Python workers can import this package: where its folder is
+    not on the path that they inherit, Spark distributes the source to them."""
+    context = df.sparkSession.sparkContext
+    package = Path(__file__).resolve().parents[1]
+    inherited = {os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
+    if str(package.parent) not in inherited | {os.path.realpath(p) for p in site.getsitepackages()}:
+        if context.applicationId not in _SHIPPED:
+            archive = os.path.join(os.path.realpath(tempfile.mkdtemp()), f"{package.name}.zip")
+            with zipfile.ZipFile(archive, "w") as z:
+                for file in package.rglob("*.py"):
+                    z.write(file, file.relative_to(package.parent))
+            context.addPyFile(archive)
+            _SHIPPED.add(context.applicationId)
+    return df

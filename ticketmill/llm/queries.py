@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, licenses, mixing
-from .common import table
+from . import fingerprints, licenses, mixing, packing, token_files
+from .common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's vocabulary file, the same on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def query(build: Callable[[SparkSession, str], DataFrame]):
     QUERIES[build.__name__] = build
     return build
@@ -34,3 +40,16 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word",
                         F.array_join("base", ",").alias("base_labels"),
                         F.array_join("labels", ",").alias("labels"), "score")
+
+
+@query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), True, 2)
+    return packing.pack(cut)
+
+
+@query
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_path(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"), False, 1)
+    return token_files.digests(spark, folder)
