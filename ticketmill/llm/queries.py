@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, licenses, mixing, packing, token_files
+from . import fingerprints, licenses, mixing, packing, token_files, vectors
 from .common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,8 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_path(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"), False, 1)
     return token_files.digests(spark, folder)
+
+
+@query
+def op8_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
