@@ -27,8 +27,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from .blocks import pairs, spanning, whole_groups
 from .common import stored, with_package
 from .components import components
 
@@ -98,7 +100,7 @@ def index(vectors: DataFrame, bits: int, bands: int) -> DataFrame:
     """rep, copies, dim, unit vector, code, factors and band keys of every class."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lengths = np.asarray(pa.compute.list_value_length(batch.column("embedding")))
+            lengths = np.asarray(pc.list_value_length(batch.column("embedding")))
             for dim in np.unique(lengths):
                 part = batch.take(pa.array(np.flatnonzero(lengths == dim)))
                 x = _unit(part.column("embedding"))
@@ -112,44 +114,6 @@ def index(vectors: DataFrame, bits: int, bands: int) -> DataFrame:
         work, "rep long, copies long, dim int, unit binary, code binary, factors binary, bands array<long>")
 
 
-def _pairs(group: np.ndarray, side: np.ndarray, cross: np.ndarray, limit: int = 1 << 16) -> Iterator[tuple]:
-    """Index pairs within runs of equal `group`: all of a run, or those of different sides where
-    `cross`; about `limit` at a time."""
-    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-    ends = np.r_[starts[1:], len(group)]
-    owner = np.repeat(ends, ends - starts)
-    after = owner - np.arange(len(group)) - 1  # partners behind each row
-    total = np.cumsum(after)
-    at = 0
-    while at < len(group):
-        base = total[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(total, base + limit, "right")))
-        a = np.repeat(np.arange(at, to), after[at:to])
-        first = np.cumsum(after[at:to]) - after[at:to]
-        b = np.arange(len(a)) - np.repeat(first, after[at:to]) + a + 1
-        keep = ~cross[a] | (side[a] != side[b])
-        yield a[keep], b[keep]
-        at = to
-
-
-def _forest(u: np.ndarray, v: np.ndarray) -> list[tuple[int, int]]:
-    """Edges that connect what (u, v) connects, without cycles."""
-    root: dict[int, int] = {}
-
-    def find(x: int) -> int:
-        while root.setdefault(x, x) != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-    out = []
-    for x, y in zip(u.tolist(), v.tolist()):
-        a, b = find(x), find(y)
-        if a != b:
-            root[max(a, b)] = min(a, b)
-            out.append((x, y))
-    return out
-
-
 def _compare(rows: pa.Table, threshold: float, bits: int) -> pa.RecordBatch | None:
     """Link counts and forest of the groups in `rows`, sorted by group; all of one length."""
     get = lambda c: rows.column(c).to_numpy()
@@ -159,7 +123,7 @@ def _compare(rows: pa.Table, threshold: float, bits: int) -> pa.RecordBatch | No
     keys = np.stack(rows.column("bands").to_pylist()) if len(rows) else np.zeros((0, 1))
     counts: dict[int, int] = {}
     edges: list[tuple[int, int]] = []
-    for a, b in _pairs(get("group"), get("side"), get("across")):
+    for a, b in pairs(get("group"), get("side"), get("across")):
         guess, error = estimate(x[a], codes[b], factors[b])
         near = guess + error >= threshold
         a, b = a[near], b[near]
@@ -171,10 +135,10 @@ def _compare(rows: pa.Table, threshold: float, bits: int) -> pa.RecordBatch | No
             who, where = np.unique(rep[i], return_inverse=True)
             for r, n in zip(who.tolist(), np.bincount(where, weights=copies[j]).astype(np.int64).tolist()):
                 counts[r] = counts.get(r, 0) + n
-        edges += _forest(rep[a], rep[b])
+        edges += spanning(rep[a].tolist(), rep[b].tolist())
     if not counts:
         return None
-    edges = _forest(*np.array(edges).T)
+    edges = spanning(*zip(*edges))
     return pa.RecordBatch.from_pydict({
         "u": pa.array([*counts, *[e[0] for e in edges]], pa.int64()),
         "v": pa.array([None] * len(counts) + [e[1] for e in edges], pa.int64()),
@@ -183,30 +147,11 @@ def _compare(rows: pa.Table, threshold: float, bits: int) -> pa.RecordBatch | No
 
 def _comparing(threshold: float, bits: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def flush(rows: pa.Table):
+        for rows in whole_groups(batches):
             for dim in rows.column("dim").unique().to_pylist():
-                part = rows.filter(pa.compute.equal(rows.column("dim"), dim))
-                found = _compare(part, threshold, bits)
+                found = _compare(rows.filter(pc.equal(rows.column("dim"), dim)), threshold, bits)
                 if found is not None:
                     yield found
-        for batch in batches:
-            # The last group of a batch may go on in the next one.
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                group = part.column("group").to_numpy()
-                cut = int(np.searchsorted(group, group[-1])) if (np.diff(group) >= 0).all() else 0
-                if cut:
-                    yield from flush(pa.Table.from_batches([*held, part.slice(0, cut)]))
-                    held = [part.slice(cut)]
-                elif held and held[-1].column("group")[-1].as_py() != group[0]:
-                    yield from flush(pa.Table.from_batches(held))
-                    held = [part]
-                else:
-                    held.append(part)
-        if held:
-            yield from flush(pa.Table.from_batches(held))
     return work
 
 
