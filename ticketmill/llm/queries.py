@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, licenses, minhash, mixing, packing, token_files, vectors
+from . import fingerprints, licenses, minhash, mixing, packing, substrings, token_files, vectors
 from .common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,11 @@ def op8_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = substrings.without_repeats(docs, with_text=False)
+    return found.select("doc_id", F.col("_words").alias("n_words"), F.col("_removed").alias("n_removed"),
+                        F.col("_digest").alias("kept_sha256"))
