@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, licenses, minhash, mixing, packing, substrings, token_files, vectors
+from . import fingerprints, interpolation, licenses, minhash, mixing, packing, substrings, token_files, vectors
 from .common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.without_repeats(docs, with_text=False)
     return found.select("doc_id", F.col("_words").alias("n_words"), F.col("_removed").alias("n_removed"),
                         F.col("_digest").alias("kept_sha256"))
+
+
+@query
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = interpolation.held_out_scores(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", (F.col("part") == 0).alias("held_out"), "n_tokens", "n_known",
+                        "train_tokens", "base_score", "score")
