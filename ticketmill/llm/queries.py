@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, interpolation, licenses, minhash, mixing, packing, substrings, token_files, vectors
+from . import fingerprints, interpolation, licenses, minhash, mixing, packing, substrings, token_files, toxicity, vectors
 from .common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = interpolation.held_out_scores(table(spark, sf_dir, "documents"))
     return found.select("doc_id", (F.col("part") == 0).alias("held_out"), "n_tokens", "n_known",
                         "train_tokens", "base_score", "score")
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
