@@ -50,6 +50,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_rest(docs: DataFrame, needed: list[str]) -> DataFrame:
+    """The needed columns and all others in one, `_rest`, where their names clash with nothing."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in needed]
+    return docs.select(*needed, (F.struct(*others) if others else F.lit(0)).alias("_rest"))
+
+
+def restored(rows: DataFrame, columns: list[str], needed: list[str]) -> DataFrame:
+    """Undoes `with_rest`."""
+    return rows.select(*[F.col(c) if c in needed else F.col("_rest")[c].alias(c) for c in columns])
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, every other character unchanged."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -19,7 +19,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import WORD, stored, with_running_total
+from .common import WORD, restored, stored, with_rest, with_running_total
 
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
@@ -144,7 +144,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     full = documents.where("size > 0").join(passes, ["pos", "start"]).groupBy(*key).agg(F.max("_times").alias("_times"))
     empty = documents.where("size = 0").select(*key).distinct().withColumn("_times", F.lit(1))
     times = full.unionByName(empty).withColumnsRenamed({c: f"_k{i}" for i, c in enumerate(key)})
-    hashed = docs.withColumn("_text", F.xxhash64("text"))
+    needed = ["doc_id", "source", "text"]
+    hashed = with_rest(docs, needed).withColumn("_text", F.xxhash64("text"))
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(key)])
-    return hashed.join(times, same).withColumn("_pass", F.explode(F.sequence(F.lit(1), "_times"))).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    rows = hashed.join(times, same).withColumn("_pass", F.explode(F.sequence(F.lit(1), "_times")))
+    return restored(rows, docs.columns, needed)
