@@ -88,25 +88,29 @@ def _phrase_starts(words: Column, phrase: list[str]) -> Column:
     return F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), all_equal)
 
 
-def phrase_places(docs: DataFrame, keep: list[Column], phrases: dict[str, str] = PHRASES) -> DataFrame:
-    """n_words, n_base, first_word, last_word and base (labels) of every row, next to `keep`."""
-    plain = docs.withColumn("_norm", normal(F.coalesce("text", F.lit(""))))
+def phrase_places(docs: DataFrame, keep: list[str], also: list[str] = (), phrases: dict[str, str] = PHRASES) -> DataFrame:
+    """n_words, n_base, first_word, last_word and base (labels) of every row, next to `keep`, and
+    _hits, which of the words `also` it has.
+
+    Words are looked up once; the rest is computed only for the few texts with a first word of a
+    phrase. `_words` is a column of its own, since a lambda would split the text for every word.
+    """
     none = F.array().cast("array<int>")
-    padded = F.concat(F.lit(" "), "_norm", F.lit(" "))
-    words = F.split("_norm", " ")
-    starts = {p: F.when(F.contains(padded, F.lit(f" {p} ")), _phrase_starts(words, p.split())).otherwise(none)
-              for p in phrases}
+    firsts = sorted({p.split()[0] for p in phrases})
+    known = F.array(*[F.lit(w) for w in sorted({*firsts, *also})])
+    rows = docs.withColumn("_words", F.split(normal(F.coalesce("text", F.lit(""))), " "))
+    rows = rows.withColumn("_hits", F.array_intersect("_words", known))
     for i, p in enumerate(phrases):
-        plain = plain.withColumn(f"_at{i}", starts[p])
+        starts = F.when(F.array_contains("_hits", p.split()[0]), _phrase_starts(F.col("_words"), p.split()))
+        rows = rows.withColumn(f"_at{i}", F.coalesce(starts, none))
     at = [F.col(f"_at{i}") for i in range(len(phrases))]
     every = F.concat(*at)
     labels = F.array_compact(F.array(*[F.when(F.size(a) > 0, F.lit(l)) for a, l in zip(at, phrases.values())]))
-    n = F.when(F.col("_norm") == "", F.lit(0)).otherwise(
-        F.length("_norm") - F.length(F.replace("_norm", F.lit(" "), F.lit(""))) + 1)
-    return plain.select(
+    n = F.when(F.col("_words")[0] == "", F.lit(0)).otherwise(F.size("_words"))
+    return rows.select(
         *keep, n.cast("long").alias("n_words"), F.size(every).cast("long").alias("n_base"),
         F.array_min(every).cast("long").alias("first_word"), F.array_max(every).cast("long").alias("last_word"),
-        F.array_sort(F.array_distinct(labels)).alias("base"), "_norm")
+        F.array_sort(F.array_distinct(labels)).alias("base"), "_hits")
 
 
 def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -123,16 +127,17 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         whole.append((number, label, ranks, need))
         index += [(r, number, label, i, ranks, need) for i, r in enumerate(ranks[:len(ranks) - need + 1])]
     ordered = F.array(*[F.lit(w) for w in order])
-    prefix_words = F.array(*[F.lit(w) for w in sorted({order[r - 1] for r, *_ in index})])
+    rare = sorted({order[r - 1] for r, *_ in index})
+    prefix_words = F.array(*[F.lit(w) for w in rare])
 
     # Lines with a word of some prefix, as sorted ranks of the template words they have.
     def ranks_of(line):
         common = F.array_intersect(F.split(normal(line), " "), ordered)
         return F.sort_array(F.transform(common, lambda w: F.array_position(ordered, w).cast("int")))
-    hit = F.size(F.array_intersect(F.split("_norm", " "), prefix_words)) > 0
+    hit = F.arrays_overlap("_hits", prefix_words)
     least = min(t[3] for t in whole)
     lines = F.when(hit, F.filter(F.transform(F.split("text", "\n"), ranks_of), lambda r: F.size(r) >= least))
-    pages = phrase_places(docs, ["doc_id", "text"]).withColumn("_lines", lines).drop("text", "_norm")
+    pages = phrase_places(docs, ["doc_id", "text"], rare).withColumn("_lines", lines).drop("text", "_hits")
     pages = stored(pages.withColumn("_row", F.monotonically_increasing_id()), "license-pages")
 
     schema = "rank int, number int, label string, i int, ranks array<int>, need int"
