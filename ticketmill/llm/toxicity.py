@@ -58,6 +58,12 @@ def core(word: str) -> str:
     return _OUTER.sub("", word)
 
 
+def _inside(word: str, before: int, in_all: int) -> bool:
+    """Whether a quotation that is open at the word's first letter ends after it."""
+    opened = before + sum(word[:word.find(core(word))].count(q) for q in QUOTES)
+    return opened % 2 == 1 and in_all > opened
+
+
 @dataclass
 class Lexicon:
     """Terms (with `*` at the end: stems) and their weights in a trie, and the automaton over it."""
@@ -182,7 +188,7 @@ class Reader:
         for k, i in enumerate(places):
             errors, weight = known[words[i]]
             window = words[max(0, i - CONTEXT):i] + words[i + 1:i + 1 + CONTEXT]
-            inside = quotes is not None and i and quotes[i - 1] % 2 == 1 and quotes[-1] > quotes[i - 1]
+            inside = quotes is not None and _inside(words[i], quotes[i - 1] if i else 0, quotes[-1])
             reported = any(core(w) in REPORTING for w in window)
             if inside or reported:
                 quoted += inside
