@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, interpolation, licenses, minhash, mixing, packing, substrings, token_files, toxicity, vectors
+from . import fingerprints, interpolation, licenses, minhash, mixing, oracles, packing, substrings, token_files, toxicity, vectors
 from .common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
 
 
 def vocabulary(name: str) -> str:
