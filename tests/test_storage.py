@@ -1,15 +1,16 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from ticketmill.operators.dedup import ticket_version_order
 from ticketmill.operators.history import apply_snapshot, first_snapshot
-from ticketmill.plans import facts, layers
+from ticketmill.plans import facts, layers, marts
 from ticketmill.plans import warehouse as w
 from ticketmill.plans.warehouse import Warehouse
 from ticketmill.session import CHECKPOINT_KEY, scratch_path, scratch_root
 from ticketmill.sources import storage as st
+from ticketmill.streaming import jobs
 from ticketmill.catalog.storage import slices
 
 from helpers import AS_OF, rows, same, tickets
@@ -79,7 +80,7 @@ def test_retention_bounds(spark):
     assert planned == [str(date.fromordinal(d)) for d in sorted(days)[:2]]
     st.expire(spark, path, "d", as_of)
     assert len(st.partition_values(spark, path, "d")) == 4
-    with pytest.raises(RuntimeError):
+    with pytest.raises(ValueError):
         st.expire(spark, path, "d", as_of, retain_days=730, buffer_days=-730)
 
 
@@ -168,3 +169,111 @@ def test_history_is_idempotent_and_keeps_closed_versions(spark):
     assert same(step, again)
     assert rows(step.select("k", "v", "is_current")) == rows(
         spark.createDataFrame([(1, "a", 0), (1, "A", 1), (2, "b", 1), (3, None, 1)], "k int, v string, is_current int"))
+
+
+def test_compaction_sizes_files_by_bytes(spark):
+    path = scratch_path(spark, "t")
+    spark.range(400_000).select(F.md5(F.col("id").cast("string")).alias("v"), F.lit(1).alias("p")).repartition(24) \
+        .write.partitionBy("p").parquet(path)
+    size = st.files_of(spark, path, "p")["1"][1]
+    assert size > 4 << 20
+    st.compact(spark, path, "p", [1], target_mb=4)
+    files, _ = st.files_of(spark, path, "p")["1"]
+    assert 1 < files <= st.files_needed(size, 4) and st.read(spark, path).distinct().count() == 400_000
+
+
+def test_two_nights_without_an_id_keep_every_row(spark):
+    wh = Warehouse(scratch_path(spark, "nights"), "month_sk")
+    for code, when in (("T-1", AS_OF), ("T-2", AS_OF + timedelta(days=1))):
+        w.daily_build(spark, wh, tickets(spark, {"prblm_code": code}), when, (date(1998, 1, 1), date(1998, 12, 31)))
+    bronze = w.read_bronze(spark, wh, date(1998, 1, 1), date(1998, 12, 31))
+    assert sorted(r.prblm_code for r in bronze.collect()) == ["T-1", "T-2"]
+    w.backfill(spark, wh, date(1998, 6, 1), date(1998, 6, 30), AS_OF)
+    assert wh.read(spark, "silver").count() == 2
+
+
+def test_batch_ids_stay_text_and_replace_only_themselves(spark):
+    wh = Warehouse(scratch_path(spark, "ids"))
+    w.append_bronze(wh, tickets(spark, {"prblm_code": "T-1"}), AS_OF, "007")
+    w.append_bronze(wh, tickets(spark, {"prblm_code": "T-2"}), AS_OF, "7")
+    again = w.append_bronze(wh, tickets(spark, {"prblm_code": "T-3"}), AS_OF, "007")
+    assert [r["_batch_id"] for r in again.collect()] == ["007"]
+    stored = w.read_bronze(spark, wh, date(1998, 1, 1), date(1998, 12, 31)).collect()
+    assert sorted((r["_batch_id"], r.prblm_code) for r in stored) == [("007", "T-3"), ("7", "T-2")]
+
+
+def test_streams_with_other_checkpoints_keep_each_other(spark):
+    wh = Warehouse(scratch_path(spark, "streams"), "month_sk")
+    for code in ("T-1", "T-2"):
+        landing, state = scratch_path(spark, "landing"), scratch_path(spark, "state")
+        st.append(tickets(spark, {"prblm_code": code}), landing)
+        jobs.drain_chain(spark, landing, wh, state, AS_OF)
+    bronze = w.read_bronze(spark, wh, date(1998, 1, 1), date(1998, 12, 31))
+    assert sorted(r.prblm_code for r in bronze.collect()) == ["T-1", "T-2"]
+
+
+def test_yesterday_settles_after_midnight(spark):
+    wh = Warehouse(scratch_path(spark, "midnight"))
+    day = {"prblm_sysdate": "1998-06-30 02:00:00", "prblm_updateddate": "1998-06-30 03:00:00"}
+    w.run_batch(spark, wh, tickets(spark, {"prblm_code": "T-1", **day}), AS_OF - timedelta(days=1), "a")
+    report = lambda: {str(r.date_sk): r.source_tier for r in wh.read(spark, "mart_report").collect()}
+    assert report() == {"1998-06-30": "intraday_hourly_sum"}
+    after = {"prblm_sysdate": "1998-07-01 02:00:00", "prblm_updateddate": "1998-07-01 03:00:00"}
+    w.run_batch(spark, wh, tickets(spark, {"prblm_code": "T-2", **after}), AS_OF, "b")
+    assert report() == {"1998-06-30": marts.BATCH_TIER, "1998-07-01": marts.INTRADAY_TIER}
+
+
+def test_publish_touches_only_its_partitions(spark):
+    lake, hot = scratch_path(spark, "lake"), scratch_path(spark, "hot")
+    st.publish(kv(spark, (1, "a", 1), (2, "b", 2)), lake, ["p"], hot_path=hot)
+    before = st._listing(spark, hot, "p", [1, 2])
+    assert st.publish(kv(spark, (3, "c", 2)), lake, ["p"], hot_path=hot) == [2]
+    after = st._listing(spark, hot, "p", [1, 2])
+    assert after[1] == before[1] and after[2] != before[2]
+    assert rows(st.read(spark, hot), ["k", "v", "p"]) == rows(kv(spark, (1, "a", 1), (3, "c", 2)), ["k", "v", "p"])
+
+
+def test_a_load_that_broke_off_goes_on(spark):
+    path = scratch_path(spark, "load")
+
+    def build(broken):
+        def year(y):
+            if y == broken:
+                raise RuntimeError("lost")
+            return kv(spark, (y, "x", y))
+        return year
+    with pytest.raises(RuntimeError):
+        st.bulk_load(build(2003), [2001, 2002, 2003, 2004], path, "p")
+    assert st.bulk_load(build(None), [2001, 2002, 2003, 2004], path, "p") == 2
+    assert st.bulk_load(build(None), [2001, 2002, 2003, 2004], path, "p") == 0
+    assert sorted(r.k for r in st.read(spark, path).collect()) == [2001, 2002, 2003, 2004]
+
+
+def test_backfill_empties_days_without_rows(spark):
+    wh = Warehouse(scratch_path(spark, "range"))
+    days = [{"prblm_code": f"T-{d}", "prblm_sysdate": f"1998-06-{d} 02:00:00"} for d in (10, 11)]
+    w.run_batch(spark, wh, tickets(spark, *days), AS_OF, "a")
+    fs, folder = st._fs(spark, f"{wh.path('bronze')}/_batch_id=a")
+    fs.delete(folder, True)
+    w.append_bronze(wh, tickets(spark, days[1]), AS_OF, "b")
+    w.backfill(spark, wh, date(1998, 6, 10), date(1998, 6, 11), AS_OF)
+    for table in ("silver", "day_wide", "mart_daily", "mart_report"):
+        assert st.partition_values(spark, wh.path(table), "prblm_date") == ["1998-06-11"], table
+
+
+def test_a_night_without_fresh_rows_stops_before_it_writes(spark):
+    wh = Warehouse(scratch_path(spark, "stale"))
+    with pytest.raises(ValueError, match="source_freshness"):
+        w.daily_build(spark, wh, tickets(spark, {}), AS_OF + timedelta(days=9), (date(1998, 1, 1), date(1998, 12, 31)),
+                      fresh_hours=24)
+    assert not st.exists(spark, wh.path("bronze"))
+    audit = wh.read(spark, "audit").collect()
+    assert [(r.step, r.status) for r in audit] == [("freshness", "failed")] and "source_freshness" in audit[0].detail
+
+
+def test_evolved_batches_are_stored(spark):
+    for policy, columns in (("append_new_columns", ["a", "old", "new"]), ("ignore", ["a", "old"]), ("sync_all_columns", ["a", "new"])):
+        path = scratch_path(spark, "evolved")
+        st.replace(spark.createDataFrame([(1, "x")], "a int, old string"), path)
+        got = st.append_evolved(spark.createDataFrame([(2, 3.0)], "a bigint, new double"), path, policy)
+        assert got.columns == columns and sorted(r.a for r in got.collect()) == [1, 2]

@@ -7,6 +7,7 @@ about to replace, survives lost executors, and can be rerun.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, timedelta
 
@@ -71,8 +72,9 @@ def append(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
     _writer(_spread(df, list(partition_by)), list(partition_by)).mode("append").parquet(path)
 
 
-def replace(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
-    _writer(_spread(df, list(partition_by)), list(partition_by)).mode("overwrite").parquet(path)
+def replace(df: DataFrame, path: str, partition_by: list[str] = (), cluster_by: list[str] = ()) -> None:
+    rows = _clustered(df, list(partition_by), list(cluster_by))
+    _writer(rows, list(partition_by)).mode("overwrite").parquet(path)
 
 
 def _writer(df: DataFrame, partition_by: list[str]):
@@ -116,16 +118,40 @@ def _drop_unwritten(spark: SparkSession, path: str, column: str, before: dict) -
 
 
 def publish(df: DataFrame, lake_path: str, partition_by: list[str],
-            hot_path: str | None = None, jdbc: dict[str, str] | None = None) -> None:
-    """Lake first, then the hot tier from the lake copy, so both show the same rows."""
-    spark = df.sparkSession
+            hot_path: str | None = None, jdbc: dict[str, str] | None = None) -> list:
+    """Lake first, then the hot tier from the lake copy, so both show the same rows.
+
+    Only the partitions that `df` has are written, in either tier; a JDBC table loses those slices
+    before they are inserted, so that publishing again adds nothing. Returns their values.
+    """
+    spark, column = df.sparkSession, partition_by[0]
     overwrite_partitions(df, lake_path, partition_by)
-    stored = read(spark, lake_path, df.schema)
+    values = touched_values(df, column)
+    stored = read(spark, lake_path, df.schema).where(F.col(column).isin(values))
     if hot_path:
         overwrite_partitions(stored, hot_path, partition_by)
     if jdbc:
+        _delete_rows(spark, jdbc, column, values)
         options = {"batchsize": "5000", **jdbc}
         stored.write.format("jdbc").options(**options).mode("append").save()
+    return values
+
+
+def _delete_rows(spark: SparkSession, jdbc: dict[str, str], column: str, values: list) -> None:
+    """Removes the slices of a database table over one connection of the driver."""
+    login = spark._jvm.java.util.Properties()
+    for key in ("user", "password"):
+        if key in jdbc:
+            login.setProperty(key, jdbc[key])
+    connection = spark._jvm.java.sql.DriverManager.getConnection(jdbc["url"], login)
+    try:
+        delete = connection.prepareStatement(f"DELETE FROM {jdbc['dbtable']} WHERE {column} = ?")
+        for value in values:
+            delete.setString(1, str(value))
+            delete.addBatch()
+        delete.executeBatch()
+    finally:
+        connection.close()
 
 
 # -- keyed writes -----------------------------------------------------------------
@@ -194,21 +220,42 @@ def union_evolved(stored: DataFrame, batch: DataFrame, policy: str) -> DataFrame
     return stored.unionByName(fitted, allowMissingColumns=True)
 
 
+def append_evolved(batch: DataFrame, path: str, policy: str) -> DataFrame:
+    """Store an evolved batch beside what is there. Only `sync_all_columns` can drop or retype stored
+    columns, so only it rewrites the table, into a new folder that replaces the old one; the others
+    add files. Returns the table under its resulting schema."""
+    spark = batch.sparkSession
+    stored = read(spark, path)
+    if policy == "sync_all_columns":
+        fresh = f"{path}-{uuid.uuid4().hex[:8]}"
+        replace(union_evolved(stored, batch, policy), fresh)
+        fs, old = _fs(spark, path)
+        fs.delete(old, True)
+        fs.rename(spark._jvm.org.apache.hadoop.fs.Path(fresh), old)
+        return read(spark, path)
+    schema = union_evolved(stored, batch, policy).schema
+    append(align(batch, stored.schema, policy), path)
+    return read(spark, path, schema)
+
+
 # -- maintenance ------------------------------------------------------------------
 
 def expire(spark: SparkSession, path: str, column: str, as_of: date, retain_days: int = 730,
            buffer_days: int = 30, dry_run: bool = False) -> list[str]:
-    """Drop date partitions past the buffer; only directories are touched."""
-    active_from = as_of - timedelta(days=retain_days)
-    cutoff = active_from - timedelta(days=buffer_days)
-    doomed = [v for v in partition_values(spark, path, column) if _last_day(v) < cutoff]
-    unsafe = [v for v in doomed if _last_day(v) >= active_from]
-    if unsafe:
-        raise RuntimeError(f"refusing to drop active partitions {unsafe}")
-    if not dry_run:
-        for value in doomed:
-            drop_partition(spark, path, column, value)
-    return doomed
+    """Drop the date partitions that end before the first day to keep; only directories are touched.
+
+    The buffer lengthens the time that is kept, so it cannot be negative.
+    """
+    if buffer_days < 0:
+        raise ValueError(f"buffer_days must not be negative, got {buffer_days}")
+    keep_from = as_of - timedelta(days=retain_days + buffer_days)
+    gone = []
+    for value in partition_values(spark, path, column):
+        if _last_day(value) < keep_from:
+            gone.append(value)
+            if not dry_run:
+                drop_partition(spark, path, column, value)
+    return gone
 
 
 def _last_day(value: str) -> date:
@@ -219,32 +266,49 @@ def _last_day(value: str) -> date:
     return date(year + month // 12, month % 12 + 1, 1) - timedelta(days=1)
 
 
-def fragmented(spark: SparkSession, path: str, column: str, target_mb: int = 384) -> list[str]:
-    """Partitions that hold more files than their bytes need; read from metadata."""
-    out = []
+def files_of(spark: SparkSession, path: str, column: str) -> dict[str, tuple[int, int]]:
+    """{partition value: (files, bytes)}; read from metadata."""
+    out = {}
     for value in partition_values(spark, path, column):
         fs, folder = _fs(spark, f"{path}/{column}={value}")
         summary = fs.getContentSummary(folder)
-        if summary.getFileCount() > max(1, -(-summary.getLength() // (target_mb << 20))):
-            out.append(value)
+        out[value] = summary.getFileCount(), summary.getLength()
     return out
 
 
+def files_needed(size: int, target_mb: int) -> int:
+    return max(1, -(-size // (target_mb << 20)))
+
+
+def fragmented(spark: SparkSession, path: str, column: str, target_mb: int = 384) -> list[str]:
+    """Partitions that hold more files than their bytes need."""
+    return [v for v, (files, size) in files_of(spark, path, column).items() if files > files_needed(size, target_mb)]
+
+
 def compact(spark: SparkSession, path: str, partition_col: str, values: list,
             target_mb: int = 384, schema: T.StructType | None = None) -> None:
-    """Rewrite partitions into files of about the target size.
+    """Rewrite partitions into as many files as their bytes need.
 
-    The rebalance shuffle is cut by AQE at the advisory size, so a large
-    partition becomes several files and many small ones share a task.
+    Every file is one task: a partition's rows go to its files by a hash of the row, and no setting
+    of the session changes.
     """
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, f"{target_mb}MB")
-    try:
-        rows = read(spark, path, schema).where(F.col(partition_col).isin(values))
-        overwrite_partitions(rows, path, [partition_col])
-    finally:
-        spark.conf.set(key, before)
+    sizes = files_of(spark, path, partition_col)
+    first, count, total = {}, {}, 0
+    for value in map(str, values):
+        first[value], count[value] = total, files_needed(sizes[value][1], target_mb)
+        total += count[value]
+    if not total:
+        return
+
+    def literal(numbers: dict[str, int]) -> Column:
+        return F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])[F.col(partition_col).cast("string")]
+
+    rows = read(spark, path, schema).where(F.col(partition_col).cast("string").isin(list(first)))
+    columns = rows.columns
+    share = F.pmod(F.xxhash64(*columns), literal(count).cast("long"))
+    dealt = rows.withColumn("_file", (literal(first) + share).cast("int")).repartitionById(total, "_file")
+    (dealt.select(columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))
 
 
 def count_files(spark: SparkSession, path: str) -> int:
@@ -252,17 +316,18 @@ def count_files(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getFileCount()
 
 
-def bulk_load(build: Callable[[int], DataFrame], years: list[int], path: str,
-              partition_by: list[str]) -> int:
-    """Initial load in yearly slices; a non-empty target is left alone."""
+def bulk_load(build: Callable[[int], DataFrame], years: list[int], path: str, year_col: str) -> int:
+    """Initial load in yearly slices, each an overwrite of its own partition.
+
+    A partition appears when its slice is committed, so a load that broke off goes on with the first
+    year that is missing. Returns the number of years loaded.
+    """
     loaded = 0
     for year in years:
         df = build(year)
-        if loaded == 0:
-            if exists(df.sparkSession, path) and not read(df.sparkSession, path).isEmpty():
-                return 0
-            replace(df, path, partition_by)
-        else:
-            append(df, path, partition_by)
+        spark = df.sparkSession
+        if exists(spark, path) and str(year) in partition_values(spark, path, year_col):
+            continue
+        overwrite_partitions(df, path, [year_col])
         loaded += 1
     return loaded
