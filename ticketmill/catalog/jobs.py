@@ -38,6 +38,20 @@ def daily_build(t: Tables):
                      "mart_hourly", "mart_report")])
 
 
+@query("n1_two_nights", """
+SELECT arrived, count(*) AS n_rows, count(DISTINCT prblm_code) AS tickets
+FROM (SELECT prblm_code, year(ingested_at)::INTEGER AS arrived FROM t_raw) GROUP BY ALL""")
+def two_nights(t: Tables):
+    """Bronze after two nightly runs that were given no id: it has the rows of both."""
+    wh = Warehouse(t.scratch("warehouse"), "month_sk")
+    first, second, third = slices(t.raw)
+    for rows in (first.unionByName(second), third):
+        w.daily_build(t.spark, wh, rows, AS_OF, CALENDAR)
+    bronze = w.read_bronze(t.spark, wh, date(1900, 1, 1), date(2999, 1, 1))
+    return bronze.groupBy(F.year("ingested_at").alias("arrived")).agg(
+        F.count("*").alias("n_rows"), F.count_distinct("prblm_code").alias("tickets"))
+
+
 @query("n2_range_backfill", f"""
 SELECT prblm_date, prblm_status_id, count(*)::DOUBLE AS total_tickets, sum(is_resolved)::DOUBLE AS resolved_tickets FROM (
   SELECT *, row_number() OVER (PARTITION BY prblm_code ORDER BY prblm_updateddate DESC, ingested_at DESC) AS rn

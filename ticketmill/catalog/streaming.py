@@ -1,16 +1,17 @@
 """Streams over landing folders, drained slice by slice as they arrive."""
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
 from .. import functions as fn, schema
 from ..operators import quality as dq
+from ..plans.marts import serving_window
 from ..plans.warehouse import Warehouse
 from ..sources import readers, storage as st
 from ..streaming import jobs
 from . import oracle as o
-from .core import AS_OF, Tables, query
+from .core import AS_OF, TODAY, Tables, query
 from .facts import SUMMED
 from .marts import OUT_LABELS
 from .storage import RAW_NAMES, slices
@@ -35,12 +36,12 @@ def drain_ingest(t: Tables):
     return readers.read_raw(t.spark, target)
 
 
-def _chain(t: Tables) -> Warehouse:
+def _chain(t: Tables, first_as_of: datetime = AS_OF) -> Warehouse:
     landing, state = t.scratch("landing"), t.scratch("state")
     wh = Warehouse(t.scratch("warehouse"), "month_sk")
-    for part in _two(t.raw):
+    for part, as_of in zip(_two(t.raw), (first_as_of, AS_OF)):
         st.append(part, landing)
-        jobs.drain_chain(t.spark, landing, wh, state, AS_OF)
+        jobs.drain_chain(t.spark, landing, wh, state, as_of)
     return wh
 
 
@@ -93,10 +94,11 @@ def watermark_late_data(t: Tables):
 
 
 @query("l6_intraday_tier", f"""
-SELECT date_sk, {o.KEYS5}, {OUT_LABELS}, {', '.join(o.COUNTS)}, {o.RATIO_NAMES}, source_tier, freshness_as_of, updated_at FROM m_report""")
+SELECT date_sk, {o.KEYS5}, {OUT_LABELS}, {', '.join(o.COUNTS)}, {o.RATIO_NAMES}, source_tier, freshness_as_of FROM m_report""")
 def intraday_tier(t: Tables):
-    """The report after the last micro-batch: settled days and the hours of today."""
-    return _chain(t).read(t.spark, "mart_report").drop("month_sk")
+    """The report after two micro-batches on two days: what was today on the first has settled."""
+    report = _chain(t, AS_OF - timedelta(days=1)).read(t.spark, "mart_report").drop("month_sk", "updated_at")
+    return report.where(serving_window(c("date_sk"), TODAY, False))
 
 
 @query("l7_lag_monitor", f"""

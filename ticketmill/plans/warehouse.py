@@ -8,13 +8,14 @@ partitions and swaps them in; running a batch twice changes nothing.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .. import functions as fn
+from .. import functions as fn, schema
 from ..functions.calendar import local_day_range, local_today
 from ..operators import quality as dq
 from ..operators.dedup import latest_per_key, ticket_version_order
@@ -26,6 +27,10 @@ AUDIT_SCHEMA = ("run_id string, step string, status string, started_at timestamp
                 "seconds double, detail string")
 
 
+# Tables above silver that have the partitions of silver.
+REBUILT = ("hour_wide", "hour_long", "day_wide", "mart_daily", "mart_hourly", "mart_report")
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Table locations under one root.
@@ -61,21 +66,51 @@ class Warehouse:
 
 # -- bronze ------------------------------------------------------------------------
 
+MONTH = "_created_month"
+
+
+def new_batch_id(prefix: str) -> str:
+    return f"{prefix}-{uuid.uuid4().hex[:16]}"
+
+
 def append_bronze(wh: Warehouse, raw: DataFrame, as_of: datetime, batch_id: str) -> DataFrame:
-    """Store one batch under its id. The same batch replaces itself when it is retried."""
-    path = wh.path("bronze")
-    storage.overwrite_partitions(layers.bronze(raw, as_of, batch_id), path, ["_batch_id"],
-                                 cluster_by=["prblm_sysdate"])
-    return (storage.read(raw.sparkSession, path).where(F.col("_batch_id") == batch_id)
-            .withColumn("_batch_id", F.col("_batch_id").cast("string")))
+    """Store one batch in a directory of its own and return the stored rows.
+
+    The id must name this batch alone: a batch that is retried under its id replaces itself, and
+    nothing else. Inside, rows lie by creation month. Only this directory is listed.
+    """
+    rows = layers.bronze(raw, as_of, batch_id).withColumn(MONTH, fn.month_sk(F.col("prblm_sysdate")))
+    path = f"{wh.path('bronze')}/_batch_id={batch_id}"
+    storage.replace(rows.drop("_batch_id"), path, [MONTH], cluster_by=["prblm_sysdate"])
+    stored = storage.read(raw.sparkSession, path, rows.drop("_batch_id").schema)
+    return stored.withColumn("_batch_id", F.lit(batch_id)).select(rows.columns)
+
+
+def read_bronze(spark: SparkSession, wh: Warehouse, first: date, last: date) -> DataFrame:
+    """Bronze rows created on local days of the range; months outside of it are not opened. The
+    schema is given, so that an id like 007 stays text."""
+    empty = spark.createDataFrame([], schema.RAW)
+    stored = layers.bronze(empty, datetime(2000, 1, 1)).withColumn(MONTH, fn.month_sk(F.col("prblm_sysdate"))).schema
+    months = [(d.year * 100 + d.month) for d in (first - timedelta(days=1), last + timedelta(days=1))]
+    rows = storage.read(spark, wh.path("bronze"), stored)
+    return rows.where(F.col(MONTH).between(*months)).where(local_day_range(F.col("prblm_sysdate"), first, last))
 
 
 def incremental_append(source: DataFrame, path: str, column: str, overlap_minutes: int,
-                       partition_by: list[str] = ()) -> None:
-    """Append the rows newer than the stored high-water mark minus the overlap."""
+                       partition_by: list[str] = (), lookback: timedelta | None = None,
+                       as_of: datetime | None = None) -> None:
+    """Append the rows newer than the stored high-water mark minus the overlap.
+
+    With `lookback` and `as_of` both the mark and the new rows are sought only in that much time
+    before `as_of`, so that the scan of the target is bounded too.
+    """
     spark = source.sparkSession
+    recent = F.lit(True)
+    if lookback is not None:
+        recent = F.col(column) >= fn.utc_instant(as_of - lookback)
+        source = source.where(recent)
     if storage.exists(spark, path):
-        mark = high_water_mark(storage.read(spark, path), column, overlap_minutes)
+        mark = high_water_mark(storage.read(spark, path).where(recent), column, overlap_minutes)
         source = source.where(F.col(column) > fn.utc_instant(mark))
     storage.append(source, path, partition_by)
 
@@ -147,7 +182,7 @@ class AuditedRun:
             status = "success"
             return result
         except Exception as error:
-            detail = f"{type(error).__name__}: {error}"[:2000]
+            detail = f"{type(error).__name__}: {error}"
             raise
         finally:
             detail = str(result) if status == "success" and isinstance(result, int) else detail
@@ -184,9 +219,18 @@ def gold_checks(spark: SparkSession, wh: Warehouse) -> DataFrame:
 
 
 def daily_build(spark: SparkSession, wh: Warehouse, raw: DataFrame, as_of: datetime,
-                calendar: tuple[date, date], run_id: str = "daily") -> DataFrame:
-    """Nightly run over all layers in dependency order; returns the check results."""
+                calendar: tuple[date, date], run_id: str | None = None,
+                fresh_hours: int | None = None) -> DataFrame:
+    """Nightly run over all layers in dependency order; returns the check results.
+
+    A run that is retried passes the id of the first attempt; otherwise it gets one of its own.
+    With `fresh_hours` nothing is written unless some row arrived that recently.
+    """
+    run_id = run_id or new_batch_id("daily")
     run, today = AuditedRun(spark, wh, run_id), local_today(as_of)
+    if fresh_hours is not None:
+        run.step("freshness", lambda: dq.enforce(dq.run_checks(
+            [("raw", dq.source_freshness(raw, "ingested_at", as_of, fresh_hours))])))
     run.step("dims", lambda: write_dims(spark, wh, *calendar))
     rows = run.step("bronze", lambda: append_bronze(wh, raw, as_of, run_id))
     touched = run.step("silver", lambda: merge_silver(wh, rows, as_of))
@@ -206,29 +250,50 @@ def run_batch(spark: SparkSession, wh: Warehouse, raw: DataFrame, as_of: datetim
     """
     if raw.isEmpty():
         return []
-    rows = append_bronze(wh, raw, as_of, batch_id)
-    touched = merge_silver(wh, rows, as_of)
-    refresh_facts(spark, wh, touched, as_of)
-    refresh_marts(spark, wh, local_today(as_of), touched)
+    run, today = AuditedRun(spark, wh, batch_id), local_today(as_of)
+    rows = run.step("bronze", lambda: append_bronze(wh, raw, as_of, batch_id))
+    touched = run.step("silver", lambda: merge_silver(wh, rows, as_of))
+    run.step("facts", lambda: refresh_facts(spark, wh, touched, as_of))
+    ended = run.step("ended days", lambda: ended_intraday(spark, wh, today))
+    run.step("marts", lambda: refresh_marts(spark, wh, today, sorted({*touched, *ended})))
     return touched
 
 
+def ended_intraday(spark: SparkSession, wh: Warehouse, today: date) -> list:
+    """Partitions of the report with days before today that were written while they went on."""
+    if not storage.exists(spark, wh.path("mart_report")):
+        return []
+    report = wh.read(spark, "mart_report")
+    stale = report.where((F.col("date_sk") < F.lit(today)) & (F.col("source_tier") == marts.INTRADAY_TIER))
+    return storage.touched_values(stale, wh.partition_col)
+
+
 def backfill(spark: SparkSession, wh: Warehouse, first: date, last: date, as_of: datetime) -> list:
     """Rebuild silver and everything above it for a date range from bronze.
 
     The range becomes a literal bound on the creation instant, so bronze is
     pruned by row-group statistics, and it grows to whole partitions.
     """
-    first, last = wh.cover(first, last)
-    rows = wh.read(spark, "bronze").where(local_day_range(F.col("prblm_sysdate"), first, last))
+    run = AuditedRun(spark, wh, new_batch_id("backfill"))
+    return run.step("backfill", lambda: _backfill(spark, wh, *wh.cover(first, last), as_of))
+
+
+def _backfill(spark: SparkSession, wh: Warehouse, first: date, last: date, as_of: datetime) -> list:
+    rows = read_bronze(spark, wh, first, last)
     current = latest_per_key(rows, ["prblm_code"], ticket_version_order())
     rebuilt = wh.tagged(layers.silver_columns(current, as_of))
-    storage.overwrite_partitions(rebuilt, wh.path("silver"), [wh.partition_col])
-    stored = wh.read(spark, "silver").where(F.col("prblm_date").between(F.lit(first), F.lit(last)))
-    touched = storage.touched_values(stored, wh.partition_col)
+    # Partitions of the range that got no rows are emptied in every table.
+    days = [first + timedelta(days=i) for i in range((last - first).days + 1)]
+    values = sorted({d if wh.partition_col == "prblm_date" else d.year * 100 + d.month for d in days})
+    storage.replace_slice(rebuilt, wh.path("silver"), wh.partition_col, values)
+    touched = storage.touched_values(rebuilt, wh.partition_col)
+    gone = [v for v in values if v not in set(touched)]
+    for table in REBUILT:
+        for value in gone:
+            storage.drop_partition(spark, wh.path(table), wh.partition_col, value)
     refresh_facts(spark, wh, touched, as_of)
     refresh_marts(spark, wh, local_today(as_of), touched)
-    for table in ("silver", "day_wide"):
-        if wh.read(spark, table).isEmpty():
-            raise ValueError(f"{table} is empty after the backfill")
+    for table in ("silver", *REBUILT):
+        if touched and wh.read(spark, table).where(F.col(wh.partition_col).isin(touched)).isEmpty():
+            raise ValueError(f"{table} has no rows of the range after the backfill")
     return touched

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import datetime
 
@@ -31,18 +32,26 @@ def drain(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], Non
     return query
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps with a checkpoint: the same after a restart, another one for a
+    checkpoint made anew, also in the same place."""
+    meta = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(meta)["id"].replace("-", "")
+
+
 def drain_ingest(spark: SparkSession, landing: str, target: str, rejects: str,
                  checkpoint: str) -> StreamingQuery:
     """Feed messages -> typed raw rows; unreadable rows go to `rejects`.
 
-    Both sides write under the batch number, so a batch that is retried after a
-    failure replaces its own output.
+    Both sides write under the checkpoint's id and the batch number, so a batch that is retried
+    after a failure replaces its own output, and never that of another checkpoint.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         judged = readers.judge_feed(batch).persist()
         try:
+            number = f"{stream_id(spark, checkpoint)}-{batch_id}"
             for rows, path in ((readers.accepted(judged), target), (readers.rejected(judged), rejects)):
-                storage.overwrite_partitions(rows.withColumn("ingest_batch", F.lit(batch_id)), path,
+                storage.overwrite_partitions(rows.withColumn("ingest_batch", F.lit(number)), path,
                                              ["ingest_batch"])
         finally:
             judged.unpersist()
@@ -53,7 +62,7 @@ def drain_chain(spark: SparkSession, landing: str, wh: Warehouse, checkpoint: st
                 as_of: datetime) -> StreamingQuery:
     """Micro-batches through bronze, silver, facts and marts."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        wh_mod.run_batch(spark, wh, batch, as_of, f"stream-{batch_id}")
+        wh_mod.run_batch(spark, wh, batch, as_of, f"stream-{stream_id(spark, checkpoint)}-{batch_id}")
     return drain(raw_stream(spark, landing), checkpoint, handle)
 
 
