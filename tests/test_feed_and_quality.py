@@ -28,6 +28,28 @@ def test_feed_round_trip_and_rejects(spark):
     assert sorted(r.reason for r in bad.collect()) == ["json", "prblm_sysdate"]
 
 
+def test_feed_reads_numbers_and_flags_sent_as_text(spark):
+    cells = [{"prblm_code": "text", "prblm_status_id": "5", "prblm_doneatatime": "true"},
+             {"prblm_code": "float", "prblm_status_id": 5.0, "prblm_doneatatime": True},
+             {"prblm_code": "word", "prblm_status_id": "abc"}, {"prblm_code": "part", "prblm_status_id": 5.5},
+             {"prblm_code": "large", "prblm_status_id": 99999999999}, {"prblm_code": "flag", "prblm_doneatatime": "maybe"}]
+    short = json.dumps({"rows": [{"prblm_code": "lost"}], "count": 2})
+    good, bad = readers.parse_feed(spark.createDataFrame([(message(*cells),), (short,)], "value string"))
+    assert sorted((r.prblm_code, r.prblm_status_id, r.prblm_doneatatime) for r in good.collect()) == [
+        ("float", 5, True), ("text", 5, True)]
+    assert sorted(r.reason for r in bad.collect()) == ["count", "prblm_doneatatime"] + ["prblm_status_id"] * 3
+
+
+def test_all_failing_rules_are_named(spark):
+    many = spark.createDataFrame([("t", f"rule{i}", "c", 1, 1, "fail") for i in range(30)],
+                                 "table_name string, rule string, column_name string, failures long, checked long, status string")
+    with pytest.raises(ValueError) as error:
+        dq.enforce(many)
+    assert all(f"rule{i} " in str(error.value) for i in range(30))
+    counted = dq.row_count_min(spark.range(50).toDF("x"), "t", 10).first()
+    assert (counted.failures, counted.checked) == (0, 50)
+
+
 def test_drain_reads_each_message_once(spark):
     landing, target, rejects, state = (scratch_path(spark, n) for n in ("feed", "raw", "rejects", "state"))
     for code in ("T-1", "T-2"):

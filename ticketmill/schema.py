@@ -21,9 +21,8 @@ RAW_COLUMNS = [
 RAW = T.StructType([T.StructField(n, t) for n, t in RAW_COLUMNS])
 RAW_PII = ["usr_id", "prblm_name"]
 
-# Feed rows arrive as text for timestamps; everything else is already typed JSON.
-FEED_ROW = T.StructType([
-    T.StructField(n, _S if isinstance(t, T.TimestampType) else t) for n, t in RAW_COLUMNS])
+# Cells are read as text, whatever JSON type a sender gave them.
+FEED_ROW = T.StructType([T.StructField(n, _S) for n, _ in RAW_COLUMNS])
 FEED_MESSAGE = T.StructType([
     T.StructField("rows", T.ArrayType(FEED_ROW)), T.StructField("count", T.LongType())])
 

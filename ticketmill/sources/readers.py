@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import schema
 from ..functions import parse_iso_timestamp
@@ -27,33 +27,43 @@ def parse_feed(messages: DataFrame, body: str = "value") -> tuple[DataFrame, Dat
 def judge_feed(messages: DataFrame, body: str = "value") -> DataFrame:
     """Typed feed rows with a verdict.
 
-    A row is rejected when a timestamp is present but unreadable, and a message
-    when its JSON does not parse.
+    Numbers and flags may come as text, 5.0 is a whole number. A row is rejected when a cell is
+    present but cannot be read as its type; a message when its JSON does not parse, and as a whole
+    when its count differs from its rows.
     """
     # FAILFAST would kill the job on one bad message; PERMISSIVE leaves rows NULL.
     parsed = messages.select(
         F.col(body).alias("_body"), F.from_json(F.col(body), schema.FEED_MESSAGE).alias("_m"))
-    rows = parsed.select("_body", F.explode_outer("_m.rows").alias("_r"),
-                         F.col("_m.rows").isNull().alias("_unreadable"))
-    stamps = [n for n, t in schema.RAW_COLUMNS if isinstance(t, T.TimestampType)]
-    typed = rows.select("_body", "_r", "_unreadable", *[
-        (parse_iso_timestamp(F.col(f"_r.{n}")) if n in stamps else F.col(f"_r.{n}")).alias(n)
-        for n, _ in schema.RAW_COLUMNS])
+    count, rows_in = F.col("_m.count"), F.size("_m.rows")
+    fault = F.when(F.col("_m.rows").isNull(), "json").when(count != rows_in, "count")
+    rows = parsed.select("_body", fault.alias("_fault"), F.explode_outer(
+        F.when(fault.isNull(), F.col("_m.rows"))).alias("_r"))
+    typed = rows.select("_body", "_r", "_fault", *[_cell(F.col(f"_r.{n}"), t).alias(n) for n, t in schema.RAW_COLUMNS])
     bad = F.array_compact(F.array(*[
-        F.when(F.col(f"_r.{n}").isNotNull() & F.col(n).isNull(), F.lit(n)) for n in stamps]))
+        F.when(F.col(f"_r.{n}").isNotNull() & F.col(n).isNull(), F.lit(n)) for n, _ in schema.RAW_COLUMNS]))
     return typed.withColumn("_bad", bad)
 
 
+def _cell(text: Column, kind: T.DataType) -> Column:
+    """The cell as its type; NULL where it cannot be read."""
+    if isinstance(kind, T.TimestampType):
+        return parse_iso_timestamp(text)
+    if isinstance(kind, T.IntegerType):
+        number = text.try_cast("decimal(38,10)")
+        return F.when(number == F.floor(number), number.try_cast("int"))
+    return text if isinstance(kind, T.StringType) else text.try_cast(kind)
+
+
 def accepted(judged: DataFrame) -> DataFrame:
-    good = judged.where(~F.col("_unreadable") & F.col("_r").isNotNull() & (F.size("_bad") == 0))
+    good = judged.where(F.col("_fault").isNull() & F.col("_r").isNotNull() & (F.size("_bad") == 0))
     return good.select([n for n, _ in schema.RAW_COLUMNS])
 
 
 def rejected(judged: DataFrame) -> DataFrame:
-    unreadable = F.col("_unreadable")
-    return judged.where(unreadable | (F.size("_bad") > 0)).select(
-        F.when(unreadable, F.col("_body")).otherwise(F.to_json("_r")).alias("payload"),
-        F.when(unreadable, F.lit("json")).otherwise(F.array_join("_bad", ",")).alias("reason"))
+    whole = F.col("_fault").isNotNull()
+    return judged.where(whole | (F.size("_bad") > 0)).select(
+        F.when(whole, F.col("_body")).otherwise(F.to_json("_r")).alias("payload"),
+        F.coalesce("_fault", F.array_join("_bad", ",")).alias("reason"))
 
 
 def to_feed(raw: DataFrame) -> DataFrame:
