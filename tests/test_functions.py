@@ -129,3 +129,16 @@ def test_date_parts_and_labels(spark):
                    "is_weekend": 1, "year_month": "202403", "year_quarter": "2024-Q1"}
     assert column_of(spark, "int", [3], fn.hour_label) == ["03:00"]
     assert column_of(spark, "int", [8, 9, 18, 19], fn.business_hour) == [0, 1, 1, 0]
+
+
+def test_entity_keys_with_a_missing_part_are_the_null_member(spark):
+    rows = spark.createDataFrame([("a", None), (None, "a"), ("a", "b"), ("a|b", "c"), ("a", "b|c")], "x string, y string")
+    keys = [r[0] for r in rows.select(fn.entity_key("c", F.col("x"), F.col("y"))).collect()]
+    null = spark.range(1).select(fn.stable_hash64(F.lit(None).cast("string"))).first()[0]
+    assert keys[0] == keys[1] == null and keys[2] != null
+
+
+def test_exact_mean_of_large_and_small_values(spark):
+    df = spark.createDataFrame([(9e13,), (9e13,), (1e-11,), (2e-11,)], "v double")
+    assert df.where("v > 1").select(fn.exact_mean(F.col("v"), 1)).first()[0] == 9e13
+    assert df.where("v < 1").select(fn.exact_mean(F.col("v"), 12)).first()[0] == 1.5e-11

@@ -1,10 +1,11 @@
 """Shape of the physical plans: what must not shuffle, scan twice or leave the JVM."""
 
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from ticketmill import functions as fn
 from ticketmill.functions.calendar import local_day_range
 from ticketmill.operators import windows as w
 from ticketmill.operators.dedup import latest_per_key, ticket_version_order
@@ -14,6 +15,8 @@ from ticketmill.sources import readers, storage as st
 from ticketmill.catalog import QUERIES
 
 from conftest import DATA
+from ticketmill.catalog.core import TODAY
+
 from helpers import AS_OF, plan
 
 # Queries that write tables or run streams while they are built.
@@ -36,6 +39,35 @@ def test_dedup_prunes_before_the_shuffle(tables):
     assert "WindowGroupLimit" in before and "Partial" in before
 
 
+def test_day_windows_lie_below_the_dedup(tables):
+    for df in (tables.between(TODAY, TODAY).hours, tables.daily, tables.hourly):
+        text = plan(df)
+        below = text[text.index("Exchange hashpartitioning(prblm_code"):]
+        assert "WindowGroupLimit" in below and ":00:00)" in below.split("WindowGroupLimit")[-1]
+
+
+def test_report_reads_the_tickets_once(tables):
+    served = tables.served
+    df = marts.daily_report(served.days, served.hours, TODAY)
+    df.count()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert marts.daily_report(served.days, served.hours, TODAY).columns == df.columns
+    assert final.count("FileScan parquet") <= 2
+
+
+def test_incremental_append_bounds_the_scan_of_the_target(spark, tables):
+    from ticketmill.plans.warehouse import incremental_append
+    path = scratch_path(spark, "bronze")
+    st.append(tables.raw, path)
+    recent = F.col("ingested_at") >= fn.utc_instant(AS_OF - timedelta(days=2))
+    text = plan(st.read(spark, path).where(recent).agg(F.max("ingested_at")))
+    assert "GreaterThanOrEqual(ingested_at" in text
+    before = st.read(spark, path).count()
+    incremental_append(tables.raw, path, "ingested_at", 0, lookback=timedelta(days=2), as_of=AS_OF)
+    late = tables.raw.where(F.col("ingested_at") > st.read(spark, path).where(recent).agg(F.max("ingested_at")).first()[0])
+    assert st.read(spark, path).count() == before and late.count() == 0
+
+
 def test_long_fact_scans_once_and_pivot_adds_no_shuffle(tables):
     long = plan(tables.long)
     assert long.count("FileScan parquet") == 1 and long.count("Exchange") == 2

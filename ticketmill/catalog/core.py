@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import local_date
+from ..functions.calendar import local_day_range
 from ..plans import cases, dims, facts, layers, marts, sales
 from ..session import prepare, scratch_path
 from ..sources.derive import read_table, tickets_from_orders
@@ -14,6 +15,7 @@ from . import oracle as sql_text
 
 AS_OF = datetime(1998, 7, 1, 12)
 TODAY = date(1998, 7, 1)
+FAR = date(9000, 1, 1)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,8 +24,18 @@ ORACLES: dict[str, str] = {}
 class Tables:
     """Lazily derived layers over one data directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = prepare(spark), sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, days: tuple[date, date] | None = None):
+        self.spark, self.sf_dir, self._days = prepare(spark), sf_dir, days
+
+    def between(self, first: date, last: date = FAR) -> Tables:
+        """The same layers over tickets created on these local days. A ticket's creation time is the
+        same in all its versions, so the bound goes below the dedup."""
+        return Tables(self.spark, self.sf_dir, (first, last))
+
+    @cached_property
+    def served(self) -> Tables:
+        """The days that the serving marts show."""
+        return self.between(TODAY - timedelta(days=marts.SERVING_DAYS))
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -33,7 +45,8 @@ class Tables:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return tickets_from_orders(self.table("orders"))
+        rows = tickets_from_orders(self.table("orders"))
+        return rows.where(local_day_range(F.col("prblm_sysdate"), *self._days)) if self._days else rows
 
     @cached_property
     def bronze(self) -> DataFrame:
@@ -61,10 +74,14 @@ class Tables:
 
     @cached_property
     def daily(self) -> DataFrame:
-        return marts.ticket_daily(self.days, TODAY)
+        return marts.ticket_daily(self.served.days, TODAY)
 
     @cached_property
     def hourly(self) -> DataFrame:
+        return marts.ticket_hourly(self.served.hours, TODAY)
+
+    @cached_property
+    def hourly_all(self) -> DataFrame:
         return marts.ticket_hourly(self.hours, TODAY)
 
     @cached_property

@@ -1,6 +1,6 @@
 """Aggregations, roll-ups, windows and layer builds."""
 
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -89,7 +89,7 @@ SELECT prblm_date AS date_sk, prblm_hour AS hour_of_day, {o.KEYS5}, {', '.join(f
        {o.ratio('sum_resolution_hours', 'cnt_resolution_hours')} AS avg_resolution_hours,
        {o.ratio('sum_response_hours', 'cnt_response_hours')} AS avg_response_hours FROM t_hourw WHERE prblm_date = {o.TODAY}""")
 def hour_today(t: Tables):
-    return raw_metrics.hour_today(t.hours, TODAY)
+    return raw_metrics.hour_today(t.between(TODAY, TODAY).hours, TODAY)
 
 
 # -- registry-driven ----------------------------------------------------------------
@@ -243,14 +243,14 @@ SELECT prblm_date, {o.KEYS5}, {SUMMED}, {o.RATIO_NAMES}, updated_at FROM t_day W
 def fact_day_wide(t: Tables):
     """The rolling form: the last seven days, filtered below the aggregate."""
     from ..operators.windows import day_lookback
-    return facts.day_wide(t.hours.where(day_lookback(c("prblm_date"), TODAY, 7)))
+    return facts.day_wide(t.between(TODAY - timedelta(days=7)).hours.where(day_lookback(c("prblm_date"), TODAY, 7)))
 
 
 @query("j6_fact_month_wide", f"""
 SELECT month_sk, {o.KEYS5}, {SUMMED}, {o.RATIO_NAMES}, updated_at FROM t_month WHERE month_sk >= 199805""")
 def fact_month_wide(t: Tables):
     from ..operators.windows import month_lookback
-    return facts.month_wide(t.days.where(month_lookback(c("prblm_date"), TODAY, 2)))
+    return facts.month_wide(t.between(date(1998, 5, 1)).days.where(month_lookback(c("prblm_date"), TODAY, 2)))
 
 
 @query("j10_cs_daily_report", f"""

@@ -74,6 +74,7 @@ def business_lookback(t: Tables):
         return df.groupBy(F.lit(grain).alias("grain"), label.cast("string").alias("slice")).agg(
             F.sum("total_tickets").alias("total_tickets"))
     day = c("prblm_date")
+    t = t.between(date(1998, 5, 1))
     return (slices("day", t.days.where(w.day_lookback(day, TODAY, 7)), day)
             .unionByName(slices("month", t.months.where(w.month_sk_lookback(c("month_sk"), TODAY, 2)), c("month_sk")))
             .unionByName(slices("month_by_day", t.days.where(w.month_lookback(day, TODAY, 2)), fn.month_sk(day))))
@@ -84,7 +85,7 @@ SELECT CASE WHEN prblm_date >= {o.TODAY} - 3 THEN 'refresh' ELSE 'full' END AS r
        sum(total_tickets) AS total_tickets FROM t_day WHERE prblm_date >= {o.TODAY} - 730 GROUP BY ALL""")
 def serving_window(t: Tables):
     day = c("prblm_date")
-    kept = t.days.where(marts.serving_window(day, TODAY, refresh=False))
+    kept = t.served.days.where(marts.serving_window(day, TODAY, refresh=False))
     run = F.when(marts.serving_window(day, TODAY, refresh=True), "refresh").otherwise("full")
     return kept.groupBy(run.alias("run")).agg(F.count("*").alias("n_rows"),
                                               F.sum("total_tickets").alias("total_tickets"))
@@ -93,7 +94,7 @@ def serving_window(t: Tables):
 @query("c7_initial_window", f"""
 SELECT prblm_date, count(*) AS n_tickets FROM t_silver WHERE prblm_date >= {o.TODAY} - 30 GROUP BY ALL""")
 def initial_window(t: Tables):
-    return (t.silver.where(w.day_lookback(c("prblm_date"), TODAY, 30))
+    return (t.between(TODAY - timedelta(days=30)).silver.where(w.day_lookback(c("prblm_date"), TODAY, 30))
             .groupBy("prblm_date").agg(F.count("*").alias("n_tickets")))
 
 
@@ -107,7 +108,7 @@ def half_open_month(t: Tables):
 @query("c9_rebuild_from_date", f"""
 SELECT prblm_date, {o.KEYS5}, total_tickets FROM t_day WHERE prblm_date >= DATE '2000-06-01'""")
 def rebuild_from_date(t: Tables):
-    return (t.days.where(w.rebuild_from(c("prblm_date"), date(2000, 6, 1)))
+    return (t.between(date(2000, 6, 1)).days.where(w.rebuild_from(c("prblm_date"), date(2000, 6, 1)))
             .select(*schema.DAY_KEYS, "total_tickets"))
 
 

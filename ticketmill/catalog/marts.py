@@ -1,5 +1,7 @@
 """Serving marts, tier unions, top-k and dashboard cards."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from .. import functions as fn, schema
@@ -29,14 +31,14 @@ def cache_ticket_hourly(t: Tables):
 @query("j9_cache_daily_report", f"""
 SELECT date_sk, {o.KEYS5}, {OUT_LABELS}, {', '.join(o.COUNTS)}, {o.RATIO_NAMES}, source_tier, freshness_as_of, updated_at FROM m_report""")
 def cache_daily_report(t: Tables):
-    return marts.daily_report(t.days, t.hours, TODAY)
+    return marts.daily_report(t.served.days, t.served.hours, TODAY)
 
 
 @query("h1_lambda_union", f"""
 SELECT date_sk, source_tier, sum(total_tickets) AS total_tickets, sum(within_sla_tickets) AS within_sla_tickets, count(*) AS n_rows
 FROM m_report GROUP BY ALL""")
 def lambda_union(t: Tables):
-    return marts.daily_report(t.days, t.hours, TODAY).groupBy("date_sk", "source_tier").agg(
+    return marts.daily_report(t.served.days, t.served.hours, TODAY).groupBy("date_sk", "source_tier").agg(
         F.sum("total_tickets").alias("total_tickets"), F.sum("within_sla_tickets").alias("within_sla_tickets"),
         F.count("*").alias("n_rows"))
 
@@ -97,7 +99,8 @@ def ranked_groups(t: Tables):
 SELECT prblm_date, catsub_id, count(*) AS n_tickets FROM t_silver WHERE prblm_date >= DATE '1998-01-01' AND prblm_date < DATE '1999-01-01'
 GROUP BY ALL ORDER BY prblm_date, catsub_id""")
 def ordered_slice(t: Tables):
-    return (t.silver.where(F.year("prblm_date") == 1998).groupBy("prblm_date", "catsub_id")
+    year = t.between(date(1998, 1, 1), date(1998, 12, 31)).silver
+    return (year.groupBy("prblm_date", "catsub_id")
             .agg(F.count("*").alias("n_tickets")).orderBy("prblm_date", "catsub_id"))
 
 
@@ -191,17 +194,17 @@ SLOT = "strftime(date_sk, '%Y-%m-%d') || ' ' || lpad(hour_of_day::VARCHAR, 2, '0
 
 @query("k6_today_by_hour", _by_hour("m_hourly", "date_sk", "hour_of_day", SLOT))
 def k6(t: Tables):
-    return db.today_by_hour(t.hourly, TODAY)
+    return db.today_by_hour(t.between(TODAY, TODAY).hourly_all, TODAY)
 
 
 @query("k7_today_by_subsite", _by_site("m_hourly", "date_sk"))
 def k7(t: Tables):
-    return db.today_by_subsite(t.hourly, TODAY)
+    return db.today_by_subsite(t.between(TODAY, TODAY).hourly_all, TODAY)
 
 
 @query("k8_today_hour_detail", _detail("m_hourly", "date_sk", "hour_of_day", "strftime(max(updated_at), '%H:%M:%S')"))
 def k8(t: Tables):
-    return db.today_hour_detail(t.hourly, TODAY)
+    return db.today_hour_detail(t.between(TODAY, TODAY).hourly_all, TODAY)
 
 
 @query("k9_gold_daily_volume", _volume("t_day", "prblm_date", db.DAY))
@@ -237,14 +240,14 @@ def k13(t: Tables):
 
 @query("k14_gold_today_by_hour", _by_hour("t_hourw", "prblm_date", "prblm_hour", "lpad(prblm_hour::VARCHAR, 2, '0') || ':00'"))
 def k14(t: Tables):
-    return db.gold_today_by_hour(t.hours, TODAY)
+    return db.gold_today_by_hour(t.between(TODAY, TODAY).hours, TODAY)
 
 
 @query("k15_gold_today_by_subsite", _by_site("t_hourw", "prblm_date"))
 def k15(t: Tables):
-    return db.gold_today_by_subsite(t.hours, TODAY)
+    return db.gold_today_by_subsite(t.between(TODAY, TODAY).hours, TODAY)
 
 
 @query("k16_gold_today_hour_detail", _detail("t_hourw", "prblm_date", "prblm_hour", "max(updated_at)"))
 def k16(t: Tables):
-    return db.gold_today_hour_detail(t.hours, TODAY)
+    return db.gold_today_hour_detail(t.between(TODAY, TODAY).hours, TODAY)

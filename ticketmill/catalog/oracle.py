@@ -112,8 +112,8 @@ def pct(num: str, den: str, digits: int) -> str:
 
 
 def mean(column: str, digits: int) -> str:
-    total = f"(sum({column}::DECIMAL(18,10)) * 10000000000)::HUGEINT"
-    return half_up(total, f"(count({column})::HUGEINT * 10000000000)", digits)
+    total = f"(sum({column}::DECIMAL(26,12)) * 1000000000000)::HUGEINT"
+    return half_up(total, f"(count({column})::HUGEINT * 1000000000000)", digits)
 
 
 def ratio(a: str, b: str) -> str:

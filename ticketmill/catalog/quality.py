@@ -99,7 +99,7 @@ def sla_logic(t: Tables):
 
 
 @query("m8_row_count_min", """
-SELECT 'row_count_min' AS rule, 'bronze' AS column_name, 0::BIGINT AS failures, count(*) AS checked FROM (SELECT 1 FROM t_raw LIMIT 1)
+SELECT 'row_count_min' AS rule, 'bronze' AS column_name, 0::BIGINT AS failures, count(*) AS checked FROM t_raw
 UNION ALL SELECT 'row_count_min', 'future', 1::BIGINT, count(*) FROM t_raw WHERE ingested_at > TIMESTAMP '2030-01-01'""")
 def row_count_min(t: Tables):
     future = t.raw.where(c("ingested_at") > F.lit("2030-01-01").cast("timestamp"))

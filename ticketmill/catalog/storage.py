@@ -14,13 +14,14 @@ from . import oracle as o
 from .core import AS_OF, TODAY, Tables, query
 
 c = F.col
-# Arrival slices used wherever a table is built step by step.
-CUTS = [datetime(1990, 1, 1), datetime(1997, 1, 1), datetime(1998, 7, 1), datetime(2010, 1, 1)]
+# Bounds of the arrival slices used wherever a table is built step by step; the ends are open.
+CUTS = [datetime(1997, 1, 1), datetime(1998, 7, 1)]
 
 
 def slices(raw: DataFrame) -> list[DataFrame]:
-    return [raw.where((c("ingested_at") >= fn.utc_instant(a)) & (c("ingested_at") < fn.utc_instant(b)))
-            for a, b in zip(CUTS, CUTS[1:])]
+    low, high = (fn.utc_instant(x) for x in CUTS)
+    at = c("ingested_at")
+    return [raw.where(at < low), raw.where((at >= low) & (at < high)), raw.where(at >= high)]
 
 
 RAW_NAMES = ", ".join(n for n, _ in schema.RAW_COLUMNS)
@@ -35,10 +36,14 @@ def scan_raw(t: Tables):
 
 
 def _feed(t: Tables) -> DataFrame:
-    """Feed messages on disk; those of the last days of February 1996 carry a broken date."""
+    """Feed messages on disk. Those of the last days of February 1996 carry a broken date, source 3
+    comes as text, source 4 as 4.0, and class 7 as a word."""
     path = t.scratch("feed")
-    messages = readers.to_feed(t.raw).withColumn(
-        "value", F.regexp_replace("value", r'"prblm_updateddate":"1996-02-2(\d)T', '"prblm_updateddate":"1996/02/2$1 '))
+    value = F.regexp_replace("value", r'"prblm_updateddate":"1996-02-2(\d)T', '"prblm_updateddate":"1996/02/2$1 ')
+    value = F.replace(value, F.lit('"prblm_source_id":3,'), F.lit('"prblm_source_id":"3",'))
+    value = F.replace(value, F.lit('"prblm_source_id":4,'), F.lit('"prblm_source_id":4.0,'))
+    value = F.replace(value, F.lit('"prblm_class_id":7,'), F.lit('"prblm_class_id":"seven",'))
+    messages = readers.to_feed(t.raw).withColumn("value", value)
     messages.write.text(path)
     return t.spark.read.text(path)
 
@@ -46,12 +51,14 @@ def _feed(t: Tables) -> DataFrame:
 BROKEN = "strftime(prblm_updateddate, '%Y-%m-%d') BETWEEN '1996-02-20' AND '1996-02-29'"
 
 
-@query("a2_parse_feed", f"SELECT {RAW_NAMES} FROM t_raw WHERE NOT ({BROKEN})")
+@query("a2_parse_feed", f"SELECT {RAW_NAMES} FROM t_raw WHERE NOT ({BROKEN}) AND prblm_class_id IS DISTINCT FROM 7")
 def parse_feed(t: Tables):
     return readers.parse_feed(_feed(t))[0]
 
 
-@query("a2_feed_rejects", f"SELECT prblm_code, 'prblm_updateddate' AS reason FROM t_raw WHERE {BROKEN}")
+@query("a2_feed_rejects", f"""
+SELECT prblm_code, concat_ws(',', CASE WHEN {BROKEN} THEN 'prblm_updateddate' END, CASE WHEN prblm_class_id = 7 THEN 'prblm_class_id' END) AS reason
+FROM t_raw WHERE {BROKEN} OR prblm_class_id = 7""")
 def feed_rejects(t: Tables):
     rejected = readers.parse_feed(_feed(t))[1]
     return rejected.select(F.get_json_object("payload", "$.prblm_code").alias("prblm_code"), "reason")
@@ -91,8 +98,8 @@ def bulk_load(t: Tables):
         rows = stored.where(c("prblm_year") == y)
         return layers.bronze(rows, AS_OF).withColumn("prblm_year", F.year("prblm_sysdate"))
 
-    st.bulk_load(build, years, path, ["prblm_year"])
-    again = st.bulk_load(build, years, path, ["prblm_year"])
+    st.bulk_load(build, years, path, "prblm_year")
+    again = st.bulk_load(build, years, path, "prblm_year")
     return st.read(t.spark, path).groupBy("prblm_year").agg(
         F.count("*").alias("n_rows"), F.sum("is_resolved").alias("resolved"), F.lit(again).alias("reloaded"))
 
@@ -190,18 +197,19 @@ def dual_target(t: Tables):
 
 
 def _evolved(policy: str):
-    """Stored rows of the first arrivals, then a batch with one column gone and one new."""
+    """Stored rows of the first two slices, then a batch with one column gone and one new."""
     def build(t: Tables):
         path = t.scratch("evolving")
-        first, *_, last = slices(t.raw)
-        st.replace(first.select("prblm_code", "catsub_id", "gd_id"), path)
+        *stored, last = slices(t.raw)
+        for part in stored:
+            st.append(part.select("prblm_code", "catsub_id", "gd_id"), path)
         batch = last.select("prblm_code", c("catsub_id").cast("bigint").alias("catsub_id"), "supplier_id")
-        return st.union_evolved(st.read(t.spark, path), batch, policy)
+        return st.append_evolved(batch, path, policy)
     return build
 
 
 def _evolved_sql(stored: str, batch: str) -> str:
-    return (f"SELECT {stored} FROM t_raw WHERE {SLICE} = 0 UNION ALL SELECT {batch} FROM t_raw WHERE {SLICE} = 2")
+    return (f"SELECT {stored} FROM t_raw WHERE {SLICE} < 2 UNION ALL SELECT {batch} FROM t_raw WHERE {SLICE} = 2")
 
 
 query("a11_append_new_columns", _evolved_sql("prblm_code, catsub_id, gd_id, NULL::INTEGER AS supplier_id",
@@ -228,18 +236,23 @@ def retention(t: Tables):
 
 
 @query("a13_compact", """
-SELECT (year(prblm_date) * 100 + month(prblm_date))::BIGINT AS month_sk, count(*) AS n_rows, true AS fewer_files FROM t_silver GROUP BY ALL""")
+SELECT (year(prblm_date) * 100 + month(prblm_date))::BIGINT AS month_sk, count(*) AS rows_before, count(*) AS rows_after,
+       count(within_sla) AS judged, min(prblm_code) AS first_code, max(prblm_code) AS last_code, true AS no_more_files_than_needed
+FROM t_silver GROUP BY ALL""")
 def compact(t: Tables):
     """Many small files per month, rewritten towards the target size."""
     path = t.scratch("small")
     rows = t.silver.select("prblm_code", "prblm_date", "within_sla", fn.month_sk(c("prblm_date")).alias("month_sk"))
     rows.repartition(4, "prblm_code").write.partitionBy("month_sk").parquet(path)
-    before = st.count_files(t.spark, path)
-    worn = [int(v) for v in st.fragmented(t.spark, path, "month_sk")]
-    st.compact(t.spark, path, "month_sk", worn, schema=rows.schema)
-    fewer = st.count_files(t.spark, path) < before
-    return st.read(t.spark, path, rows.schema).groupBy("month_sk").agg(
-        F.count("*").alias("n_rows"), F.lit(fewer).alias("fewer_files"))
+    before = st.read(t.spark, path, rows.schema).groupBy("month_sk").agg(F.count("*").alias("rows_before"))
+    counted = t.scratch("counted")
+    st.replace(before, counted)
+    st.compact(t.spark, path, "month_sk", st.fragmented(t.spark, path, "month_sk"), schema=rows.schema)
+    small = not st.fragmented(t.spark, path, "month_sk")
+    after = st.read(t.spark, path, rows.schema).groupBy("month_sk").agg(
+        F.count("*").alias("rows_after"), F.count("within_sla").alias("judged"), F.min("prblm_code").alias("first_code"),
+        F.max("prblm_code").alias("last_code"), F.lit(small).alias("no_more_files_than_needed"))
+    return st.read(t.spark, counted).join(after, "month_sk")
 
 
 @query("a14_audit_columns", f"""

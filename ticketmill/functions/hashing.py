@@ -32,8 +32,12 @@ def pii_hash(value: Column) -> Column:
 
 
 def entity_key(namespace: str, *parts: Column) -> Column:
-    """Namespaced surrogate key; use the same call when writing and when looking up."""
-    return stable_hash64(F.concat_ws("|", F.lit(namespace), *[p.cast("string") for p in parts]))
+    """Namespaced surrogate key; use the same call when writing and when looking up. A NULL part makes
+    it the key of the NULL member, so that parts in different places cannot collide."""
+    text = F.lit(namespace)
+    for part in parts:
+        text = F.concat(text, F.lit("|"), part.cast("string"))
+    return stable_hash64(text)
 
 
 def field_key(namespace: str, code: str) -> Column:

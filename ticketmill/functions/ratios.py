@@ -20,4 +20,6 @@ def rounded_pct(num: Column, den: Column, digits: int) -> Column:
 
 
 def exact_mean(value: Column, digits: int) -> Column:
-    return F.round(F.avg(value.cast("decimal(18,10)")), digits).cast("double")
+    """Mean of values below 1e14 in magnitude, to 12 decimals, of at most 1e10 rows a group; the sum
+    is kept in DECIMAL(36, 12)."""
+    return F.round(F.avg(value.cast("decimal(26,12)")), digits).cast("double")

@@ -96,7 +96,7 @@ def hash_collisions(df: DataFrame, key: str, natural: str) -> DataFrame:
 
 def row_count_min(df: DataFrame, table: str, minimum: int = 1) -> DataFrame:
     n = F.count("*")
-    return df.limit(minimum).agg(
+    return df.agg(
         F.lit("row_count_min").alias("rule"), F.lit(table).alias("column_name"),
         F.when(n < minimum, 1).otherwise(0).cast("bigint").alias("failures"), n.alias("checked"))
 
@@ -190,8 +190,8 @@ def run_checks(results: list[tuple[str, DataFrame]]) -> DataFrame:
 
 
 def enforce(results: DataFrame) -> None:
-    """Raise on the first failing rules; results has one row per rule."""
-    failed = results.where(F.col("status") == "fail").limit(20).collect()
+    """Raise on all failing rules; results has one row per rule."""
+    failed = results.where(F.col("status") == "fail").collect()
     if failed:
         raise ValueError("; ".join(f"{r.table_name}.{r.column_name}: {r.rule} "
                                    f"({r.failures})" for r in failed))

@@ -10,21 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schema
-from .storage import size_bytes
 
 REPLAY_DELAY = 40 * 86400
-SPREAD_FROM = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A stored table. One that is too small to give every core a split is spread once;
-    a large one is read as it lies."""
-    path = f"{sf_dir}/{name}.parquet"
-    df, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
-    if SPREAD_FROM < size_bytes(spark, path) < cores * split:
-        return df.repartition(cores)
-    return df
+    """A stored table as it lies."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _add(ts: str, seconds: str) -> str:
