@@ -10,7 +10,7 @@ from ..functions import local_date
 from ..functions.calendar import local_day_range
 from ..plans import cases, dims, facts, layers, marts, sales
 from ..session import prepare, scratch_path
-from ..sources.derive import read_table, tickets_from_orders
+from .derive import read_table, tickets_from_orders
 from . import oracle as sql_text
 
 AS_OF = datetime(1998, 7, 1, 12)

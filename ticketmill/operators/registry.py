@@ -91,6 +91,7 @@ TICKETS = Registry("ticket", [
           "response_hours_sum", "response_hours_cnt"),
 ], TICKET_DIMS, date="prblm_date", hour="prblm_hour")
 
+# Codes and labels of the further metric name spaces.
 ACTIVITY = Registry("activity", [
     Field("events_count", "Events Count"),
     Field("active_users", "Active Users", hour_to_day="max", day_to_month="max"),

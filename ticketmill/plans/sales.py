@@ -42,6 +42,7 @@ def order_changes(orders: DataFrame) -> DataFrame:
 
 
 def order_bronze(changes: DataFrame, batch_id: str) -> DataFrame:
+    # Provenance texts.
     return changes.withColumns({
         "_ingested_date": F.to_date("_ingested_at"), "_source_system": F.lit("oltp_postgres"),
         "_source_table": F.lit("orders"), "_source_file_path": F.lit("manual"),
