@@ -277,3 +277,15 @@ def test_evolved_batches_are_stored(spark):
         st.replace(spark.createDataFrame([(1, "x")], "a int, old string"), path)
         got = st.append_evolved(spark.createDataFrame([(2, 3.0)], "a bigint, new double"), path, policy)
         assert got.columns == columns and sorted(r.a for r in got.collect()) == [1, 2]
+
+
+def test_nights_that_refresh_agree_with_full_ones(spark):
+    nights = [(AS_OF - timedelta(days=1), {"prblm_code": "T-1", "prblm_sysdate": "1998-06-30 02:00:00"}),
+              (AS_OF, {"prblm_code": "T-2", "prblm_sysdate": "1998-05-03 02:00:00"})]
+    out = []
+    for refresh in (False, True):
+        wh = Warehouse(scratch_path(spark, "refresh"))
+        for number, (when, ticket) in enumerate(nights):
+            w.daily_build(spark, wh, tickets(spark, ticket), when, (date(1998, 1, 1), date(1998, 12, 31)), refresh=refresh and number > 0)
+        out.append({t: rows(wh.read(spark, t)) for t in ("mart_daily", "mart_hourly", "mart_report")})
+    assert out[0] == out[1]

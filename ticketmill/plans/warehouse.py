@@ -220,11 +220,12 @@ def gold_checks(spark: SparkSession, wh: Warehouse) -> DataFrame:
 
 def daily_build(spark: SparkSession, wh: Warehouse, raw: DataFrame, as_of: datetime,
                 calendar: tuple[date, date], run_id: str | None = None,
-                fresh_hours: int | None = None) -> DataFrame:
+                fresh_hours: int | None = None, refresh: bool = False) -> DataFrame:
     """Nightly run over all layers in dependency order; returns the check results.
 
     A run that is retried passes the id of the first attempt; otherwise it gets one of its own.
-    With `fresh_hours` nothing is written unless some row arrived that recently.
+    With `fresh_hours` nothing is written unless some row arrived that recently. With `refresh` the
+    marts are rewritten for the refresh window and for what the night changed, not for all served days.
     """
     run_id = run_id or new_batch_id("daily")
     run, today = AuditedRun(spark, wh, run_id), local_today(as_of)
@@ -235,7 +236,8 @@ def daily_build(spark: SparkSession, wh: Warehouse, raw: DataFrame, as_of: datet
     rows = run.step("bronze", lambda: append_bronze(wh, raw, as_of, run_id))
     touched = run.step("silver", lambda: merge_silver(wh, rows, as_of))
     run.step("facts", lambda: refresh_facts(spark, wh, touched, as_of))
-    run.step("marts", lambda: refresh_marts(spark, wh, today))
+    run.step("marts", lambda: refresh_marts(
+        spark, wh, today, changed_partitions(spark, wh, touched, today) if refresh else None))
     run.step("retention", lambda: [
         storage.expire(spark, wh.path(t), wh.partition_col, today)
         for t in ("mart_daily", "mart_hourly", "mart_report")])
@@ -259,6 +261,13 @@ def run_batch(spark: SparkSession, wh: Warehouse, raw: DataFrame, as_of: datetim
     return touched
 
 
+def changed_partitions(spark: SparkSession, wh: Warehouse, touched: list, today: date) -> list:
+    """Partitions of the marts that a night can have changed."""
+    recent = [today - timedelta(days=i) for i in range(marts.REFRESH_DAYS + 1)]
+    values = {d if wh.partition_col == "prblm_date" else d.year * 100 + d.month for d in recent}
+    return sorted({*values, *touched, *ended_intraday(spark, wh, today)})
+
+
 def ended_intraday(spark: SparkSession, wh: Warehouse, today: date) -> list:
     """Partitions of the report with days before today that were written while they went on."""
     if not storage.exists(spark, wh.path("mart_report")):
