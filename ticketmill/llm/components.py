@@ -2,7 +2,8 @@
 
 Each step maps every edge to the smallest neighbour that is known, so that components become stars
 around their smallest node. A node's smallest neighbour is a grouped minimum joined back to its
-edges: minima combine before the shuffle, and Spark splits the join of a node with many edges.
+edges: minima combine before the shuffle. They are a stored table by then, so that both sides of the
+join are plain shuffles and Spark can split a node with many edges.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from .common import stored
 
 def _with_smallest(edges: DataFrame) -> DataFrame:
     low = edges.groupBy("u").agg(F.min("v").alias("_low")).select("u", F.least("u", "_low").alias("m"))
-    return edges.join(low, "u")
+    return edges.join(stored(low, "components-low"), "u")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

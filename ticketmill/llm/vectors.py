@@ -161,7 +161,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, bands: int = BA
     bits = min(40, max(8, math.ceil(math.log2(max(2, n))) + EXTRA_BITS))
     codes = stored(index(vectors, bits, bands), "vector-codes")
     places = codes.select("rep", "dim", F.posexplode("bands").alias("band", "key"))
-    sizes = places.groupBy("dim", "band", "key").agg(F.count("*").alias("members")).where("members > 1")
+    # Joins are with stored tables, so that Spark can split a key with many rows.
+    sizes = stored(places.groupBy("dim", "band", "key").agg(F.count("*").alias("members")).where("members > 1"),
+                   "vector-buckets")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     shared = places.join(sizes, ["dim", "band", "key"]).withColumn("_blocks", blocks)
     shared = shared.withColumn("side", F.pmod(F.xxhash64("rep"), "_blocks").cast("int"))
@@ -172,8 +174,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, bands: int = BA
     found = stored(with_package(rows).mapInArrow(_comparing(threshold, bits), "u long, v long, n long"), "vector-links")
     links = found.where("v is null").groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("near"))
     groups = components(found.where("v is not null").select("u", "v"), "vector-components")
-    named = classes(vectors).drop("embedding").join(links, "rep", "left").join(
-        groups.withColumnRenamed("node", "rep"), "rep", "left")
+    named = stored(classes(vectors).drop("embedding").join(links, "rep", "left").join(
+        groups.withColumnRenamed("node", "rep"), "rep", "left"), "vector-classes")
     rows = vectors.select("vec_id", _valid().alias("_valid"), *content_key())
     joined = rows.join(named.withColumn("_valid", F.lit(True)), ["k1", "k2", "_valid"], "left")
     component = F.coalesce("component", "rep", "vec_id")
