@@ -151,8 +151,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     kept (doc_id is component_id)."""
     known = stored(profiles(docs), "minhash-profiles")
     places = known.where("node is not null").select("node", F.explode("bands").alias("key"))
-    shared = places.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_high")).where("hub != _high")
-    members = stored(places.join(shared.select("key", "hub"), "key").select("key", "hub", "node").distinct(),
+    # Grouped tables are stored before they are joined, so that Spark can split a key with many rows.
+    shared = stored(places.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_high")).where(
+        "hub != _high").select("key", "hub"), "minhash-shared")
+    members = stored(places.join(shared, "key").select("key", "hub", "node").distinct(),
                      "minhash-members")
     # One document stands for a node; its text is read again only for nodes with candidates.
     wanted = members.select("node").distinct()
@@ -167,9 +169,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     groups = components(links, "minhash-components")
 
     named = members.join(groups, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    open_keys = named.groupBy("key").agg(
-        F.min("component").alias("_a"), F.max("component").alias("_b"), F.count("*").alias("_n")).where("_a != _b")
-    left = named.join(open_keys.select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")), "key")
+    open_keys = stored(named.groupBy("key").agg(
+        F.min("component").alias("_a"), F.max("component").alias("_b"), F.count("*").alias("_n")).where("_a != _b").select(
+        "key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")), "minhash-open")
+    left = named.join(open_keys, "key")
     left = left.withColumn("side", F.pmod(F.xxhash64("node"), "_blocks").cast("int"))
     left = left.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     left = left.select("node", "component", "side", (F.col("side") != F.col("_other")).alias("across"), F.xxhash64(
@@ -180,7 +183,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     named = known.select("doc_id", "n_shingles", "node").join(groups, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    least = named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    least = stored(named.where("component is not null").groupBy("component").agg(
+        F.min("doc_id").alias("component_id")), "minhash-least")
     out = named.join(least, "component", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
