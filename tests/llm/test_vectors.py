@@ -64,6 +64,34 @@ def test_table_and_a_large_group(spark, monkeypatch):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def at_cosine(rng, n, dim, cosine):
+    """Two arrays of n vectors of length 1, whose rows have that cosine."""
+    x, y = rng.standard_normal((2, n, dim))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y -= (x * y).sum(1)[:, None] * x
+    y /= np.linalg.norm(y, axis=1)[:, None]
+    return x, cosine * x + np.sqrt(1 - cosine ** 2) * y
+
+
+def test_recall_at_the_threshold_for_every_size():
+    rng = np.random.default_rng(7)
+    for dim in (48, 64):
+        x, y = at_cosine(rng, 2000, dim, 0.95)
+        for n in (200, 50_000, 1_000_000, 1_000_000_000):
+            bits, bands = vectors.shape(n, 0.95)
+            met = (vectors.encode(x, bits, bands)[2] == vectors.encode(y, bits, bands)[2]).any(1)
+            assert met.mean() >= 0.98, (dim, n)
+
+
+def test_links_with_the_bits_of_a_large_table(spark, monkeypatch):
+    shape = vectors.shape
+    monkeypatch.setattr(vectors, "shape", lambda n, threshold: shape(10**9, threshold))
+    x, y = at_cosine(np.random.default_rng(8), 400, 64, 0.951)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate([*x, *y])], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicates(df).collect()}
+    assert set(got.values()) <= {0, 1} and sum(got.values()) >= 0.97 * 800
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(6)
     x = rng.standard_normal((4000, 64))

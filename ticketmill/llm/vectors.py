@@ -9,10 +9,13 @@ is that much sharper. A pair is computed exactly, in double precision, only if t
 reaches the threshold, so that no link is below it.
 
 Pairs come from the codes too: stretches of a code are bands, and vectors that agree in a band are
-compared. BANDS bands of log2(n) + EXTRA_BITS bits each find a pair at cosine 0.95 with probability
-0.96 at 50,000 vectors, closer pairs almost surely. A bucket of more than BLOCK vectors is cut into
-blocks, each pair of blocks a group of its own. A pair that agrees in several bands counts in the
-first. Tasks return sums of link counts and a spanning forest, never all pairs.
+compared. A band has log2(n) + EXTRA_BITS bits, so that buckets stay small, and there are as many
+bands (BANDS at least) as find a pair at the threshold with probability RECALL whatever n is; closer
+pairs are found almost surely. At cosine 0.95 these are 33 bands at 50,000 vectors and 153 at 10^9.
+A bucket of more than BLOCK vectors is cut into blocks, each pair of blocks a group of its own. A
+pair that agrees in several bands counts in the first. Estimates read the rotations of the first
+SIGNS signs, whatever the number of bands. Tasks return sums of link counts and a spanning forest,
+never all pairs.
 
 Equal vectors are one class, indexed once. Vectors that are null, empty, zero, or hold a null or a
 value that is not finite link with nothing, as do vectors of another length and rows without an
@@ -35,12 +38,21 @@ from .common import stored, with_package
 from .components import components
 
 BANDS = 24
+RECALL = 0.99
 EXTRA_BITS = 3
+SIGNS = 512
 BLOCK = 512
 EPSILON = 4.0
 SEED = 8
 
 
+def shape(n: int, threshold: float) -> tuple[int, int]:
+    """Bits of a band and number of bands for n vectors."""
+    bits = min(40, max(8, math.ceil(math.log2(max(2, n))) + EXTRA_BITS))
+    shared = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    return bits, BANDS if shared >= RECALL else max(BANDS, math.ceil(math.log1p(-RECALL) / math.log1p(-shared)))
+
+
 @lru_cache(8)
 def rotations(dim: int, count: int) -> np.ndarray:
     """(count * dim, dim): the rows of `count` random rotations."""
@@ -55,9 +67,12 @@ def encode(x: np.ndarray, bits: int, bands: int) -> tuple[np.ndarray, np.ndarray
     turned = x @ rotations(dim, count).T
     signs = turned >= 0
     factors = np.abs(turned).reshape(n, count, dim).sum(2) / math.sqrt(dim)
+    return np.packbits(signs, axis=1), factors.astype(np.float32), band_keys(signs, bits, bands)
+
+
+def band_keys(signs: np.ndarray, bits: int, bands: int) -> np.ndarray:
     weights = 1 << np.arange(bits, dtype=np.int64)
-    keys = signs[:, :bits * bands].reshape(n, bands, bits) @ weights
-    return np.packbits(signs, axis=1), factors.astype(np.float32), keys
+    return signs[:, :bits * bands].reshape(len(signs), bands, bits) @ weights
 
 
 def estimate(x: np.ndarray, codes: np.ndarray, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,28 +117,32 @@ def index(vectors: DataFrame, bits: int, bands: int) -> DataFrame:
         for batch in batches:
             lengths = np.asarray(pc.list_value_length(batch.column("embedding")))
             for dim in np.unique(lengths):
-                part = batch.take(pa.array(np.flatnonzero(lengths == dim)))
-                x = _unit(part.column("embedding"))
-                codes, factors, keys = encode(x, bits, bands)
-                yield pa.RecordBatch.from_pydict({
-                    "rep": part.column("rep"), "copies": part.column("copies"),
-                    "dim": np.full(len(x), dim, np.int32), "unit": [r.tobytes() for r in x],
-                    "code": [r.tobytes() for r in codes], "factors": [r.tobytes() for r in factors],
-                    "bands": pa.array(list(keys), pa.list_(pa.int64()))})
+                same = batch.take(pa.array(np.flatnonzero(lengths == dim)))
+                step = max(1, (1 << 22) // max(bits * bands, int(dim)))
+                for at in range(0, same.num_rows, step):
+                    part = same.slice(at, step)
+                    x = _unit(part.column("embedding"))
+                    codes, factors, keys = encode(x, bits, bands)
+                    yield pa.RecordBatch.from_pydict({
+                        "rep": part.column("rep"), "copies": part.column("copies"),
+                        "dim": np.full(len(x), dim, np.int32), "unit": [r.tobytes() for r in x],
+                        "code": [r.tobytes() for r in codes], "factors": [r.tobytes() for r in factors],
+                        "bands": pa.array(list(keys), pa.list_(pa.int64()))})
     return with_package(classes(vectors).select("rep", "copies", "embedding")).mapInArrow(
         work, "rep long, copies long, dim int, unit binary, code binary, factors binary, bands array<long>")
 
 
-def _compare(rows: pa.Table, threshold: float, bits: int) -> pa.RecordBatch | None:
+def _compare(rows: pa.Table, threshold: float, bits: int, bands: int) -> pa.RecordBatch | None:
     """Link counts and forest of the groups in `rows`, sorted by group; all of one length."""
     get = lambda c: rows.column(c).to_numpy()
     bytes_of = lambda c, kind: np.frombuffer(b"".join(rows.column(c).to_pylist()), kind).reshape(len(rows), -1)
     rep, copies, band = get("rep"), get("copies"), get("band")
     x, codes, factors = bytes_of("unit", "<f8"), bytes_of("code", np.uint8), bytes_of("factors", np.float32)
-    keys = np.stack(rows.column("bands").to_pylist()) if len(rows) else np.zeros((0, 1))
+    keys = band_keys(np.unpackbits(codes, axis=1, count=bits * bands), bits, bands)
+    factors = factors[:, :math.ceil(SIGNS / x.shape[1])]
     counts: dict[int, int] = {}
     edges: list[tuple[int, int]] = []
-    for a, b in pairs(get("group"), get("side"), get("across")):
+    for a, b in pairs(get("group"), get("side"), get("across"), 1 << 15):
         guess, error = estimate(x[a], codes[b], factors[b])
         near = guess + error >= threshold
         a, b = a[near], b[near]
@@ -145,20 +164,20 @@ def _compare(rows: pa.Table, threshold: float, bits: int) -> pa.RecordBatch | No
         "n": pa.array([*counts.values(), *[None] * len(edges)], pa.int64())})
 
 
-def _comparing(threshold: float, bits: int):
+def _comparing(threshold: float, bits: int, bands: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches):
             for dim in rows.column("dim").unique().to_pylist():
-                found = _compare(rows.filter(pc.equal(rows.column("dim"), dim)), threshold, bits)
+                found = _compare(rows.filter(pc.equal(rows.column("dim"), dim)), threshold, bits, bands)
                 if found is not None:
                     yield found
     return work
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.95, bands: int = BANDS) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.95, bands: int | None = None) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
-    n = vectors.count()
-    bits = min(40, max(8, math.ceil(math.log2(max(2, n))) + EXTRA_BITS))
+    bits, enough = shape(vectors.count(), threshold)
+    bands = bands or enough
     codes = stored(index(vectors, bits, bands), "vector-codes")
     places = codes.select("rep", "dim", F.posexplode("bands").alias("band", "key"))
     # Joins are with stored tables, so that Spark can split a key with many rows.
@@ -170,8 +189,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, bands: int = BA
     shared = shared.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     shared = shared.select("rep", "band", "side", (F.col("side") != F.col("_other")).alias("across"), F.xxhash64(
         "dim", "band", "key", F.least("side", "_other"), F.greatest("side", "_other")).alias("group"))
-    rows = shared.join(codes, "rep").repartition("group").sortWithinPartitions("group")
-    found = stored(with_package(rows).mapInArrow(_comparing(threshold, bits), "u long, v long, n long"), "vector-links")
+    rows = shared.join(codes.drop("bands"), "rep").repartition("group").sortWithinPartitions("group")
+    found = stored(with_package(rows).mapInArrow(_comparing(threshold, bits, bands), "u long, v long, n long"), "vector-links")
     links = found.where("v is null").groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("near"))
     groups = components(found.where("v is not null").select("u", "v"), "vector-components")
     named = stored(classes(vectors).drop("embedding").join(links, "rep", "left").join(
