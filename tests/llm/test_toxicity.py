@@ -51,6 +51,19 @@ def test_context_and_lookalikes():
     assert not own.features("ideas and words of riots").any()
 
 
+def test_only_copies_count_once(spark):
+    rng = np.random.default_rng(2)
+    common = [f"common{chr(97 + k)}" for k in range(26)]
+    texts = [" ".join(rng.permutation(common)) + f" own{chr(97 + k)}" for k in range(12)]  # no copies, nearly the same words
+    rows = [(i, t, 1) for i, t in enumerate([*texts, texts[0], texts[0].upper(), None, ""])]
+    sample = toxicity.with_groups(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    of = {r.doc_id: r.of for r in sample.collect()}
+    assert len(of) == len(rows) and len(set(of.values())) == 13
+    assert of[12] == of[13] == of[0] and of[14] == of[15]
+    counts = {r.term: r.n for r in toxicity._counts(sample, None).collect()}
+    assert counts["commona"] == 12 and counts["owna"] == 1
+
+
 def held_out_accuracy(spark, folder):
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
     got = toxicity.scores(docs, labels).collect()

@@ -12,8 +12,8 @@ words of reporting, with other hits, or addressed to somebody. Counts of hits of
 features of a logistic regression.
 
 Labels are learned from a sample of at most SAMPLE labelled rows, chosen by a hash of doc_id; all
-statistics are over distinct texts of the sample, where texts that agree in a one-hash MinHash of
-their words count once. The sample's size is the bound of what is broadcast and of the features
+statistics are over distinct texts of the sample, where near copies, as `minhash` confirms them on
+full sets of five-word runs, count once. The sample's size is the bound of what is broadcast and of the features
 that the driver fits. Score work is one pass over the texts, without a shuffle.
 
 Nulls: a null text is empty; a null label or null doc_id is not learned from; of several labels of
@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from . import minhash
 from .common import crc_bucket, stored, with_package
 
 SAMPLE = 20_000
@@ -215,18 +215,12 @@ def _terms_of(words: set[str]) -> set[str]:
     return out
 
 
-def _group_of(words: set[str]) -> int:
-    return min((zlib.crc32(w.encode()) * 2654435761 & 0xFFFFFFFF for w in words), default=0)
-
-
 def _terms(known: set[str] | None):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = set()
-            for text in batch.column("text").to_pylist():
-                words = set((text or "").lower().split())
-                group = _group_of(words)
-                terms = _terms_of(words)
+            for text, group in zip(batch.column("text").to_pylist(), batch.column("of").to_pylist()):
+                terms = _terms_of(set((text or "").lower().split()))
                 rows.update((t, group) for t in (terms if known is None else terms & known))
             yield pa.RecordBatch.from_pydict({
                 "term": pa.array([r[0] for r in rows], pa.string()), "of": pa.array([r[1] for r in rows], pa.int64())})
@@ -234,22 +228,25 @@ def _terms(known: set[str] | None):
 
 
 def _counts(texts: DataFrame, known: set[str] | None) -> DataFrame:
-    return with_package(texts.select("text")).mapInArrow(_terms(known), "term string, of long").groupBy("term").agg(
+    return with_package(texts.select("text", "of")).mapInArrow(_terms(known), "term string, of long").groupBy("term").agg(
         F.count_distinct("of").alias("n"))
 
 
-def _groups(texts: DataFrame) -> int:
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            groups = {_group_of(set((t or "").lower().split())) for t in batch.column("text").to_pylist()}
-            yield pa.RecordBatch.from_pydict({"of": pa.array(sorted(groups), pa.int64())})
-    return with_package(texts.select("text")).mapInArrow(work, "of long").distinct().count()
+def with_groups(texts: DataFrame) -> DataFrame:
+    """`texts`, stored, with `of`: the same number for near copies and for no other texts; texts
+    without words are copies of each other."""
+    numbered = stored(texts.withColumn("_row", F.monotonically_increasing_id()), "toxicity-rows")
+    found = minhash.near_duplicates(numbered.select(F.col("_row").alias("doc_id"), "text"))
+    found = found.select(F.col("doc_id").alias("_row"), F.when(
+        F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.lit(-1)).alias("of"))
+    return stored(numbered.join(found, "_row").drop("_row"), "toxicity-sample")
 
 
 def learn_lexicon(sample: DataFrame) -> list[tuple[str, float]]:
-    """Terms of toxic texts and their weights, the logarithm of how much more often they have them."""
+    """Terms of toxic texts and their weights, the logarithm of how much more often they have them.
+    `sample` has text, toxic and `of`, the group of near copies."""
     toxic, clean = sample.where("toxic = 1"), sample.where("toxic = 0")
-    n_toxic, n_clean = _groups(toxic), _groups(clean)
+    n_toxic, n_clean = (t.select("of").distinct().count() for t in (toxic, clean))
     least = max(LEAST_COUNT, math.ceil(LEAST_SHARE * n_toxic))
     # At most as many terms as texts of the bounded sample can have that often.
     often = {r["term"]: r["n"] for r in _counts(toxic, None).where(F.col("n") >= least).collect()}
@@ -326,7 +323,7 @@ def train(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out: int = 0,
     usable = labels.where("doc_id is not null and toxic is not null").where(crc_bucket(F.col("doc_id"), parts) != held_out)
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
+    texts = with_groups(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
     share = texts.agg(F.coalesce(F.avg(F.col("toxic").cast("double")), F.lit(0.0))).first()[0]
     if share in (0.0, 1.0):
         return Model((), np.array([30.0 if share else -30.0, *[0.0] * Reader.FEATURES]))
