@@ -64,6 +64,14 @@ def test_only_copies_count_once(spark):
     assert counts["commona"] == 12 and counts["owna"] == 1
 
 
+def test_rare_terms_stay_however_many_labels(spark):
+    words = [chr(97 + i // 26) + chr(97 + i % 26) + "tterly" for i in range(600)]
+    rows = [(f"{words[i]} {words[i - 1]} {words[i - 2]}", 1, i) for i in range(600)]
+    rows += [("plain text", 0, 1000 + i) for i in range(1200)]
+    terms = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int, of long"))
+    assert {t for t, _ in terms} == set(words)
+
+
 def held_out_accuracy(spark, folder):
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
     got = toxicity.scores(docs, labels).collect()

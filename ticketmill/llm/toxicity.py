@@ -37,9 +37,7 @@ from . import minhash
 from .common import crc_bucket, stored, with_package
 
 SAMPLE = 20_000
-MOST_TERMS = 500
-LEAST_SHARE = 0.008  # of toxic texts that must have a term
-LEAST_COUNT = 3
+LEAST_COUNT = 3  # toxic texts that must have a term, however many there are
 LEAST_RATIO = 12.0
 STEM = (4, 9)
 CONTEXT = 6
@@ -247,9 +245,8 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, float]]:
     `sample` has text, toxic and `of`, the group of near copies."""
     toxic, clean = sample.where("toxic = 1"), sample.where("toxic = 0")
     n_toxic, n_clean = (t.select("of").distinct().count() for t in (toxic, clean))
-    least = max(LEAST_COUNT, math.ceil(LEAST_SHARE * n_toxic))
     # At most as many terms as texts of the bounded sample can have that often.
-    often = {r["term"]: r["n"] for r in _counts(toxic, None).where(F.col("n") >= least).collect()}
+    often = {r["term"]: r["n"] for r in _counts(toxic, None).where(F.col("n") >= LEAST_COUNT).collect()}
     among = {r["term"]: r["n"] for r in _counts(clean, set(often)).collect()}
     weights = {}
     for term, n in often.items():
@@ -266,8 +263,9 @@ def learn_lexicon(sample: DataFrame) -> list[tuple[str, float]]:
     kept = [(t, w) for t, w in weights.items() if not (t.endswith("*") and longer[t] >= 0.8 * often[t])]
     # Nor does a word whose stem is kept.
     stems = {t for t, _ in kept if t.endswith("*")}
-    kept = [(t, w) for t, w in kept if not any(t.rstrip("*")[:k] + "*" in stems - {t} for k in range(STEM[0], STEM[1] + 1))]
-    return sorted(kept, key=lambda x: (-often[x[0]], x[0]))[:MOST_TERMS]
+    heads = {t: {t.rstrip("*")[:k] + "*" for k in range(STEM[0], STEM[1] + 1)} - {t} for t, _ in kept}
+    kept = [(t, w) for t, w in kept if stems.isdisjoint(heads[t])]
+    return sorted(kept, key=lambda x: (-often[x[0]], x[0]))
 
 
 _readers: dict[tuple, Reader] = {}
