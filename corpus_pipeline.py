@@ -6,10 +6,10 @@ Each stage reads all that the one before kept and wrote; all but the last return
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ticketmill.llm import minhash, mixing, packing, substrings, toxicity
-from ticketmill.llm.common import restored, shared_path, table, with_rest
+from ticketmill.llm.common import WORD, restored, shared_path, stored, table, with_rest
 from ticketmill.llm.queries import vocabulary
 
 
@@ -21,10 +21,23 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group; documents without an id stay."""
-    gone = minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    rows = with_rest(docs, ["doc_id", "text"])
-    return restored(rows.join(gone, rows["doc_id"] == F.col("_gone"), "left_anti"), docs.columns, ["doc_id", "text"])
+    """One row of every group: of those with the smallest id, null ids last, one by its content.
+    Repeated rows are copies like any others. Texts without words are in no group and stay.
+
+    Texts are compared under a hash of their own in place of the id, so that every row, with an id
+    or without, has the group of its text; only texts that another one stands for are looked up.
+    """
+    rows = with_rest(docs, ["doc_id", "text"]).withColumn("_text", F.xxhash64("text"))
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    found = minhash.near_duplicates(rows.where(worded).select(F.col("_text").alias("doc_id"), "text"))
+    groups = stored(found.where("not kept").select(
+        F.col("doc_id").alias("_text"), F.col("component_id").alias("_group")).distinct(), "near-groups")
+    placed = rows.where(worded).join(groups, "_text", "left").withColumn("_group", F.coalesce("_group", "_text"))
+    order = Window.partitionBy("_group").orderBy(
+        F.asc_nulls_last("doc_id"), "_text", F.xxhash64(F.to_json(F.struct("_rest"))))
+    first = placed.withColumn("_rank", F.row_number().over(order)).where("_rank = 1")
+    kept = rows.where(~worded).select("doc_id", "text", "_rest").unionByName(first.select("doc_id", "text", "_rest"))
+    return restored(kept, docs.columns, ["doc_id", "text"])
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

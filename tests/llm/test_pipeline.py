@@ -50,6 +50,19 @@ def test_one_of_each_group_stays(steps):
     assert rows(after) == Counter({k: n for k, n in rows(before).items() if groups[k[0]][1] == k[0]})
 
 
+def test_repeated_and_null_id_copies_leave_one_whole_text(spark):
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(60)) for k in "abcd")
+    near = b + " more"
+    rows = [(1, a, "x"), (1, a, "x"), (None, a, "x"), (None, b, "x"), (7, near, "x"), (None, c, "x"), (None, c, "y"),
+            (4, d, "x"), (4, d, "y"), (5, "", "x"), (5, "", "x"), (None, None, "x")]
+    docs = spark.createDataFrame([(i, t, s, len(t or "")) for i, t, s in rows], "doc_id long, text string, source string, n_chars long")
+    once = corpus_pipeline.drop_near_duplicates(spark, docs, FOLDER)
+    want = [(1, a), (7, near), (None, c), (4, d), (5, ""), (5, ""), (None, None)]
+    assert Counter((r.doc_id, r.text) for r in once.collect()) == Counter(want)
+    cleaned = corpus_pipeline.drop_repeated_passages(spark, once, FOLDER)
+    assert Counter((r.doc_id, r.text or "") for r in cleaned.collect()) == Counter((i, t or "") for i, t in want)
+
+
 def test_repeated_passages_go(steps):
     before, after = steps["substring_dedup"]
     from test_substrings import brute

@@ -160,7 +160,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     wanted = members.select("node").distinct()
     chosen = known.join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(chosen, "doc_id").select("node", "text")
-    texts = stored(texts.where("text is not null"), "minhash-texts")
+    # Rows that repeat an id may all have come along: one text of a node is enough.
+    texts = stored(texts.where("text is not null").groupBy("node").agg(F.any_value("text").alias("text")), "minhash-texts")
 
     stars = members.where("node != hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
     with_texts = stars.join(texts.select(F.col("node").alias("u"), F.col("text").alias("u_text")), "u").join(
