@@ -68,6 +68,14 @@ def test_local_search_empties_bins():
     assert squares(after) >= squares(start) and len(set(after)) <= len(set(start))
 
 
+def test_local_search_looks_again_at_bins_whose_partners_changed():
+    lengths = np.array([10, 7, 12, 2, 6, 3])
+    start = packing.best_fit(lengths, 20)
+    after = packing.local_search(lengths, start, 20)
+    assert len(set(start)) == 3 and len(set(after)) == 2
+    assert np.bincount(after, weights=lengths).max() <= 20
+
+
 def test_odd_rows_and_empty_table(odd, odd_rows, nothing, tokenizer):
     check(odd, [r[:2] for r in odd_rows], tokenizer)
     assert packing.pack(packing.pieces(nothing, PATH, True, 2)).count() == 0

@@ -85,30 +85,38 @@ def local_search(lengths: np.ndarray, bins: np.ndarray, capacity: int) -> np.nda
     bins = bins.copy()
     fill = np.bincount(bins, weights=lengths).astype(np.int64)
     least = -(-int(lengths.sum()) // capacity)
-    tried: set[int] = set()
     used = int((fill > 0).sum())
+    # Numbers of the last change of every bin and of the last one that its own search has seen.
+    now, changed, seen = 0, np.zeros(len(fill), np.int64), np.full(len(fill), -1)
     while used > least:
         # The emptiest bin that has not been searched since the others last changed.
-        candidates = [b for b in np.argsort(fill, kind="stable") if 0 < fill[b] < capacity and int(b) not in tried]
-        if not candidates:
+        waiting = (fill > 0) & (fill < capacity) & (seen < now)
+        if not waiting.any():
             break
-        a = int(candidates[0])
-        if _drain(a, lengths, bins, fill, capacity):
-            used -= 1
-            tried.clear()
-        else:
-            tried.add(a)
+        a = int(np.where(waiting, fill, capacity).argmin())
+        # A bin that is as its own search left it can only improve with those that are not.
+        fresh = changed > (seen[a] if changed[a] <= seen[a] else -1)
+        moved = _drain(a, lengths, bins, fill, capacity, fresh)
+        if moved:
+            now += 1
+            changed[moved] = now
+        seen[a] = now
+        used -= int(fill[a] == 0)
     return bins
 
 
-def _drain(a: int, lengths: np.ndarray, bins: np.ndarray, fill: np.ndarray, capacity: int) -> bool:
-    """Improves on bin `a` until nothing does; true if it became empty."""
+def _drain(a: int, lengths: np.ndarray, bins: np.ndarray, fill: np.ndarray, capacity: int, fresh: np.ndarray) -> list[int]:
+    """Improves on bin `a` until nothing does or it is empty, at first with the bins in `fresh`;
+    the bins that changed."""
+    changed: set[int] = set()
     while True:
         own = np.flatnonzero(bins == a)
         if not len(own):
-            return True
-        other = (bins != a) & (fill[bins] < capacity)
+            return sorted(changed)
+        other = (bins != a) & (fill[bins] < capacity) & (fresh[bins] | bool(changed))
         there = np.flatnonzero(other)
+        if not len(there):
+            return sorted(changed)
         targets = np.unique(bins[there])
         best, step = 0, None
         given = [(i,) for i in own] + [(i, j) for k, i in enumerate(own) for j in own[k + 1:]]
@@ -128,8 +136,9 @@ def _drain(a: int, lengths: np.ndarray, bins: np.ndarray, fill: np.ndarray, capa
                 if gain[k] > best:
                     best, step = int(gain[k]), (items, int(there[k]), int(bins[there[k]]))
         if step is None:
-            return False
+            return sorted(changed)
         items, back, b = step
+        changed.update((a, b))
         for i in items:
             bins[i] = b
         moved = int(lengths[list(items)].sum())
