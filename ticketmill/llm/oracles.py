@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, minhash, substrings
+from . import licenses, manifest, minhash, substrings
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -107,9 +107,72 @@ SELECT p.doc_id, CAST(len(p.w) AS BIGINT) AS n_words, CAST(len({every}) AS BIGIN
 FROM placed p"""
 
 
+def merkle_manifest(fan: int) -> str:
+    def digest(text):
+        values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    # crc32 of the decimal digits, bit by bit.
+    crc = """xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+        lambda acc, b: list_reduce(range(8), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)), xor(acc, b)),
+        CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"""
+    siblings = "coalesce(string_agg({0}.hash, '' ORDER BY {0}.pos) FILTER ({0}.pos {1} {2}.pos), '')"
+
+    def tree(name, start):
+        """Nodes (level, grp, pos, hash) of every level, and of each the number of its level's nodes."""
+        return f"""
+{name} AS (
+    SELECT 0 AS level, grp, pos, hash, n FROM {start}
+    UNION ALL
+    SELECT any_value(level) + 1, grp, pos // {fan}, sha256(string_agg(hash, '' ORDER BY pos)), (any_value(n) + {fan - 1}) // {fan}
+    FROM {name} WHERE n > 1 GROUP BY grp, pos // {fan})"""
+
+    def sides(name, out):
+        """Of every node below the top its siblings before and after it."""
+        return f"""
+{out} AS (
+    SELECT x.level, x.grp, x.pos, {siblings.format('y', '<', 'x')} AS before, {siblings.format('y', '>', 'x')} AS behind
+    FROM {name} x JOIN {name} y ON y.level = x.level AND y.grp = x.grp AND y.pos // {fan} = x.pos // {fan}
+    WHERE x.n > 1 GROUP BY x.level, x.grp, x.pos)"""
+
+    def climb(name, start, below, nodes, top):
+        """Proof texts and digests carried from level to level up to the top."""
+        return f"""
+{name} AS (
+    SELECT *, 0 AS level, pos AS here FROM {start}
+    UNION ALL
+    SELECT c.* REPLACE (c.proof || s.before || s.behind AS proof, sha256(s.before || c.folded || s.behind) AS folded,
+                        c.level + 1 AS level, c.here // {fan} AS here)
+    FROM {name} c JOIN {below} s ON s.level = c.level AND s.grp = c.grp AND s.pos = c.here),
+{top} AS (
+    SELECT c.*, n.hash AS top FROM {name} c JOIN {nodes} n ON n.level = c.level AND n.grp = c.grp AND n.pos = c.here AND n.n = 1)"""
+    return f"""
+WITH RECURSIVE leaf AS (
+    SELECT row_number() OVER () AS row, doc_id, source AS src, coalesce('=' || source, '') AS grp, {digest('text')} AS hash,
+           {digest(f"CASE WHEN crc % 5 = 0 THEN {lower} ELSE text END")} AS other
+    FROM (SELECT *, {crc} AS crc FROM documents)),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, hash) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n
+    FROM leaf),
+{tree('node', 'placed')},
+subroot AS (SELECT grp AS name, hash FROM node WHERE n = 1),
+ordered AS (
+    SELECT '' AS grp, name, hash, row_number() OVER (ORDER BY encode(name)) - 1 AS pos, count(*) OVER () AS n FROM subroot),
+{tree('high', 'ordered')},
+{sides('node', 'side')},
+{sides('high', 'upside')},
+begun AS (SELECT doc_id, grp, pos, hash AS leaf, other AS folded, '' AS proof FROM placed),
+{climb('way', 'begun', 'side', 'node', 'low')},
+risen AS (
+    SELECT l.doc_id, l.leaf, l.top AS subroot, l.folded, l.proof, '' AS grp, o.pos FROM low l JOIN ordered o ON o.name = l.grp),
+{climb('upway', 'risen', 'upside', 'high', 'done')}
+SELECT doc_id, leaf, subroot, top AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = top AS verified FROM done"""
+
+
 ORACLES = {
     "op6_license_scan": license_scan(licenses.THRESHOLD),
     "op8_vector_near_duplicates": vector_links(0.95),
     "op9_substring_dedup": without_repeats(substrings.WINDOW),
     "op10_minhash_near_duplicates": near_duplicates(minhash.SHINGLE, 75),
+    "op12_merkle_manifest": merkle_manifest(manifest.FAN),
 }

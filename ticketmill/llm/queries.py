@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprints, interpolation, licenses, minhash, mixing, oracles, packing, substrings, token_files, toxicity, vectors
+from . import fingerprints, interpolation, licenses, manifest, minhash, mixing, oracles, packing, substrings, token_files, toxicity, vectors
 from .common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.tampering_found(table(spark, sf_dir, "documents"))
