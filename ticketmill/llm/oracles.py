@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licenses, manifest, minhash, substrings
+from . import decontamination, licenses, manifest, minhash, substrings
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -107,6 +107,26 @@ SELECT p.doc_id, CAST(len(p.w) AS BIGINT) AS n_words, CAST(len({every}) AS BIGIN
 FROM placed p"""
 
 
+def contamination(width: int) -> str:
+    found = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(_LOWER)
+    return f"""
+WITH items AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {found} AS w FROM benchmark),
+phrase AS (
+    SELECT DISTINCT item, least(len(w), {width}) AS size, array_to_string(w[pos:pos + least(len(w), {width}) - 1], ' ') AS run
+    FROM (SELECT item, w, unnest(range(1, greatest(len(w) - {width - 2}, 2))) AS pos FROM items WHERE len(w) > 0)),
+words AS (SELECT row_number() OVER () AS row, doc_id, {found} AS w FROM documents),
+place AS (
+    SELECT row, size, pos, array_to_string(w[pos:pos + size - 1], ' ') AS run
+    FROM (SELECT row, w, size, unnest(range(1, len(w) - size + 2)) AS pos
+          FROM words JOIN (SELECT DISTINCT size FROM phrase) ON len(w) >= size)),
+hit AS (SELECT row, place.size, pos, item FROM place JOIN phrase ON phrase.run = place.run AND phrase.size = place.size),
+covered AS (SELECT row, count(DISTINCT at) AS n FROM (SELECT row, unnest(range(pos, pos + size)) AS at FROM hit) GROUP BY row),
+named AS (SELECT row, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT row, item FROM hit) GROUP BY row)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
+FROM words LEFT JOIN covered ON covered.row = words.row LEFT JOIN named ON named.row = words.row"""
+
+
 def merkle_manifest(fan: int) -> str:
     def digest(text):
         values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
@@ -174,5 +194,6 @@ ORACLES = {
     "op8_vector_near_duplicates": vector_links(0.95),
     "op9_substring_dedup": without_repeats(substrings.WINDOW),
     "op10_minhash_near_duplicates": near_duplicates(minhash.SHINGLE, 75),
+    "op11_benchmark_decontamination": contamination(decontamination.WIDTH),
     "op12_merkle_manifest": merkle_manifest(manifest.FAN),
 }

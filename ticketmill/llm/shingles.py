@@ -47,16 +47,17 @@ def parts(column: pa.Array, limit: int = PART) -> Iterator[tuple[int, pa.Array]]
 
 class Words:
     """The words of a string column: bytes (lower-cased where asked), starts and ends in them, and
-    for each text the range of its words, first[i] to first[i + 1]."""
+    for each text the range of its words, first[i] to first[i + 1]. `outside` marks the bytes that are
+    in no word, white space if not given."""
 
-    def __init__(self, column: pa.Array, lower: bool):
+    def __init__(self, column: pa.Array, lower: bool, outside: np.ndarray = _SPACE):
         column = column.fill_null("")
         _, offsets, data = column.buffers()
         offsets = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1]
         raw = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
         offsets = offsets - offsets[0]
         self.data = (_LOWER if lower else _AS_IS)[raw]
-        inside = ~_SPACE[raw]
+        inside = ~outside[raw]
         border = np.zeros(len(raw) + 1, bool)
         border[offsets] = True
         before = np.empty(len(raw), bool)
