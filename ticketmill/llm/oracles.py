@@ -120,7 +120,7 @@ place AS (
     FROM (SELECT row, w, size, unnest(range(1, len(w) - size + 2)) AS pos
           FROM words JOIN (SELECT DISTINCT size FROM phrase) ON len(w) >= size)),
 hit AS (SELECT row, place.size, pos, item FROM place JOIN phrase ON phrase.run = place.run AND phrase.size = place.size),
-covered AS (SELECT row, count(DISTINCT at) AS n FROM (SELECT row, unnest(range(pos, pos + size)) AS at FROM hit) GROUP BY row),
+covered AS (SELECT row, count(DISTINCT word) AS n FROM (SELECT row, unnest(range(pos, pos + size)) AS word FROM hit) GROUP BY row),
 named AS (SELECT row, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT row, item FROM hit) GROUP BY row)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
