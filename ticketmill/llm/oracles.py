@@ -189,6 +189,29 @@ risen AS (
 SELECT doc_id, leaf, subroot, top AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = top AS verified FROM done"""
 
 
+def hard_negatives(positives: int, negatives: int, percent: int) -> str:
+    return f"""
+WITH point AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+numbered AS (SELECT row_number() OVER () AS n, * FROM point),
+scored AS (
+    SELECT a.n AS anchor, a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+           CASE WHEN len(a.v) > 0 THEN CAST(list_inner_product(a.v, b.v) AS BIGINT) ELSE 0 END AS score
+    FROM numbered a JOIN numbered b ON a.n <> b.n AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+kin AS (
+    SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) AS k FROM scored WHERE same
+    QUALIFY k <= {positives}),
+pair AS (
+    SELECT kin.anchor_id, kin.other AS positive_id, s.other AS negative_id, kin.score AS positive_score, s.score AS negative_score,
+           row_number() OVER (PARTITION BY kin.anchor, kin.k ORDER BY s.score DESC, s.other) AS rank
+    FROM kin JOIN scored s ON s.anchor = kin.anchor AND NOT s.same
+    WHERE {percent} * kin.score <= 100 * s.score AND s.score <= kin.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM pair WHERE rank <= {negatives}"""
+
+
 ORACLES = {
     "op6_license_scan": license_scan(licenses.THRESHOLD),
     "op8_vector_near_duplicates": vector_links(0.95),
@@ -196,4 +219,5 @@ ORACLES = {
     "op10_minhash_near_duplicates": near_duplicates(minhash.SHINGLE, 75),
     "op11_benchmark_decontamination": contamination(decontamination.WIDTH),
     "op12_merkle_manifest": merkle_manifest(manifest.FAN),
+    "op13_hard_negatives": hard_negatives(5, 5, 80),
 }

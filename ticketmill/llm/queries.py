@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, fingerprints, interpolation, licenses, manifest, minhash, mixing, oracles, packing, substrings, token_files, toxicity, vectors
+from . import decontamination, fingerprints, interpolation, licenses, manifest, minhash, mixing, negatives, oracles, packing, substrings, token_files, toxicity, vectors
 from .common import shared_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,8 @@ def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 @query
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.tampering_found(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(negatives.relabelled(table(spark, sf_dir, "embeddings")))
