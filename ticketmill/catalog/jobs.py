@@ -52,19 +52,85 @@ def two_nights(t: Tables):
         F.count("*").alias("n_rows"), F.count_distinct("prblm_code").alias("tickets"))
 
 
-@query("n2_range_backfill", f"""
+@query("n1_incremental_nights", f"""
+SELECT 'bronze night-' || CASE WHEN {SLICE} < 2 THEN 1 ELSE 2 END AS part, count(*) AS n_rows FROM t_raw GROUP BY ALL
+UNION ALL SELECT 'silver', count(*) FROM t_silver
+UNION ALL SELECT 'days', sum(total_tickets)::BIGINT FROM t_day""")
+def incremental_nights(t: Tables):
+    """Each night is given the whole raw table as it is by then; the third night finds nothing new."""
+    wh = Warehouse(t.scratch("warehouse"), "month_sk")
+    first, second, _ = slices(t.raw)
+    for night, raw in enumerate([first.unionByName(second), t.raw, t.raw], 1):
+        w.daily_build(t.spark, wh, raw, AS_OF, CALENDAR, f"night-{night}", incremental=True)
+    bronze = w.read_bronze(t.spark, wh, date(1900, 1, 1), date(2999, 1, 1))
+    return reduce(DataFrame.unionByName, [
+        bronze.groupBy(F.concat(F.lit("bronze "), "_batch_id").alias("part")).agg(F.count("*").alias("n_rows")),
+        wh.read(t.spark, "silver").agg(F.lit("silver").alias("part"), F.count("*").alias("n_rows")),
+        wh.read(t.spark, "day_wide").agg(F.lit("days").alias("part"), F.sum("total_tickets").cast("bigint").alias("n_rows"))])
+
+
+@query("n1_refused_rows", """
+SELECT 'refused' AS part, CASE WHEN prblm_intclass_id = 7 THEN 'prblm_sysdate' ELSE 'prblm_code' END AS reason, count(*) AS n_rows
+FROM t_raw WHERE prblm_intclass_id IN (7, 8) GROUP BY ALL
+UNION ALL SELECT 'silver', NULL, count(*) FROM t_silver WHERE prblm_intclass_id NOT IN (7, 8)""")
+def refused_rows(t: Tables):
+    """Tickets without a creation time or a code in every batch: they are put aside, and nothing else is lost."""
+    wh = Warehouse(t.scratch("warehouse"), "month_sk")
+    inner = c("prblm_intclass_id")
+    raw = t.raw.withColumns({"prblm_sysdate": F.when(inner != 7, c("prblm_sysdate")), "prblm_code": F.when(inner != 8, c("prblm_code"))})
+    for number, part in enumerate(slices(raw)):
+        w.run_batch(t.spark, wh, part, AS_OF, f"b-{number}")
+    refused = wh.read(t.spark, "bronze_rejects").groupBy("reason").agg(F.count("*").alias("n_rows"))
+    silver = wh.read(t.spark, "silver").agg(F.lit("silver").alias("part"), F.lit(None).cast("string").alias("reason"), F.count("*").alias("n_rows"))
+    return refused.select(F.lit("refused").alias("part"), "reason", "n_rows").unionByName(silver)
+
+
+BACKFILLED = f"""
 SELECT prblm_date, prblm_status_id, count(*)::DOUBLE AS total_tickets, sum(is_resolved)::DOUBLE AS resolved_tickets FROM (
   SELECT *, row_number() OVER (PARTITION BY prblm_code ORDER BY prblm_updateddate DESC, ingested_at DESC) AS rn
   FROM (SELECT *, (prblm_sysdate + INTERVAL 8 HOUR)::DATE AS prblm_date FROM t_bronze)
-  WHERE {SLICE} < 2 OR prblm_date BETWEEN DATE '1998-02-01' AND DATE '1998-05-31') WHERE rn = 1 GROUP BY ALL""")
+  WHERE {SLICE} < 2 OR prblm_date BETWEEN DATE '1998-02-01' AND DATE '1998-05-31') WHERE rn = 1 GROUP BY ALL"""
+
+
+@query("n2_range_backfill", BACKFILLED)
 def range_backfill(t: Tables):
     """Gold is built from the first two arrivals. The third reaches bronze only; the
     backfill brings it into four months and leaves the others as they were."""
+    return _backfilled(t)
+
+
+@query("n2_backfill_in_slices", BACKFILLED)
+def backfill_in_slices(t: Tables):
+    """The same in three slices of up to two months; the second call finds all of them in the journal."""
+    return _backfilled(t, ("fill-1", 2), ("fill-1", 2))
+
+
+@query("n2_heal_late_partitions", """
+WITH late AS (
+  SELECT DISTINCT strftime((prblm_sysdate + INTERVAL 8 HOUR)::DATE, '%Y%m') AS value FROM t_raw
+  WHERE ingested_at >= TIMESTAMP '1998-07-01' AND last_day((prblm_sysdate + INTERVAL 8 HOUR)::DATE) < DATE '1998-07-01' - 7)
+SELECT strftime(prblm_date, '%Y%m') AS value, sum(total_tickets)::DOUBLE AS total_tickets, sum(resolved_tickets)::DOUBLE AS resolved_tickets,
+       strftime(prblm_date, '%Y%m') IN (SELECT value FROM late) AS was_late FROM t_day GROUP BY ALL""")
+def heal_late_partitions(t: Tables):
+    """Late versions enter the list instead of lengthening the batch; working it off brings every day up to date."""
+    wh = Warehouse(t.scratch("warehouse"), "month_sk")
+    first, second, third = slices(t.raw)
+    w.run_batch(t.spark, wh, first.unionByName(second), AS_OF, "b-1")
+    w.run_batch(t.spark, wh, third, AS_OF, "b-2", heal_days=7)
+    listed = w.heal(t.spark, wh, AS_OF)
+    value = F.date_format("prblm_date", "yyyyMM")
+    return wh.read(t.spark, "day_wide").groupBy(value.alias("value")).agg(
+        F.sum("total_tickets").cast("double").alias("total_tickets"), F.sum("resolved_tickets").cast("double").alias("resolved_tickets"),
+        ).withColumn("was_late", c("value").isin(listed))
+
+
+def _backfilled(t: Tables, *calls: tuple[str | None, int | None]) -> DataFrame:
     wh = Warehouse(t.scratch("warehouse"), "month_sk")
     first, second, third = slices(t.raw)
     w.run_batch(t.spark, wh, first.unionByName(second), AS_OF, "b-1")
     w.append_bronze(wh, third, AS_OF, "b-2")
-    w.backfill(t.spark, wh, date(1998, 2, 10), date(1998, 5, 20), AS_OF)
+    for run_id, step in calls or [(None, None)]:
+        w.backfill(t.spark, wh, date(1998, 2, 10), date(1998, 5, 20), AS_OF, run_id, step)
     return wh.read(t.spark, "day_wide").groupBy("prblm_date", "prblm_status_id").agg(
         F.sum("total_tickets").alias("total_tickets"), F.sum("resolved_tickets").alias("resolved_tickets"))
 

@@ -142,7 +142,7 @@ def dim_field_usage(t: Tables):
 T1, T2, T3 = datetime(1998, 1, 1), datetime(1998, 2, 1), datetime(1998, 3, 1)
 
 
-@query("i8_scd2_snapshot", """
+SCD2_SPANS = """
 WITH v AS (SELECT c_custkey AS k, unnest([1, 2, 3]) AS s,
                   unnest([c_mktsegment, CASE WHEN c_custkey % 7 = 0 THEN 'MOVED' ELSE c_mktsegment END,
                           CASE WHEN c_custkey % 21 = 0 THEN 'BACK' WHEN c_custkey % 7 = 0 THEN 'MOVED' ELSE c_mktsegment END]) AS seg,
@@ -153,8 +153,10 @@ WITH v AS (SELECT c_custkey AS k, unnest([1, 2, 3]) AS s,
 SELECT k AS c_custkey, seg AS c_mktsegment, [TIMESTAMP '1998-01-01', TIMESTAMP '1998-02-01', TIMESTAMP '1998-03-01'][s] AS valid_from,
        CASE WHEN nxt IS NOT NULL THEN [TIMESTAMP '1998-01-01', TIMESTAMP '1998-02-01', TIMESTAMP '1998-03-01'][nxt]
             WHEN leaves THEN TIMESTAMP '1998-03-01' END AS valid_to,
-       CASE WHEN nxt IS NULL AND NOT leaves THEN 1 ELSE 0 END AS is_current FROM spans""")
-def scd2_snapshot(t: Tables):
+       CASE WHEN nxt IS NULL AND NOT leaves THEN 1 ELSE 0 END AS is_current FROM spans"""
+
+
+def _snapshots(t: Tables):
     """Three snapshots of the customers: some move, some move again, some join late, some leave."""
     k, seg = c("c_custkey"), c("c_mktsegment")
     moved = F.when(k % 7 == 0, "MOVED").otherwise(seg)
@@ -163,11 +165,39 @@ def scd2_snapshot(t: Tables):
     second = base.select("c_custkey", moved.alias("c_mktsegment"))
     third = base.where(k % 11 != 0).select(
         "c_custkey", F.when(k % 21 == 0, "BACK").otherwise(moved).alias("c_mktsegment"))
+    return first, second, third
+
+
+@query("i8_scd2_snapshot", SCD2_SPANS)
+def scd2_snapshot(t: Tables):
+    first, second, third = _snapshots(t)
     rows = history.first_snapshot(first, T1)
     rows = history.apply_snapshot(rows, second, "c_custkey", ["c_mktsegment"], T2, close_missing=True)
     return history.apply_snapshot(rows, third, "c_custkey", ["c_mktsegment"], T3, close_missing=True)
 
 
+def _stored_history(t: Tables):
+    """The snapshots applied to a stored history, the second and the third of them twice."""
+    path = t.scratch("history")
+    first, second, third = _snapshots(t)
+    for rows, at in ((first, T1), (second, T2), (second, T2), (third, T3), (third, T3)):
+        history.store_snapshot(rows, path, "c_custkey", ["c_mktsegment"], at, close_missing=True)
+    return history.read_history(first, path)
+
+
+@query("i8_scd2_stored", SCD2_SPANS)
+def scd2_stored(t: Tables):
+    return _stored_history(t).drop(history.MONTH, history.CLOSED_BY)
+
+
+@query("d4j_versions_at", f"""
+SELECT c_custkey, c_mktsegment FROM ({SCD2_SPANS})
+WHERE valid_from <= TIMESTAMP '1998-02-10' AND (valid_to IS NULL OR valid_to > TIMESTAMP '1998-02-10')""")
+def versions_at(t: Tables):
+    """The customers as they were on a day of the past; months that ended before it are not opened."""
+    return history.versions_at(_stored_history(t), datetime(1998, 2, 10)).select("c_custkey", "c_mktsegment")
+
+
 @query("i9_dim_cs_store", f"""
 SELECT {o.xxh64_key("'store|' || store")} AS store_sk, store AS catsub_id, product_name, region, sales_area, has_sales_area FROM c_labels""")
 def dim_store(t: Tables):

@@ -6,8 +6,10 @@ from .. import functions as fn, schema
 from ..functions.labels import (
     RESOLUTION_BANDS, RESOLUTION_BEYOND, RESOLUTION_OPEN, RESPONSE_BANDS, RESPONSE_BEYOND, RESPONSE_OPEN,
 )
-from ..operators import quality as dq
+from ..operators import keys, quality as dq
 from ..plans import dims, facts, marts, raw_metrics
+from ..plans.state import RunChecks, SchemaLog
+from ..sources import storage as st
 from . import oracle as o
 from .core import AS_OF, TODAY, Tables, query
 
@@ -137,6 +139,82 @@ def hash_collision(t: Tables):
     return dq.hash_collisions(keyed, "user_key", "usr_id")
 
 
+KEY10 = "(('0x' || substr(md5(c_custkey::VARCHAR), 1, 16))::UBIGINT & 1023)::BIGINT"
+
+
+def _customer_keys(t: Tables, root: str):
+    """Customers under keys of ten bits, managed on two days: first every second customer, then all."""
+    dim = t.table("customer").select("c_custkey", fn.stable_hash64_md5(c("c_custkey")).bitwiseAND(F.lit(1023)).alias("entity_sk"))
+    keys.manage(dim.where(c("c_custkey") % 2 == 0), "entity_sk", "c_custkey", root, AS_OF, "day-1")
+    return keys.manage(dim, "entity_sk", "c_custkey", root, AS_OF, "day-2")
+
+
+@query("m11_managed_keys", f"""
+WITH k AS (SELECT c_custkey, c_custkey::VARCHAR AS nk, {KEY10} AS h FROM customer),
+ one AS (SELECT nk, -row_number() OVER (ORDER BY nk) AS sk FROM k WHERE c_custkey % 2 = 0 AND h IN (
+           SELECT h FROM k WHERE c_custkey % 2 = 0 GROUP BY h HAVING count(*) > 1)),
+ two AS (SELECT nk, (SELECT coalesce(min(sk), 0) FROM one) - row_number() OVER (ORDER BY nk) AS sk FROM k
+         WHERE h IN (SELECT h FROM k GROUP BY h HAVING count(*) > 1) AND nk NOT IN (SELECT nk FROM one))
+SELECT c_custkey, coalesce(m.sk, h)::BIGINT AS entity_sk FROM k LEFT JOIN (FROM one UNION ALL FROM two) m USING (nk)""")
+def managed_keys(t: Tables):
+    """Every customer gets a key of its own, and those of the first day keep theirs."""
+    return _customer_keys(t, t.scratch("keys"))
+
+
+@query("m11_collision_log", f"""
+SELECT day AS batch_id, h AS entity_sk, count(*) AS natural_key_count FROM (
+  SELECT {KEY10} AS h, c_custkey, unnest(CASE WHEN c_custkey % 2 = 0 THEN ['day-1', 'day-2'] ELSE ['day-2'] END) AS day FROM customer)
+GROUP BY ALL HAVING count(*) > 1""")
+def collision_log(t: Tables):
+    root = t.scratch("keys")
+    _customer_keys(t, root)
+    return st.read(t.spark, f"{root}/incidents").select("batch_id", "entity_sk", "natural_key_count")
+
+
+@query("m1_rules_inside_the_write", _rows("t_bronze", [
+    ("not_null", "prblm_donedate", "prblm_donedate IS NULL"),
+    ("accepted_values", "prblm_status_id", "prblm_status_id NOT IN (1, 2, 5)"),
+    ("no_negative_resolution", "resolution_hours", "is_resolved = 1 AND resolution_hours < 0")]))
+def rules_inside_the_write(t: Tables):
+    """Counted while bronze goes to its files."""
+    counted = RunChecks()
+    st.replace(t.bronze, t.scratch("bronze"), watch=counted.on("bronze", [
+        dq.not_null("prblm_donedate"), dq.accepted_values("prblm_status_id", [1, 2, 5]), dq.no_negative_resolution()]))
+    return counted.frame(t.spark).drop("table_name")
+
+
+@query("m12_fingerprints", """
+SELECT month_sk, count(*) AS left_rows, count(*) FILTER (WHERE month_sk <> 199705) AS right_rows
+FROM (SELECT (year(prblm_date) * 100 + month(prblm_date))::BIGINT AS month_sk FROM t_day) WHERE month_sk IN (199705, 199803) GROUP BY ALL""")
+def fingerprints(t: Tables):
+    """Two copies of the days: one lacks a month, in another month one count is off by one."""
+    days = t.days.withColumn("month_sk", fn.month_sk(c("prblm_date")))
+    first = days.agg(F.min(F.when(c("month_sk") == 199803, F.struct("prblm_date", *schema.TICKET_DIMS))).alias("_f"))
+    path = t.scratch("days")
+    st.replace(days, path)
+    left = st.read(t.spark, path)
+    hit = F.struct("prblm_date", *schema.TICKET_DIMS) == first.scalar()
+    right = left.where(c("month_sk") != 199705).withColumn(
+        "total_tickets", F.when(hit, c("total_tickets") + 1).otherwise(c("total_tickets")).cast(left.schema["total_tickets"].dataType))
+    sides = [dq.fingerprints(df, ["month_sk"]) for df in (left, right)]
+    return dq.differing(*sides, ["month_sk"])
+
+
+@query("m15_drift_log", """
+SELECT * FROM (VALUES ('run-2', 'gd_id', 'removed', 'string', NULL), ('run-2', 'supplier_id', 'added', NULL, 'int'),
+                      ('run-2', 'catsub_id', 'type_changed', 'int', 'bigint')) AS v(run_id, column_name, change, old_type, new_type)""")
+def drift_log(t: Tables):
+    """Three runs store a table: the second with other columns, the third with those of the second."""
+    log = SchemaLog(t.spark, t.scratch("schemas"))
+    old = t.raw.select("prblm_code", "catsub_id", "gd_id")
+    new = t.raw.select("prblm_code", c("catsub_id").cast("bigint").alias("catsub_id"), "supplier_id")
+    for run, df in (("run-1", old), ("run-1", old), ("run-2", new), ("run-3", new)):
+        path = t.scratch("drifting")
+        st.replace(df, path)
+        log.store("tickets", st.read(t.spark, path), run)
+    return log.drift.rows().select("run_id", "column_name", "change", "old_type", "new_type")
+
+
 @query("m12_reconciliation", """
 SELECT prblm_date, l AS total_tickets_left, r AS total_tickets_right FROM
   (SELECT (prblm_sysdate + INTERVAL 8 HOUR)::DATE AS prblm_date, count(*)::DOUBLE AS l FROM t_raw GROUP BY ALL)

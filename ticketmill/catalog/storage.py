@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from .. import functions as fn, schema
 from ..operators.dedup import ticket_version_order
-from ..plans import facts, layers, marts
+from ..plans import facts, layers, marts, sales
 from ..plans.layers import with_audit
+from ..plans.state import WatermarkLog
 from ..plans.warehouse import incremental_append
 from ..sources import readers, storage as st
 from . import oracle as o
@@ -37,28 +38,40 @@ def scan_raw(t: Tables):
 
 def _feed(t: Tables) -> DataFrame:
     """Feed messages on disk. Those of the last days of February 1996 carry a broken date, source 3
-    comes as text, source 4 as 4.0, and class 7 as a word."""
+    comes as text, source 4 as 4.0, and class 7 as a word; some lack a mandatory cell."""
     path = t.scratch("feed")
     value = F.regexp_replace("value", r'"prblm_updateddate":"1996-02-2(\d)T', '"prblm_updateddate":"1996/02/2$1 ')
     value = F.replace(value, F.lit('"prblm_source_id":3,'), F.lit('"prblm_source_id":"3",'))
     value = F.replace(value, F.lit('"prblm_source_id":4,'), F.lit('"prblm_source_id":4.0,'))
     value = F.replace(value, F.lit('"prblm_class_id":7,'), F.lit('"prblm_class_id":"seven",'))
-    messages = readers.to_feed(t.raw).withColumn("value", value)
+    messages = without_cells(readers.to_feed(t.raw).withColumn("value", value))
     messages.write.text(path)
     return t.spark.read.text(path)
 
 
+def without_cells(messages: DataFrame) -> DataFrame:
+    """Messages in which inner class 29 lacks the creation time and 30 the code."""
+    value = c("value")
+    for number, cell in ((29, "prblm_sysdate"), (30, "prblm_code")):
+        value = F.when(value.contains(f'"prblm_intclass_id":{number},'),
+                       F.regexp_replace(value, f'"{cell}":"[^"]*",', "")).otherwise(value)
+    return messages.withColumn("value", value)
+
+
+LACKING = "CASE WHEN prblm_intclass_id = 30 THEN 'prblm_code' END, CASE WHEN prblm_intclass_id = 29 THEN 'prblm_sysdate' END"
 BROKEN = "strftime(prblm_updateddate, '%Y-%m-%d') BETWEEN '1996-02-20' AND '1996-02-29'"
 
 
-@query("a2_parse_feed", f"SELECT {RAW_NAMES} FROM t_raw WHERE NOT ({BROKEN}) AND prblm_class_id IS DISTINCT FROM 7")
+@query("a2_parse_feed", f"""
+SELECT {RAW_NAMES} FROM t_raw WHERE NOT ({BROKEN}) AND prblm_class_id IS DISTINCT FROM 7 AND prblm_intclass_id NOT IN (29, 30)""")
 def parse_feed(t: Tables):
     return readers.parse_feed(_feed(t))[0]
 
 
 @query("a2_feed_rejects", f"""
-SELECT prblm_code, concat_ws(',', CASE WHEN {BROKEN} THEN 'prblm_updateddate' END, CASE WHEN prblm_class_id = 7 THEN 'prblm_class_id' END) AS reason
-FROM t_raw WHERE {BROKEN} OR prblm_class_id = 7""")
+SELECT CASE WHEN prblm_intclass_id <> 30 THEN prblm_code END AS prblm_code,
+       concat_ws(',', {LACKING}, CASE WHEN {BROKEN} THEN 'prblm_updateddate' END, CASE WHEN prblm_class_id = 7 THEN 'prblm_class_id' END) AS reason
+FROM t_raw WHERE {BROKEN} OR prblm_class_id = 7 OR prblm_intclass_id IN (29, 30)""")
 def feed_rejects(t: Tables):
     rejected = readers.parse_feed(_feed(t))[1]
     return rejected.select(F.get_json_object("payload", "$.prblm_code").alias("prblm_code"), "reason")
@@ -115,6 +128,18 @@ def a6(t: Tables):
     return st.read(t.spark, path).select("prblm_code", "ingested_at")
 
 
+@query("a6_append_by_log", """
+WITH x AS (SELECT prblm_code, ingested_at FROM t_raw), first AS (SELECT * FROM x WHERE ingested_at < TIMESTAMP '1997-01-01')
+SELECT * FROM first UNION ALL SELECT x.* FROM x WHERE ingested_at > (SELECT max(ingested_at) - INTERVAL 10 MINUTE FROM first)""")
+def append_by_log(t: Tables):
+    """The same rows, with the mark out of the log of batches instead of out of the target."""
+    path, log = t.scratch("bronze"), WatermarkLog(t.spark, t.scratch("marks"))
+    rows = t.raw.select("prblm_code", "ingested_at")
+    for part in (rows.where(c("ingested_at") < fn.utc_instant(CUTS[0])), rows):
+        incremental_append(part, path, "ingested_at", overlap_minutes=10, log=log)
+    return st.read(t.spark, path).select("prblm_code", "ingested_at")
+
+
 def _silver_batch(part: DataFrame) -> DataFrame:
     rows = layers.silver(layers.bronze(part, AS_OF), AS_OF)
     return rows.withColumn("month_sk", fn.month_sk(c("prblm_date")))
@@ -144,6 +169,21 @@ def upsert_unguarded(t: Tables):
     return st.read(t.spark, path).select("prblm_code", "prblm_updateddate", "prblm_status_id", "ingested_at")
 
 
+@query("a7_upsert_with_deletes", """
+SELECT order_id, customer_id, amount_raw, _cdc_op, _cdc_ts, (year(order_ts) * 100 + month(order_ts))::BIGINT AS month_sk FROM o_current""")
+def upsert_with_deletes(t: Tables):
+    """Changes out of order: deletes first, some of them without their month, then updates, and the
+    creates last, twice. No late create brings a deleted order back."""
+    path, k = t.scratch("orders"), c("order_id").cast("long")
+    rows = t.changes.withColumn("order_ts", F.when((c("_cdc_op") == "d") & (k % 100 == 0), None).otherwise(c("order_ts")))
+    op = c("_cdc_op")
+    early = (op == "d") | ((op == "c") & (k % 3 == 0))
+    for batch in (rows.where(early), rows.where(op == "u"), rows.where(op == "c"), rows.where(op == "c")):
+        sales.merge_orders(batch, path)
+    stored = st.read(t.spark, path, rows.withColumn("month_sk", F.lit(0).cast("long")).schema)
+    return st.live(stored).select("order_id", "customer_id", "amount_raw", "_cdc_op", "_cdc_ts", "month_sk")
+
+
 @query("a7_upsert_moving_keys", """
 SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'AUTOMOBILE' ELSE c_mktsegment END AS c_mktsegment,
        CASE WHEN c_custkey % 3 = 0 THEN 'moved' ELSE c_name END AS c_name FROM customer""")

@@ -1,5 +1,7 @@
 """Streams over landing folders, drained slice by slice as they arrive."""
 
+from __future__ import annotations
+
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
@@ -9,12 +11,12 @@ from ..operators import quality as dq
 from ..plans.marts import serving_window
 from ..plans.warehouse import Warehouse
 from ..sources import readers, storage as st
-from ..streaming import jobs
+from ..streaming import jobs, progress
 from . import oracle as o
 from .core import AS_OF, TODAY, Tables, query
 from .facts import SUMMED
 from .marts import OUT_LABELS
-from .storage import RAW_NAMES, slices
+from .storage import LACKING, RAW_NAMES, slices, without_cells
 
 c = F.col
 LATER = "ingested_at >= TIMESTAMP '1998-07-01'"
@@ -26,14 +28,27 @@ def _two(raw: DataFrame) -> list[DataFrame]:
     return [first.unionByName(second), third]
 
 
-@query("l1_drain_ingest", f"SELECT {RAW_NAMES} FROM t_raw")
-def drain_ingest(t: Tables):
+def _drained(t: Tables) -> tuple[str, str]:
     """Feed files land three times; each drain reads only what is new."""
     landing, target, rejects, state = (t.scratch(n) for n in ("feed", "raw", "rejects", "state"))
     for part in slices(t.raw):
-        readers.to_feed(part).write.mode("append").text(landing)
+        without_cells(readers.to_feed(part)).write.mode("append").text(landing)
         jobs.drain_ingest(t.spark, landing, target, rejects, state)
-    return readers.read_raw(t.spark, target)
+    return target, rejects
+
+
+@query("l1_drain_ingest", f"SELECT {RAW_NAMES} FROM t_raw WHERE prblm_intclass_id NOT IN (29, 30)")
+def drain_ingest(t: Tables):
+    return readers.read_raw(t.spark, _drained(t)[0])
+
+
+@query("l1_drain_rejects", f"""
+SELECT CASE WHEN prblm_intclass_id = 29 THEN prblm_code END AS prblm_code, concat_ws(',', {LACKING}) AS reason
+FROM t_raw WHERE prblm_intclass_id IN (29, 30)""")
+def drain_rejects(t: Tables):
+    """Rows without a code or a creation time do not stop the stream."""
+    rejects = st.read(t.spark, _drained(t)[1])
+    return rejects.select(F.get_json_object("payload", "$.prblm_code").alias("prblm_code"), "reason")
 
 
 def _chain(t: Tables, first_as_of: datetime = AS_OF) -> Warehouse:
@@ -66,13 +81,15 @@ def overlap_and_dedup(t: Tables):
     return st.read(t.spark, out)
 
 
-def _hourly(t: Tables, delay: str) -> DataFrame:
+def _hourly(t: Tables, delay: str, log: progress.ProgressLog | None = None) -> DataFrame:
     landing, out, state = t.scratch("landing"), t.scratch("hours"), t.scratch("state")
     for part in _two(t.raw):
         st.append(part, landing)
         counts = jobs.hourly_counts(jobs.raw_stream(t.spark, landing), delay)
-        jobs.keep_latest(counts.withColumn("month_sk", fn.month_sk(c("hour_start"))), out,
-                         ["hour_start", "catsub_id"], "month_sk", state)
+        ended = jobs.keep_latest(counts.withColumn("month_sk", fn.month_sk(c("hour_start"))), out,
+                                 ["hour_start", "catsub_id"], "month_sk", state)
+        if log:
+            log.wait_for(ended)
     return st.read(t.spark, out).select("hour_start", "catsub_id", "total_tickets", "complain_tickets")
 
 
@@ -93,6 +110,28 @@ def watermark_late_data(t: Tables):
     return _hourly(t, "30 days")
 
 
+@query("l5_dropped_late_rows", f"""
+SELECT count(DISTINCT (date_trunc('hour', prblm_sysdate), catsub_id)) AS dropped_rows
+FROM t_raw, (SELECT max(prblm_sysdate) - INTERVAL 30 DAY AS mark FROM t_raw WHERE NOT ({LATER}))
+WHERE {LATER} AND date_trunc('hour', prblm_sysdate) + INTERVAL 1 HOUR <= mark""")
+def dropped_late_rows(t: Tables):
+    """What the watermark refused, as the stored progress of the stream tells: aggregates, one per hour and site."""
+    return progress.by_query(_progress_of_hours(t, "30 days")).select(c("dropped_rows").alias("dropped_rows"))
+
+
+@query("l7_stream_progress", "SELECT count(*)::BIGINT AS input_rows, 0::BIGINT AS dropped_rows FROM t_raw")
+def stream_progress(t: Tables):
+    """Both drains belong to one query; with enough patience nothing is dropped."""
+    return progress.by_query(_progress_of_hours(t, "4000 days")).select("input_rows", "dropped_rows")
+
+
+def _progress_of_hours(t: Tables, delay: str) -> DataFrame:
+    path = t.scratch("progress")
+    with progress.ProgressLog(t.spark, path) as log:
+        _hourly(t, delay, log)
+    return progress.stored(t.spark, path)
+
+
 @query("l6_intraday_tier", f"""
 SELECT date_sk, {o.KEYS5}, {OUT_LABELS}, {', '.join(o.COUNTS)}, {o.RATIO_NAMES}, source_tier, freshness_as_of FROM m_report""")
 def intraday_tier(t: Tables):

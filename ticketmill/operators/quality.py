@@ -122,6 +122,25 @@ def freshness(tables: dict[str, tuple[DataFrame, str, int]], as_of: datetime) ->
     return reduce(DataFrame.unionByName, rows)
 
 
+def fingerprints(df: DataFrame, by: list[str], columns: list[str] | None = None) -> DataFrame:
+    """Rows, xor and sum of row hashes per partition, which do not depend on the order of the rows. The
+    sum tells repeated rows apart, which cancel out in the xor."""
+    row = F.xxhash64(*[F.col(f"`{n}`") for n in columns or sorted(df.columns)],
+                     *[F.col(f"`{n}`").isNull() for n in columns or sorted(df.columns)])
+    return df.select(*by, row.alias("_h")).groupBy(*by).agg(
+        F.count("*").alias("n_rows"), F.bit_xor("_h").alias("hash_xor"), F.sum(F.col("_h").cast("decimal(38,0)")).alias("hash_sum"))
+
+
+def differing(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """Partitions whose fingerprints differ or that one side lacks, with the rows of both sides. Only
+    fingerprints meet, not the tables."""
+    sides = [df.select(*by, F.struct("n_rows", "hash_xor", "hash_sum").alias(n)) for df, n in ((left, "_l"), (right, "_r"))]
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True).groupBy(*by).agg(
+        *[F.any_value(n, ignoreNulls=True).alias(n) for n in ("_l", "_r")])
+    return both.where(~F.col("_l").eqNullSafe(F.col("_r"))).select(
+        *by, *[F.coalesce(f"{n}.n_rows", F.lit(0)).alias(out) for n, out in (("_l", "left_rows"), ("_r", "right_rows"))])
+
+
 def reconcile(left: DataFrame, right: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
     """Keys on which two tables disagree about a metric total, or which one side lacks."""
     def totals(df: DataFrame, side: str) -> DataFrame:
@@ -157,10 +176,9 @@ def schema_rows(schema: T.StructType) -> list[tuple]:
     return [(f.name, f.dataType.simpleString()) for f in schema]
 
 
-def schema_diff(before: T.StructType, after: T.StructType) -> list[tuple]:
-    """(column, change, old type, new type) per difference."""
-    old = {f.name: f.dataType.simpleString() for f in before}
-    new = {f.name: f.dataType.simpleString() for f in after}
+def schema_diff(before: T.StructType | dict, after: T.StructType | dict) -> list[tuple]:
+    """(column, change, old type, new type) per difference of schemas or of {column: type}."""
+    old, new = (s if isinstance(s, dict) else dict(schema_rows(s)) for s in (before, after))
     rows = [(n, "removed", old[n], None) for n in old if n not in new]
     rows += [(n, "added", None, new[n]) for n in new if n not in old]
     rows += [(n, "type_changed", old[n], new[n]) for n in old if n in new and old[n] != new[n]]

@@ -51,12 +51,12 @@ def case_events(raw: DataFrame) -> DataFrame:
 
 
 def case_hour_agg(events: DataFrame) -> DataFrame:
-    """Grouped on the natural keys; keys are hashed once per group, not once per row."""
+    """Grouped on the entity itself: all parts that are NULL make it the one NULL member."""
     def hours(column: str) -> Column:
         # Fractions of an hour are whole minutes, so they add up exactly as integers.
         return F.sum(F.round(c(column) * 60).cast("bigint")).cast("decimal(28,12)") / F.lit(60)
 
-    agg = events.groupBy("event_date", "event_hour", "month_sk", *NATURAL).agg(
+    return events.withColumn("entity_sk", entity_sk()).groupBy("event_date", "event_hour", "month_sk", "entity_sk").agg(
         F.count("*").alias("ticket_count"),
         hours("response_hours").alias("response_hours_sum"),
         F.sum("has_response").alias("has_response_count"),
@@ -66,7 +66,6 @@ def case_hour_agg(events: DataFrame) -> DataFrame:
         F.sum("sla_8hr_met").alias("sla_8hr_met_count"),
         F.sum("sla_24hr_met").alias("sla_24hr_met_count"),
         F.sum("is_first_resolution").alias("first_resolution_count"))
-    return agg.withColumn("entity_sk", entity_sk())
 
 
 CODES = [f.code for f in CASES.stored]

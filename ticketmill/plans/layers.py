@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import functions as fn, schema
 from ..operators.dedup import latest_per_key, ticket_version_order
@@ -48,6 +48,19 @@ def bronze(raw: DataFrame, as_of: datetime, batch_id: str = "full",
         "ingested_at", "bronze_created_at", *schema.AUDIT)
 
 
+def incomplete() -> Column:
+    """True for raw rows that are no tickets: a mandatory column is NULL."""
+    return F.exists(F.array(*[F.col(n).isNull() for n in schema.MANDATORY]), lambda missing: missing)
+
+
+def refused(raw: DataFrame) -> DataFrame:
+    """Those rows as JSON, without the personal columns, and which columns they lack."""
+    lacking = F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in schema.MANDATORY]))
+    shown = [n for n in raw.columns if n not in schema.RAW_PII]
+    return raw.where(incomplete()).select(
+        F.to_json(F.struct(*shown)).alias("payload"), F.array_join(lacking, ",").alias("reason"))
+
+
 def silver_columns(bronze_rows: DataFrame, as_of: datetime) -> DataFrame:
     return bronze_rows.where(F.col("bronze_created_at").isNotNull()).select(
         *schema.BUSINESS, *schema.PRIVATE_OUT, *schema.BRONZE_METRICS,

@@ -10,6 +10,7 @@ from .. import functions as fn
 from ..operators import registry as reg
 from ..operators.dedup import latest_cdc
 from ..operators.registry import ORDER_METRICS
+from ..sources import storage
 
 c = F.col
 
@@ -53,9 +54,18 @@ def change_order() -> list[Column]:
     return [c("_cdc_ts").desc(), c("_ingested_at").desc()]
 
 
+def merge_orders(bronze: DataFrame, path: str) -> list:
+    """Stored current orders by month, with tombstones of the deleted ones; returns the months."""
+    rows = bronze.withColumn("month_sk", fn.month_sk(c("order_ts").cast("date")))
+    return storage.merge_changes(rows, path, ["order_id"], "month_sk", change_order(), ["_cdc_ts", "_ingested_at"])
+
+
 def order_silver(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Current typed orders, and current orders whose money text does not parse."""
-    current = latest_cdc(bronze, ["order_id"], change_order())
+    return typed_orders(latest_cdc(bronze, ["order_id"], change_order()))
+
+
+def typed_orders(current: DataFrame) -> tuple[DataFrame, DataFrame]:
     typed = current.withColumn("amount", fn.cast_amount(c("amount_raw")))
     good = typed.where(c("amount").isNotNull()).select(
         "order_id", "customer_id", "order_ts", "amount", "_ingested_at", "_batch_id")

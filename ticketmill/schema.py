@@ -20,6 +20,8 @@ RAW_COLUMNS = [
 ]
 RAW = T.StructType([T.StructField(n, t) for n, t in RAW_COLUMNS])
 RAW_PII = ["usr_id", "prblm_name"]
+# Fixed value: without these a row is no ticket.
+MANDATORY = ["prblm_code", "prblm_sysdate"]
 
 # Cells are read as text, whatever JSON type a sender gave them.
 FEED_ROW = T.StructType([T.StructField(n, _S) for n, _ in RAW_COLUMNS])

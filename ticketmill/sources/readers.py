@@ -28,8 +28,8 @@ def judge_feed(messages: DataFrame, body: str = "value") -> DataFrame:
     """Typed feed rows with a verdict.
 
     Numbers and flags may come as text, 5.0 is a whole number. A row is rejected when a cell is
-    present but cannot be read as its type; a message when its JSON does not parse, and as a whole
-    when its count differs from its rows.
+    present but cannot be read as its type, or a mandatory one is absent; a message when its JSON does
+    not parse, and as a whole when its count differs from its rows.
     """
     # FAILFAST would kill the job on one bad message; PERMISSIVE leaves rows NULL.
     parsed = messages.select(
@@ -40,7 +40,8 @@ def judge_feed(messages: DataFrame, body: str = "value") -> DataFrame:
         F.when(fault.isNull(), F.col("_m.rows"))).alias("_r"))
     typed = rows.select("_body", "_r", "_fault", *[_cell(F.col(f"_r.{n}"), t).alias(n) for n, t in schema.RAW_COLUMNS])
     bad = F.array_compact(F.array(*[
-        F.when(F.col(f"_r.{n}").isNotNull() & F.col(n).isNull(), F.lit(n)) for n, _ in schema.RAW_COLUMNS]))
+        F.when(F.col("_r" if n in schema.MANDATORY else f"_r.{n}").isNotNull() & F.col(n).isNull(), F.lit(n))
+        for n, _ in schema.RAW_COLUMNS]))
     return typed.withColumn("_bad", bad)
 
 

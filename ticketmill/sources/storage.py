@@ -7,15 +7,23 @@ about to replace, survives lost executors, and can be rerun.
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..operators.dedup import latest_per_key
 
 
+# Fixed value: the folder of rows without a partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+# What a write does with the frame that goes to the files, to count or note what passes.
+Watch = Callable[[DataFrame], DataFrame]
+
+
 # -- file system ----------------------------------------------------------------
 
 def _fs(spark: SparkSession, path: str):
@@ -34,8 +42,12 @@ def size_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength()
 
 
+def _folder(path: str, column: str, value) -> str:
+    return f"{path}/{column}={NULL_PARTITION if value is None else value}"
+
+
 def drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
-    fs, target = _fs(spark, f"{path}/{column}={value}")
+    fs, target = _fs(spark, _folder(path, column, value))
     fs.delete(target, True)
 
 
@@ -72,9 +84,10 @@ def append(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
     _writer(_spread(df, list(partition_by)), list(partition_by)).mode("append").parquet(path)
 
 
-def replace(df: DataFrame, path: str, partition_by: list[str] = (), cluster_by: list[str] = ()) -> None:
+def replace(df: DataFrame, path: str, partition_by: list[str] = (), cluster_by: list[str] = (),
+            watch: Watch | None = None) -> None:
     rows = _clustered(df, list(partition_by), list(cluster_by))
-    _writer(rows, list(partition_by)).mode("overwrite").parquet(path)
+    _writer(watch(rows) if watch else rows, list(partition_by)).mode("overwrite").parquet(path)
 
 
 def _writer(df: DataFrame, partition_by: list[str]):
@@ -82,12 +95,13 @@ def _writer(df: DataFrame, partition_by: list[str]):
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str],
-                         cluster_by: list[str] = ()) -> None:
-    (_clustered(df, partition_by, list(cluster_by)).write.mode("overwrite")
+                         cluster_by: list[str] = (), watch: Watch | None = None) -> None:
+    rows = _clustered(df, partition_by, list(cluster_by))
+    ((watch(rows) if watch else rows).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
 
 
-def replace_slice(df: DataFrame, path: str, column: str, values: list) -> None:
+def replace_slice(df: DataFrame, path: str, column: str, values: list, watch: Watch | None = None) -> None:
     """Delete the given partition values, then insert the recomputed rows.
 
     A value without new rows ends up empty, which dynamic overwrite alone would
@@ -95,7 +109,7 @@ def replace_slice(df: DataFrame, path: str, column: str, values: list) -> None:
     """
     spark = df.sparkSession
     before = _listing(spark, path, column, values)
-    overwrite_partitions(df.where(F.col(column).isin(values)), path, [column])
+    overwrite_partitions(df.where(among(F.col(column), values)), path, [column], watch=watch)
     _drop_unwritten(spark, path, column, before)
 
 
@@ -103,7 +117,7 @@ def _listing(spark: SparkSession, path: str, column: str, values) -> dict:
     fs, _ = _fs(spark, path)
     out = {}
     for value in values:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_folder(path, column, value))
         if fs.exists(folder):
             out[value] = frozenset(s.getPath().getName() for s in fs.listStatus(folder))
     return out
@@ -125,9 +139,10 @@ def publish(df: DataFrame, lake_path: str, partition_by: list[str],
     before they are inserted, so that publishing again adds nothing. Returns their values.
     """
     spark, column = df.sparkSession, partition_by[0]
-    overwrite_partitions(df, lake_path, partition_by)
-    values = touched_values(df, column)
-    stored = read(spark, lake_path, df.schema).where(F.col(column).isin(values))
+    noted = Noted(column, df.schema[column].dataType)
+    overwrite_partitions(df, lake_path, partition_by, watch=noted)
+    values = noted.values()
+    stored = read(spark, lake_path, df.schema).where(among(F.col(column), values))
     if hot_path:
         overwrite_partitions(stored, hot_path, partition_by)
     if jdbc:
@@ -161,33 +176,103 @@ def touched_values(df: DataFrame, column: str) -> list:
     return [r[0] for r in df.select(column).distinct().collect()]
 
 
+class Noted:
+    """Notes the partition values of what a write stores, while it is written."""
+
+    def __init__(self, column: str, kind: T.DataType):
+        self.column, self.kind, self.seen = column, kind, Observation()
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        value = F.col(self.column)
+        return df.observe(self.seen, F.to_json(F.collect_set(value.cast("string"))).alias("found"),
+                          F.count_if(value.isNull()).alias("missing"))
+
+    def values(self) -> list:
+        seen = self.seen.get
+        read_back = {"date": date.fromisoformat, "string": str}.get(self.kind.simpleString(), int)
+        found = sorted(read_back(v) for v in json.loads(seen.get("found") or "[]"))
+        return ([None] if seen.get("missing") else []) + found
+
+
+def among(column: Column, values: Iterable) -> Column:
+    """True for the given partition values, NULL being one where it is given."""
+    known = [v for v in values if v is not None]
+    found = F.coalesce(column.isin(known), F.lit(False))
+    return found | column.isNull() if len(known) < len(list(values)) else found
+
+
 def upsert(source: DataFrame, path: str, keys: list[str], partition_col: str,
-           order: list[Column] | None = None, keys_may_move: bool = False) -> list:
+           order: list[Column] | None = None, keys_may_move: bool = False,
+           watch: Watch | None = None, also: tuple = ()) -> list:
     """Insert-or-replace on `keys`, rewriting only the partitions it touches.
 
     Without `order` a source row always wins. With `order` (a total order, best
     first) the best version of stored and incoming rows wins, so an old version
-    that arrives late changes nothing and a rerun changes nothing.
+    that arrives late changes nothing and a rerun changes nothing. Rows without a
+    partition value have a partition of their own. Partitions in `also` take part in any case.
     """
     spark = source.sparkSession
     if not exists(spark, path):
         fresh = latest_per_key(source, keys, order) if order else source
-        replace(fresh, path, [partition_col])
-        return touched_values(read(spark, path), partition_col)
+        noted = Noted(partition_col, source.schema[partition_col].dataType)
+        replace(fresh, path, [partition_col], watch=lambda df: noted(watch(df) if watch else df))
+        return noted.values()
     stored = read(spark, path, source.schema)
-    touched = set(touched_values(source, partition_col))
+    touched = {*touched_values(source, partition_col), *also}
     if keys_may_move:
         held = stored.join(source.select(*keys).distinct(), keys, "left_semi")
         touched |= set(touched_values(held, partition_col))
-    affected = stored.where(F.col(partition_col).isin(list(touched)))
+    affected = stored.where(among(F.col(partition_col), list(touched)))
     if order:
         merged = latest_per_key(affected.unionByName(source), keys, order)
     else:
         merged = affected.join(source.select(*keys), keys, "left_anti").unionByName(source)
-    before = _listing(spark, path, partition_col, touched) if keys_may_move else {}
-    overwrite_partitions(merged.select(source.columns), path, [partition_col])
+    before = _listing(spark, path, partition_col, touched if keys_may_move else also)
+    overwrite_partitions(merged.select(source.columns), path, [partition_col], watch=watch)
     _drop_unwritten(spark, path, partition_col, before)
-    return sorted(touched)
+    return sorted(touched, key=lambda v: (v is not None, v))
+
+
+# -- change streams with deletes ----------------------------------------------------
+
+def merge_changes(changes: DataFrame, path: str, keys: list[str], partition_col: str, order: list[Column],
+                  clock: list[str], op: str = "_cdc_op", delete: str = "d", watch: Watch | None = None) -> list:
+    """Merge change rows, deletes among them, in whatever order the batches arrive.
+
+    The deleting version of a key stays in the table as a tombstone of its keys, partition, operation
+    and the columns of its clock, which `order` ranks by; nothing else of the row is kept. An older version that comes
+    late loses against it and cannot bring the key back; a newer one does. A key's partition never changes.
+    A delete may come without it: it goes where the key is stored, or, before its key is known, to the
+    partition without a value, which every merge reads. Read the table through `live`.
+    """
+    spark = changes.sparkSession
+    kept = [*keys, partition_col, op, *clock]
+    rows = changes.select([F.col(n) if n in kept else F.when(F.col(op) != delete, F.col(n)).alias(n) for n in changes.columns])
+    homeless = F.col(partition_col).isNull() & (F.col(op) == delete)
+    if exists(spark, path) and not rows.where(homeless).isEmpty():
+        stored = read(spark, path, rows.schema).select(*keys, F.col(partition_col).alias("_home"))
+        lost = rows.where(homeless).select(*keys).distinct()
+        homes = stored.join(lost, keys, "left_semi").groupBy(*keys).agg(F.max("_home").alias("_home"))
+        rows = rows.join(homes, keys, "left").withColumn(
+            partition_col, F.when(homeless, F.col("_home")).otherwise(F.col(partition_col))).select(changes.columns)
+    return upsert(rows, path, keys, partition_col, order, watch=watch, also=(None,))
+
+
+def live(table: DataFrame, op: str = "_cdc_op", delete: str = "d") -> DataFrame:
+    """A merged table without its tombstones."""
+    return table.where(F.col(op).isNull() | (F.col(op) != delete))
+
+
+def purge_tombstones(spark: SparkSession, path: str, partition_col: str, clock: str, before: Column,
+                     op: str = "_cdc_op", delete: str = "d", schema: T.StructType | None = None) -> list:
+    """Drop the tombstones older than `before`, the time after which no older version can still
+    arrive; only partitions that hold such are rewritten. Returns those."""
+    table = read(spark, path, schema)
+    old = (F.col(op) == delete) & (F.col(clock) < before)
+    values = touched_values(table.where(old), partition_col)
+    if values:
+        replace_slice(table.where(among(F.col(partition_col), values) & ~F.coalesce(old, F.lit(False))), path, partition_col, values)
+    return sorted(values, key=lambda v: (v is not None, v))
 
 
 # -- schema evolution -------------------------------------------------------------
@@ -222,16 +307,19 @@ def union_evolved(stored: DataFrame, batch: DataFrame, policy: str) -> DataFrame
 
 def append_evolved(batch: DataFrame, path: str, policy: str) -> DataFrame:
     """Store an evolved batch beside what is there. Only `sync_all_columns` can drop or retype stored
-    columns, so only it rewrites the table, into a new folder that replaces the old one; the others
-    add files. Returns the table under its resulting schema."""
+    columns, so only it rewrites the table, into a new folder that replaces the old one, which is moved
+    aside first and deleted last; the others add files. Returns the table under its resulting schema."""
     spark = batch.sparkSession
     stored = read(spark, path)
     if policy == "sync_all_columns":
         fresh = f"{path}-{uuid.uuid4().hex[:8]}"
         replace(union_evolved(stored, batch, policy), fresh)
-        fs, old = _fs(spark, path)
-        fs.delete(old, True)
-        fs.rename(spark._jvm.org.apache.hadoop.fs.Path(fresh), old)
+        fs, place = _fs(spark, path)
+        new, aside = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, f"{fresh}-old"))
+        for source, target in ((place, aside), (new, place)):
+            if not fs.rename(source, target):
+                raise OSError(f"{source} could not be renamed to {target}")
+        fs.delete(aside, True)
         return read(spark, path)
     schema = union_evolved(stored, batch, policy).schema
     append(align(batch, stored.schema, policy), path)
@@ -244,14 +332,15 @@ def expire(spark: SparkSession, path: str, column: str, as_of: date, retain_days
            buffer_days: int = 30, dry_run: bool = False) -> list[str]:
     """Drop the date partitions that end before the first day to keep; only directories are touched.
 
-    The buffer lengthens the time that is kept, so it cannot be negative.
+    The buffer lengthens the time that is kept, so it cannot be negative. Rows without a partition
+    value have no last day and stay.
     """
     if buffer_days < 0:
         raise ValueError(f"buffer_days must not be negative, got {buffer_days}")
     keep_from = as_of - timedelta(days=retain_days + buffer_days)
     gone = []
     for value in partition_values(spark, path, column):
-        if _last_day(value) < keep_from:
+        if value != NULL_PARTITION and _last_day(value) < keep_from:
             gone.append(value)
             if not dry_run:
                 drop_partition(spark, path, column, value)
@@ -300,10 +389,12 @@ def compact(spark: SparkSession, path: str, partition_col: str, values: list,
     if not total:
         return
 
+    name = F.coalesce(F.col(partition_col).cast("string"), F.lit(NULL_PARTITION))
+
     def literal(numbers: dict[str, int]) -> Column:
-        return F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])[F.col(partition_col).cast("string")]
+        return F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])[name]
 
-    rows = read(spark, path, schema).where(F.col(partition_col).cast("string").isin(list(first)))
+    rows = read(spark, path, schema).where(name.isin(list(first)))
     columns = rows.columns
     share = F.pmod(F.xxhash64(*columns), literal(count).cast("long"))
     dealt = rows.withColumn("_file", (literal(first) + share).cast("int")).repartitionById(total, "_file")

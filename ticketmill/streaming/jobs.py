@@ -59,10 +59,10 @@ def drain_ingest(spark: SparkSession, landing: str, target: str, rejects: str,
 
 
 def drain_chain(spark: SparkSession, landing: str, wh: Warehouse, checkpoint: str,
-                as_of: datetime) -> StreamingQuery:
+                as_of: datetime, heal_days: int | None = None) -> StreamingQuery:
     """Micro-batches through bronze, silver, facts and marts."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        wh_mod.run_batch(spark, wh, batch, as_of, f"stream-{stream_id(spark, checkpoint)}-{batch_id}")
+        wh_mod.run_batch(spark, wh, batch, as_of, f"stream-{stream_id(spark, checkpoint)}-{batch_id}", heal_days)
     return drain(raw_stream(spark, landing), checkpoint, handle)
 
 
