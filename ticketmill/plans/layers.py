@@ -50,7 +50,8 @@ def bronze(raw: DataFrame, as_of: datetime, batch_id: str = "full",
 
 def incomplete() -> Column:
     """True for raw rows that are no tickets: a mandatory column is NULL."""
-    return F.exists(F.array(*[F.col(n).isNull() for n in schema.MANDATORY]), lambda missing: missing)
+    code, created = (F.col(n).isNull() for n in schema.MANDATORY)
+    return code | created
 
 
 def refused(raw: DataFrame) -> DataFrame:

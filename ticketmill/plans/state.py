@@ -142,7 +142,7 @@ class RunChecks:
         """(table, rule, column, failures, checked) of everything written so far."""
         out = []
         for table, rules, seen in self.watched:
-            found = seen.get
+            found = storage.observed(seen)
             out += [(table, r.rule, r.column, int(found.get(f"r{i}") or 0), int(found.get("checked") or 0))
                     for i, r in enumerate(rules)]
         return out

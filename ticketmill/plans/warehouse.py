@@ -113,8 +113,10 @@ def append_bronze(wh: Warehouse, raw: DataFrame, as_of: datetime, batch_id: str,
     path = f"{wh.path('bronze')}/_batch_id={batch_id}"
     storage.replace(rows.drop("_batch_id"), path, [MONTH], cluster_by=["prblm_sysdate"],
                     watch=(checks or RunChecks()).on("bronze", row_rules("bronze")))
-    if refused.get.get("n") or storage.exists(raw.sparkSession, f"{wh.path('bronze_rejects')}/_batch_id={batch_id}"):
-        storage.replace(layers.refused(raw), f"{wh.path('bronze_rejects')}/_batch_id={batch_id}")
+    rejects = f"{wh.path('bronze_rejects')}/_batch_id={batch_id}"
+    n = storage.observed(refused).get("n")  # not known where no row was left to store
+    if n or storage.exists(raw.sparkSession, rejects) or n is None and not raw.where(layers.incomplete()).isEmpty():
+        storage.replace(layers.refused(raw), rejects)
     stored = storage.read(raw.sparkSession, path, rows.drop("_batch_id").schema)
     return stored.withColumn("_batch_id", F.lit(batch_id)).select(rows.columns)
 

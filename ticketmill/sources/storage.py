@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from datetime import date, timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..operators.dedup import latest_per_key
@@ -176,6 +177,15 @@ def touched_values(df: DataFrame, column: str) -> list:
     return [r[0] for r in df.select(column).distinct().collect()]
 
 
+def observed(seen: Observation) -> dict:
+    """The counts of an observation; nothing where no row came to it, in which case adaptive
+    execution may leave the place it stood at out of the plan."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
 class Noted:
     """Notes the partition values of what a write stores, while it is written."""
 
@@ -188,7 +198,7 @@ class Noted:
                           F.count_if(value.isNull()).alias("missing"))
 
     def values(self) -> list:
-        seen = self.seen.get
+        seen = observed(self.seen)
         read_back = {"date": date.fromisoformat, "string": str}.get(self.kind.simpleString(), int)
         found = sorted(read_back(v) for v in json.loads(seen.get("found") or "[]"))
         return ([None] if seen.get("missing") else []) + found
