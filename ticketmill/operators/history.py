@@ -6,7 +6,7 @@ snapshot that closed them. A snapshot reads and rewrites the open versions only.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -68,6 +68,7 @@ def _next_versions(live: DataFrame, snapshot: DataFrame, key: str, tracked: list
 
 MONTH, CLOSED_BY = "closed_month", "closed_by"
 OPEN = 0
+_STAMP = "%Y%m%dT%H%M%S%f"
 
 
 def store_snapshot(snapshot: DataFrame, path: str, key: str, tracked: list[str], at: datetime,
@@ -77,22 +78,36 @@ def store_snapshot(snapshot: DataFrame, path: str, key: str, tracked: list[str],
     Closed versions are written first, into a folder that bears the snapshot's time; then the open
     ones are swapped. A run that breaks in between and is repeated, before the next snapshot, finds the same
     open versions again and writes the same folder; a snapshot that was applied already finds nothing to close.
+    One that is older than the last change comes too late and changes nothing.
     """
     spark = snapshot.sparkSession
     if not storage.exists(spark, path):
         storage.replace(_placed(first_snapshot(snapshot, at), at), path, [MONTH, CLOSED_BY])
         return
     live = open_versions(read_history(snapshot, path))
+    if at < _last_change(live, path):
+        return
     after = _placed(_next_versions(live, snapshot, key, tracked, at, close_missing), at)
     storage.overwrite_partitions(after.where(F.col(MONTH) != OPEN), path, [MONTH, CLOSED_BY])
     storage.overwrite_partitions(after.where(F.col(MONTH) == OPEN), path, [MONTH, CLOSED_BY])
 
 
+def _last_change(live: DataFrame, path: str) -> datetime:
+    """When a version was last opened or closed: from the open versions and the names of folders."""
+    opened = live.agg(F.unix_micros(F.max("valid_from"))).first()[0]
+    times = [datetime.min if opened is None else datetime(1970, 1, 1) + timedelta(microseconds=opened)]
+    months = [v for v in storage.partition_values(live.sparkSession, path, MONTH) if v != str(OPEN)]
+    if months:
+        closed = storage.partition_values(live.sparkSession, f"{path}/{MONTH}={max(months)}", CLOSED_BY)
+        times += [datetime.strptime(max(closed), _STAMP)] if closed else []
+    return max(times)
+
+
 def _placed(versions: DataFrame, at: datetime) -> DataFrame:
     closed = F.col("is_current") == 0
     return versions.withColumns({
         MONTH: F.when(closed, month_sk(F.to_date("valid_to"))).otherwise(F.lit(OPEN)).cast("int"),
-        CLOSED_BY: F.when(closed, F.lit(at.strftime("%Y%m%dT%H%M%S%f"))).otherwise(F.lit("-"))})
+        CLOSED_BY: F.when(closed, F.lit(at.strftime(_STAMP))).otherwise(F.lit("-"))})
 
 
 def read_history(like: DataFrame, path: str) -> DataFrame:
