@@ -350,3 +350,25 @@ def test_progress_of_streams_is_stored(spark):
     found = progress.by_query(progress.stored(spark, path)).collect()
     assert [(r.input_rows, r.dropped_rows) for r in found] == [(2, 0)] and found[0].event_time_mark is not None
     assert progress.stored(spark, scratch_path(spark, "none")).count() == 0
+
+
+# -- bucketed tables ---------------------------------------------------------------------------
+
+def test_bucketed_fact_meets_its_dimension_without_a_shuffle(spark, tables):
+    from ticketmill.catalog.facts import bucketed_tables
+    days, customers = bucketed_tables(tables, 4)
+    stored = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(days.read(spark).join(customers.read(spark), "entity_sk", "left"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", stored)
+    assert "Exchange" not in text and "SortMergeJoin" in text and text.count("Bucketed: true") == 2
+    assert same(days.read(spark), tables.order_days, tables.order_days.columns)
+    # Another session names the folder anew.
+    other = type(days)(days.name + "_again", days.path, days.key, days.buckets, days.partition_by)
+    other.attach(spark, days.read(spark).schema)
+    assert same(other.read(spark), tables.order_days, tables.order_days.columns)
+    for table in (customers, other):
+        table.drop(spark)
+    assert not st.exists(spark, customers.path)

@@ -10,6 +10,7 @@ from ..functions import local_date
 from ..functions.calendar import local_day_range
 from ..plans import cases, dims, facts, layers, marts, sales
 from ..session import prepare, scratch_path
+from ..sources.readers import read_raw
 from .derive import read_table, tickets_from_orders
 from . import oracle as sql_text
 
@@ -22,7 +23,10 @@ ORACLES: dict[str, str] = {}
 
 
 class Tables:
-    """Lazily derived layers over one data directory."""
+    """Lazily derived layers over one data directory. Raw tickets come from its orders, or from a
+    stored table where `raw_path` names one."""
+
+    raw_path: str | None = None
 
     def __init__(self, spark: SparkSession, sf_dir: str, days: tuple[date, date] | None = None):
         self.spark, self.sf_dir, self._days = prepare(spark), sf_dir, days
@@ -45,7 +49,7 @@ class Tables:
 
     @cached_property
     def raw(self) -> DataFrame:
-        rows = tickets_from_orders(self.table("orders"))
+        rows = read_raw(self.spark, self.raw_path) if self.raw_path else tickets_from_orders(self.table("orders"))
         return rows.where(local_day_range(F.col("prblm_sysdate"), *self._days)) if self._days else rows
 
     @cached_property

@@ -9,6 +9,7 @@ from ..operators import quality as dq, registry as reg
 from ..operators.dedup import latest_cdc, latest_per_key, ticket_version_order
 from ..operators.registry import ACTIVITY, TICKETS
 from ..plans import activity, cases, facts, raw_metrics, sales
+from ..plans.bucketed import Bucketed
 from . import oracle as o
 from .core import AS_OF, TODAY, Tables, query
 
@@ -268,15 +269,37 @@ def cs_daily_report(t: Tables):
     return cases.case_daily_report(t.case_days, t.entities)
 
 
-@query("j11_user_metric_day", f"""
+USER_METRICS = f"""
 SELECT date_sk, month_sk, entity_sk, strftime(date_sk, '%Y') || '-Q' || quarter(date_sk) AS year_quarter,
        CASE WHEN isodow(date_sk) >= 6 THEN 1 ELSE 0 END AS is_weekend, c_name AS customer_name,
        sum(orders_count)::DOUBLE AS orders_count, sum(cents)::DOUBLE / 100 AS revenue_amount, {o.AS_OF} AS updated_at
-FROM o_hour JOIN o_customer USING (customer_id) LEFT JOIN customer ON c_custkey::VARCHAR = customer_id GROUP BY ALL""")
+FROM o_hour JOIN o_customer USING (customer_id) LEFT JOIN customer ON c_custkey::VARCHAR = customer_id GROUP BY ALL"""
+
+
+@query("j11_user_metric_day", USER_METRICS)
 def user_metric_day(t: Tables):
     return sales.user_metric_day(t.order_days, t.calendar, sales.dim_customer(t.table("customer")))
 
 
+@query("j11_user_metric_bucketed", USER_METRICS)
+def user_metric_bucketed(t: Tables):
+    """From a stored fact and dimension with the same buckets, which need no shuffle to be joined."""
+    days, customers = bucketed_tables(t)
+    return sales.user_metric_day(days.read(t.spark), t.calendar, customers.read(t.spark))
+
+
+def bucketed_tables(t: Tables, buckets: int = 8) -> tuple[Bucketed, Bucketed]:
+    """Order days and customers, stored; half of the months in a second write."""
+    def at(name: str, *parts: str) -> Bucketed:
+        path = t.scratch(name)
+        return Bucketed(path.rsplit("/", 1)[-1].replace("-", "_"), path, "entity_sk", buckets, parts)
+    days, customers = at("order_days", "month_sk"), at("customers")
+    days.store(t.order_days.where(c("month_sk") % 2 == 0))
+    days.refresh(t.order_days.where(c("month_sk") % 2 == 1))
+    customers.store(sales.dim_customer(t.table("customer")))
+    return days, customers
+
+
 @query("j12_cs_silver_events", """
 SELECT prblm_code, prblm_updateddate, ingested_at, prblm_status_id, prblm_donedate, store AS catsub_id, quek_id, queid, supplier_id,
        event_date, event_hour, month_sk, response_min / 60.0::DOUBLE AS response_hours, closure_min / 60.0::DOUBLE AS closure_hours,

@@ -43,6 +43,11 @@ def size_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(target).getLength()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
+
+
 def _folder(path: str, column: str, value) -> str:
     return f"{path}/{column}={NULL_PARTITION if value is None else value}"
 
