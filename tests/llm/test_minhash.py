@@ -68,6 +68,34 @@ def test_chains_and_groups_larger_than_a_block(spark, monkeypatch):
     check(spark.createDataFrame(rows, "doc_id long, text string"), rows)
 
 
+def by_row(rows):
+    """(doc_id, n_shingles, component) of every row, each judged by its own text."""
+    ids = {i: doc_id for i, (doc_id, _) in enumerate(rows)}
+    groups = brute([(i, t) for i, (_, t) in enumerate(rows)])
+    least = {}
+    for i, (n, g) in groups.items():
+        if n and ids[i] is not None:
+            least[g] = min(least.get(g, ids[i]), ids[i])
+    return sorted(((ids[i], n, least.get(g, ids[i]) if n else ids[i]) for i, (n, g) in groups.items()), key=str)
+
+
+def test_repeated_and_null_ids_with_different_texts(spark):
+    rnd = random.Random(11)
+    text = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    a, b = text(80), text(90)
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join([*a, "more"])), (9, " ".join(["front", *b]))]
+    chain = text(300)
+    for i in (30, None, None, 33, None, 31):  # neighbours only are near; rows without ids hold the chain together
+        rows.append((i, " ".join(chain)))
+        chain = chain[25:] + text(25)
+    rows += [(None, " ".join(a)), (1, " ".join(a)), (5, None), (5, " ".join(b[:70])), (None, None), (None, ""), (6, "alone")]
+    rows += [(None, " ".join(text(8)))] * 3
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = minhash.near_duplicates(df).collect()
+        assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == by_row(rows)
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(200, 200), (None, 5), (301, 300)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}

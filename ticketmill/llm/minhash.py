@@ -11,11 +11,13 @@ node. Nodes that share a band are candidates, in two steps that never list all p
    deviations below the threshold) are verified, most alike first, until they are connected.
 
 Every link is confirmed on the full shingle sets. A pair at the threshold shares a band with
-probability 0.9997. Sets are compared as 64-bit run hashes, and a node is named by a 64-bit hash
-of its set.
+probability 0.9997. Sets are compared as 64-bit run hashes; equal sets and equal texts are told by
+128-bit hashes of them, and a node is named by the number of one of its rows.
 
-Nulls: a null text is empty. Documents without words link with nothing; a null doc_id never names a
-component. Rows that repeat an id are rows of one document and are kept or dropped together.
+Defined cases. A null text is empty. Documents without words link with nothing; a null doc_id never
+names a component, but its text links others. Every row is judged by its own text: rows that repeat an id
+with different texts may be in different components. Copies are one node, however many. A very long
+text is one row of a batch like any other. An empty table gives an empty result; columns besides doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -65,23 +67,30 @@ def _profile_parts(batch: pa.RecordBatch):
         yield at, sets, values, np.append(bounds[full], bounds[-1]), full
 
 
-def profiles(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node (null without words), bands of every document."""
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and both halves of the text's hash."""
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
+
+
+def profiles(rows: DataFrame) -> DataFrame:
+    """doc_id, t1, t2, n_shingles, n1 and n2 (hash of the set, null without words), bands of every
+    row of `keyed`."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, sets, values, bounds, full in _profile_parts(batch):
                 keys = [None] * len(sets)
-                nodes = [None] * len(sets)
+                nodes = [(None, None)] * len(sets)
                 if len(full):
                     for i, k in zip(full.tolist(), band_keys(minima(values, bounds))):
                         keys[i] = k
                         nodes[i] = set_key(sets[i])
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": batch.column("doc_id").slice(at, len(sets)),
+                    **{c: batch.column(c).slice(at, len(sets)) for c in ("doc_id", "t1", "t2")},
                     "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                    "node": pa.array(nodes, pa.int64()), "bands": pa.array(keys, pa.list_(pa.int64()))})
-    return with_package(docs.select(F.col("doc_id").cast("long"), "text")).mapInArrow(
-        work, "doc_id long, n_shingles long, node long, bands array<long>")
+                    "n1": pa.array([n[0] for n in nodes], pa.int64()), "n2": pa.array([n[1] for n in nodes], pa.int64()),
+                    "bands": pa.array(keys, pa.list_(pa.int64()))})
+    return with_package(rows).mapInArrow(
+        work, "doc_id long, t1 long, t2 long, n_shingles long, n1 long, n2 long, bands array<long>")
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -146,22 +155,27 @@ def _blocked(batches_percent: int):
     return work
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links),
-    kept (doc_id is component_id)."""
-    known = stored(profiles(docs), "minhash-profiles")
-    places = known.where("node is not null").select("node", F.explode("bands").alias("key"))
+def classes(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """One row per row: doc_id, t1, t2 (hash of the text), n_shingles, component (null without words),
+    the same number for all rows that links connect."""
+    source = keyed(docs)
+    known = stored(profiles(source).withColumn("row", F.monotonically_increasing_id()), "minhash-profiles")
+    # One row per distinct set, with the row whose text stands for it: one with an id, if there is any.
+    pick = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "t1", "t2")
+    nodes = stored(known.where("n1 is not null").groupBy("n1", "n2").agg(
+        F.min("row").alias("node"), F.min(pick).alias("pick"), F.any_value("bands").alias("bands")), "minhash-nodes")
+    places = nodes.select("node", F.explode("bands").alias("key"))
     # Grouped tables are stored before they are joined, so that Spark can split a key with many rows.
     shared = stored(places.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_high")).where(
         "hub != _high").select("key", "hub"), "minhash-shared")
-    members = stored(places.join(shared, "key").select("key", "hub", "node").distinct(),
-                     "minhash-members")
-    # One document stands for a node; its text is read again only for nodes with candidates.
-    wanted = members.select("node").distinct()
-    chosen = known.join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(chosen, "doc_id").select("node", "text")
-    # Rows that repeat an id may all have come along: one text of a node is enough.
-    texts = stored(texts.where("text is not null").groupBy("node").agg(F.any_value("text").alias("text")), "minhash-texts")
+    members = stored(places.join(shared, "key").select("key", "hub", "node"), "minhash-members")
+    # Texts are read again only for nodes with candidates, by id and the text's hash.
+    chosen = nodes.select("node", "pick").join(members.select("node").distinct(), "node", "left_semi").select(
+        "node", F.coalesce("pick.doc_id", F.lit(0)).alias("_id"), "pick.nameless", "pick.t1", "pick.t2")
+    texts = source.withColumn("_id", F.coalesce("doc_id", F.lit(0))).withColumn("nameless", F.col("doc_id").isNull())
+    texts = texts.drop("doc_id").join(chosen, ["_id", "nameless", "t1", "t2"]).select("node", "text")
+    # Rows that repeat an id and its text have all come along: one text of a node is enough.
+    texts = stored(texts.groupBy("node").agg(F.any_value("text").alias("text")), "minhash-texts")
 
     stars = members.where("node != hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()
     with_texts = stars.join(texts.select(F.col("node").alias("u"), F.col("text").alias("u_text")), "u").join(
@@ -182,8 +196,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     more = stored(with_package(rows).mapInArrow(_blocked(percent), "u long, v long"), "minhash-block-links")
     groups = components(links.unionByName(more), "minhash-components")
 
-    named = known.select("doc_id", "n_shingles", "node").join(groups, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
+    named = stored(nodes.select("n1", "n2", "node").join(groups, "node", "left").select(
+        "n1", "n2", F.coalesce("component", "node").alias("component")), "minhash-classes")
+    return known.select("doc_id", "t1", "t2", "n_shingles", "n1", "n2").join(named, ["n1", "n2"], "left").drop("n1", "n2")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """One row per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links),
+    kept (doc_id is component_id)."""
+    named = classes(docs, percent)
     least = stored(named.where("component is not null").groupBy("component").agg(
         F.min("doc_id").alias("component_id")), "minhash-least")
     out = named.join(least, "component", "left")

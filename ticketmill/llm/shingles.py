@@ -121,5 +121,7 @@ def shingle_sets(column: pa.Array, width: int) -> tuple[list[np.ndarray], np.nda
     return sets, np.concatenate(sets) if sets else all_runs, bounds
 
 
-def set_key(s: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+def set_key(s: np.ndarray) -> tuple[int, int]:
+    """Both halves of a 128-bit hash."""
+    digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+    return tuple(int.from_bytes(digest[i:i + 8], "little", signed=True) for i in (0, 8))
