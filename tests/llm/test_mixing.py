@@ -78,6 +78,33 @@ def test_mixed_documents_stand_as_often_as_they_are_taken(docs):
         assert passes[r.doc_id] == (-(-r.taken // r.size) if r.size else 1)
 
 
+def test_reruns_agree_where_ids_and_sizes_repeat(spark):
+    """Repeated and null ids with other texts of the same size, in other orders and partitions."""
+    rows = [(k % 3 or None, f"a{k % 40} b c d", "ab"[k % 2]) for k in range(300)] + [(None, "x y", "c")] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    check(df, rows)
+    runs = [Counter(tuple(r) for r in mixing.mixed_documents(d).collect())
+            for d in (df, df.repartition(7), df.orderBy("source", "text").coalesce(1))]
+    assert runs[0] == runs[1] == runs[2]
+
+
+def test_equal_ids_and_equal_rows_do_not_gather(spark):
+    rows = [(None, f"t{k}", "a") for k in range(20_000)] + [(7, "same text", "a")] * 20_000
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = mixing._sizes(df, 20)
+    largest = sizes.groupBy("source", "_coarse_digit", "_fine_digit").count().agg({"count": "max"}).first()[0]
+    assert largest <= 12
+    got = mixing.taken_words(df).collect()
+    assert len(got) == 40_000 and sum(r.taken for r in got) == 60_000
+
+
+def test_too_many_sources_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 3)
+    df = spark.createDataFrame([(k, "a", f"s{k}") for k in range(4)], "doc_id long, text string, source string")
+    with pytest.raises(ValueError):
+        mixing.taken_words(df)
+
+
 def test_odd_rows_and_empty_table(odd, odd_rows, nothing):
     check(odd, [r[:3] for r in odd_rows])
     mixed = mixing.mixed_documents(odd)

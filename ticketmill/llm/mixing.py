@@ -7,7 +7,12 @@ takes the i-th van der Corput point, which falls into the share of one source on
 slots of a source are ranked in slot order and the r-th takes the r-th block of its stream. At
 every point of the sequence each source so has its share up to O(log slots) blocks.
 
-Only DataFrame functions are used. Nulls: a null text has size 0, a null source is the last
+Only DataFrame functions are used. The order follows a hash of id and text; rows that agree in both are
+summed up before the running totals and dealt out behind them, so that neither equal ids nor equal rows
+gather in one window, and reruns agree in whatever order rows come. What has a row per source is
+sorted in one place; more than MOST_SOURCES sources are refused.
+
+Nulls: a null text has size 0, a null source is the last
 source, a null doc_id is an ordinary value. Rows of size 0 take 0. Repeated rows are documents of
 their own. An empty table gives an empty result. Other columns are ignored by `schedule` and kept
 by `mixed_documents`.
@@ -24,17 +29,29 @@ from .common import WORD, restored, stored, with_rest, with_running_total
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
 BLOCK_WORDS = 1024
+MOST_SOURCES = 1 << 16
+_COPIES = 1 << 12
 _BITS = 52
 _CELLS = 1024
 
 
 def _sizes(docs: DataFrame, seed: int) -> DataFrame:
-    h = F.xxhash64(F.lit(seed), "doc_id")
-    return docs.select(
-        "doc_id", "source", F.xxhash64("text").alias("_text"),
-        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        h.alias("_order"), F.shiftrightunsigned(h, 56).cast("int").alias("_coarse_digit"),
-        F.shiftrightunsigned(h, 48).bitwiseAND(F.lit(255)).cast("int").alias("_fine_digit"))
+    """Distinct (doc_id, source, text) with how many rows they are and where the shuffle puts them."""
+    found = docs.select(
+        "doc_id", "source", F.xxhash64("text").alias("_text"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("_order"),
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    h = F.col("_order")
+    return found.groupBy("doc_id", "source", "_text", "_order", "size").agg(F.count("*").alias("copies")).withColumns({
+        "words": F.col("size") * F.col("copies"), "_coarse_digit": F.shiftrightunsigned(h, 56).cast("int"),
+        "_fine_digit": F.shiftrightunsigned(h, 48).bitwiseAND(F.lit(255)).cast("int")})
+
+
+def _copies(rows: DataFrame) -> DataFrame:
+    """Every row as often as it stands; the k-th copy begins behind the ones before it."""
+    last = F.col("copies") - 1
+    spread = rows.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(_COPIES).cast("long"))))
+    spread = spread.withColumn("_k", F.explode(F.sequence("_k", F.least(F.col("_k") + _COPIES - 1, last))))
+    return spread.withColumn("start", F.col("start") + F.col("_k") * F.col("size")).drop("_k", "copies", "words")
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASSES) -> DataFrame:
@@ -44,7 +61,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASSES) ->
     target = min(cap, L * weight). Sources are capped in order of cap / weight, so L follows from
     running sums over the source totals (one small row per source).
     """
-    by_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    by_source = sizes.groupBy("source").agg(F.sum("words").alias("source_size"))
     place = Window.orderBy(F.col("source").asc_nulls_last())
     weighed = by_source.withColumn("pos", F.row_number().over(place) - 1).withColumn(
         "_w", F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
@@ -102,12 +119,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASSES,
     """
     spark = docs.sparkSession
     sizes = stored(_sizes(docs, seed), "mix-sizes")
+    if sizes.select("source").distinct().limit(MOST_SOURCES + 1).count() > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
     sources = stored(targets(sizes, weights, max_passes), "mix-sources")
     plan = schedule(spark, sources, block_words)
     known = sizes.join(sources, sizes["source"].eqNullSafe(sources["source"])).drop(sources["source"])
     placed = with_running_total(known, "pos", ("_coarse_digit", "_fine_digit"),
-                                ["_order", "doc_id", "size"], "size", "start")
-    documents = placed.drop("_coarse_digit", "_fine_digit")
+                                ["_order", "doc_id", "_text"], "words", "start")
+    documents = _copies(placed.drop("_coarse_digit", "_fine_digit"))
     passes = documents.where("size > 0").withColumn("_goal", F.round("target").cast("long")).withColumn(
         "pass", F.explode(F.array(*[F.lit(p) for p in range(max_passes)])))
     first = F.col("start") + F.col("pass") * F.col("source_size")
