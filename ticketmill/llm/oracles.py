@@ -73,7 +73,8 @@ FROM documents d LEFT JOIN size ON size.doc_id = d.doc_id LEFT JOIN least ON lea
 def license_scan(threshold: float) -> str:
     def listed(words):
         return "[" + ", ".join(f"'{w}'" for w in words) + "]"
-    templates = ", ".join(f"({n}, '{label}', {listed(words)})" for n, label, words in licenses.template_words())
+    templates = ", ".join(f"({n}, '{label}', {listed(words)}, {scale})" for n, label, words, scale in licenses.template_words())
+    scales = ", ".join(f"({s})" for s in licenses.SCALES)
     starts = []
     for phrase in licenses.PHRASES:
         parts = phrase.split()
@@ -87,23 +88,27 @@ def license_scan(threshold: float) -> str:
 WITH source AS (SELECT row_number() OVER () AS n, doc_id, {_LOWER} AS t FROM documents),
 words AS (SELECT n, doc_id, {found.format('t')} AS w FROM source),
 placed AS (SELECT n, doc_id, w, {', '.join(f'{s} AS at{k}' for k, s in enumerate(starts))} FROM words),
-template (number, label, need) AS (VALUES {templates}),
-line AS (SELECT n, pos, list_distinct({found.format('block')}) AS have
-         FROM (SELECT n, unnest(string_split(t, chr(10))) AS block, generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM source)),
+template (number, label, need, scale) AS (VALUES {templates}),
+block AS (
+    SELECT n, scale, b, list_distinct(w[b * scale + 1:(b + 2) * scale]) AS have
+    FROM (SELECT n, w, scale, unnest(range(0, (len(w) + scale - 1) // scale)) AS b FROM words, (VALUES {scales}) AS v(scale))),
 fits AS (
-    SELECT line.n, line.pos, template.label, len(list_intersect(line.have, template.need)) AS common, len(template.need) AS whole
-    FROM line JOIN template ON list_has_any(line.have, template.need)
-    WHERE len(list_intersect(line.have, template.need)) >= {threshold} * len(template.need) - 1e-9),
-best AS (
-    SELECT *, rank() OVER (PARTITION BY n, pos ORDER BY common / whole DESC, common DESC) AS place FROM fits),
+    SELECT block.n, block.scale, block.b, template.number, template.label,
+           len(list_intersect(block.have, template.need)) AS common, len(template.need) AS whole
+    FROM block JOIN template ON template.scale = block.scale AND list_has_any(block.have, template.need)
+    WHERE len(list_intersect(block.have, template.need)) >= {threshold} * len(template.need) - 1e-9),
+celled AS (
+    SELECT *, rank() OVER (PARTITION BY n, cell ORDER BY common / whole DESC, common DESC) AS place
+    FROM (SELECT *, unnest(range(b * scale // {licenses.CELL}, (b + 2) * scale // {licenses.CELL})) AS cell FROM fits)),
+best AS (SELECT n, label, max(common / whole) AS share FROM celled GROUP BY n, scale, b, number, label HAVING max(place) = 1),
 base AS ({labels}),
-named AS (SELECT n, label FROM base UNION SELECT n, label FROM best WHERE place = 1)
+named AS (SELECT n, label FROM base UNION SELECT n, label FROM best)
 SELECT p.doc_id, CAST(len(p.w) AS BIGINT) AS n_words, CAST(len({every}) AS BIGINT) AS n_base,
        CAST(list_min({every}) - 1 AS BIGINT) AS first_word, CAST(list_max({every}) - 1 AS BIGINT) AS last_word,
        coalesce((SELECT string_agg(DISTINCT label, ',' ORDER BY label) FROM base WHERE base.n = p.n), '') AS base_labels,
        coalesce((SELECT string_agg(DISTINCT label, ',' ORDER BY label) FROM named WHERE named.n = p.n), '') AS labels,
        CASE WHEN len({every}) > 0 THEN 1.0::DOUBLE
-            ELSE coalesce((SELECT max(common / whole) FROM best WHERE best.n = p.n), 0.0)::DOUBLE END AS score
+            ELSE coalesce((SELECT max(share) FROM best WHERE best.n = p.n), 0.0)::DOUBLE END AS score
 FROM placed p"""
 
 
