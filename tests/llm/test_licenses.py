@@ -17,11 +17,11 @@ def brute(text):
     base = sorted({licenses.PHRASES[p] for p in at if at[p]})
     labels, score = set(base), 1.0 if every else 0.0
     fits, best = [], {}
-    for _, label, words, scale in licenses.template_words():
+    for _, label, words, scale, variant in licenses.template_words():
         for start in range(0, len(w), scale):
             common = len({*w[start:start + 2 * scale]} & {*words})
             if common >= licenses.THRESHOLD * len(words) - 1e-9:
-                cells = range(start // 8, (start + 2 * scale) // 8)
+                cells = [(variant, c) for c in range(start // 8, (start + 2 * scale) // 8)]
                 fits.append((common / len(words), common, label, cells))
                 for c in cells:
                     best[c] = max(best.get(c, (0, 0)), (common / len(words), common))

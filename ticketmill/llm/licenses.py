@@ -8,8 +8,9 @@ matches a template when it has at least THRESHOLD of the template's words. Words
 documents have them, rarest first. A block that matches must share a word of the template's prefix, its
 first size - need + 1 words; it must have `need` of the template's words; and after a first common word
 at places i and j at most 1 + min(words left of the template, words left of the block) can be common. What
-passes these filters is verified on the whole sets. Where blocks of several templates cover the same cell of
-CELL words, only the best match there names the text.
+passes these filters is verified on the whole sets. Templates that share half of the larger one's words, and
+what such pairs connect, are variants: where blocks of several variants cover the same cell of CELL words,
+only the best match there names the text.
 
 Only DataFrame functions are used; texts are never shuffled, and only blocks around a word of some
 prefix are formed. The templates are a fixed table, so its index is broadcast.
@@ -93,8 +94,20 @@ def normal(text: Column) -> Column:
     return F.trim(F.regexp_replace(lower_ascii(text), NOT_WORD, " "))
 
 
-def template_words() -> list[tuple[int, str, list[str], int]]:
-    """(number, label, distinct words, scale) of every template, with the words `normal` finds."""
+def template_words() -> list[tuple[int, str, list[str], int, int]]:
+    """(number, label, distinct words, scale, smallest number among its variants) of every template,
+    with the words `normal` finds."""
+    found = _templates()
+    variant = {n: n for n, *_ in found}
+    for _ in found:
+        for a, _, x, _ in found:
+            for b, _, y, _ in found:
+                if 2 * len({*x} & {*y}) >= max(len(x), len(y)):
+                    variant[a] = min(variant[a], variant[b])
+    return [(*t, variant[t[0]]) for t in found]
+
+
+def _templates() -> list[tuple[int, str, list[str], int]]:
     out = []
     for label in sorted({*TEMPLATES, *NOTICES}):
         for text in [*TEMPLATES.get(label, []), *([NOTICES[label]] if label in NOTICES else [])]:
@@ -156,14 +169,14 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     largest share of a template's words that a block has, 1 for a phrase, 0 for neither)."""
     spark = docs.sparkSession
     templates = template_words()
-    order = word_order(docs, sorted({w for _, _, words, _ in templates for w in words}))
+    order = word_order(docs, sorted({w for _, _, words, _, _ in templates for w in words}))
     place = {w: i + 1 for i, w in enumerate(order)}
     index, whole = [], []
-    for number, label, words, scale in templates:
+    for number, label, words, scale, variant in templates:
         ranks = sorted(place[w] for w in words)
         need = math.ceil(threshold * len(ranks) - 1e-9)
         whole.append((number, label, ranks, need, scale))
-        index += [(r, scale, number, label, i, ranks, need) for i, r in enumerate(ranks[:len(ranks) - need + 1])]
+        index += [(r, scale, number, variant, label, i, ranks, need) for i, r in enumerate(ranks[:len(ranks) - need + 1])]
     rare = sorted({order[r - 1] for r, *_ in index})
 
     # Blocks around a word of some prefix of their scale, as sorted ranks of the template words they have.
@@ -186,7 +199,7 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     pages = pages.withColumn("_blocks", F.concat(*[F.coalesce(blocks(s), none) for s in SCALES])).drop("_hits", "_words")
     pages = stored(pages.withColumn("_row", F.monotonically_increasing_id()), "license-pages")
 
-    schema = "rank int, scale int, number int, label string, i int, ranks array<int>, need int"
+    schema = "rank int, scale int, number int, variant int, label string, i int, ranks array<int>, need int"
     entries = spark.createDataFrame(index, schema)
     words = pages.where(F.size("_blocks") > 0).select("_row", F.inline("_blocks"))
     words = words.select("*", F.posexplode("own").alias("j", "rank"))
@@ -195,13 +208,13 @@ def scan(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         (F.size("own") >= F.col("need")) & (left >= F.col("need")))
     common = F.size(F.array_intersect("own", "ranks"))
     matches = pairs.where(common >= F.col("need")).select(
-        "_row", "scale", "block", "number", "label", (common / F.size("ranks")).alias("share"), common.alias("common"))
+        "_row", "scale", "block", "number", "variant", "label", (common / F.size("ranks")).alias("share"), common.alias("common"))
     # A word more of the prefix finds the same match again.
     matches = matches.distinct()
-    # Templates share words: a stretch is named by those that it matches best.
+    # Variants share words: a stretch is named by those that it matches best.
     per_block = F.col("scale") / CELL
     cells = F.sequence((F.col("block") * per_block).cast("int"), ((F.col("block") + 2) * per_block).cast("int") - 1)
-    best = F.max(F.struct("share", "common")).over(Window.partitionBy("_row", "_cell"))
+    best = F.max(F.struct("share", "common")).over(Window.partitionBy("_row", "variant", "_cell"))
     placed = matches.withColumn("_cell", F.explode(cells)).withColumn("_best", best)
     kept = placed.groupBy("_row", "number", "scale", "block", "label", "share").agg(
         F.bool_and(F.struct("share", "common") == F.col("_best")).alias("_is_best")).where("_is_best")

@@ -73,7 +73,7 @@ FROM documents d LEFT JOIN size ON size.doc_id = d.doc_id LEFT JOIN least ON lea
 def license_scan(threshold: float) -> str:
     def listed(words):
         return "[" + ", ".join(f"'{w}'" for w in words) + "]"
-    templates = ", ".join(f"({n}, '{label}', {listed(words)}, {scale})" for n, label, words, scale in licenses.template_words())
+    templates = ", ".join(f"({n}, '{label}', {listed(words)}, {scale}, {variant})" for n, label, words, scale, variant in licenses.template_words())
     scales = ", ".join(f"({s})" for s in licenses.SCALES)
     starts = []
     for phrase in licenses.PHRASES:
@@ -88,17 +88,17 @@ def license_scan(threshold: float) -> str:
 WITH source AS (SELECT row_number() OVER () AS n, doc_id, {_LOWER} AS t FROM documents),
 words AS (SELECT n, doc_id, {found.format('t')} AS w FROM source),
 placed AS (SELECT n, doc_id, w, {', '.join(f'{s} AS at{k}' for k, s in enumerate(starts))} FROM words),
-template (number, label, need, scale) AS (VALUES {templates}),
+template (number, label, need, scale, variant) AS (VALUES {templates}),
 block AS (
     SELECT n, scale, b, list_distinct(w[b * scale + 1:(b + 2) * scale]) AS have
     FROM (SELECT n, w, scale, unnest(range(0, (len(w) + scale - 1) // scale)) AS b FROM words, (VALUES {scales}) AS v(scale))),
 fits AS (
-    SELECT block.n, block.scale, block.b, template.number, template.label,
+    SELECT block.n, block.scale, block.b, template.number, template.variant, template.label,
            len(list_intersect(block.have, template.need)) AS common, len(template.need) AS whole
     FROM block JOIN template ON template.scale = block.scale AND list_has_any(block.have, template.need)
     WHERE len(list_intersect(block.have, template.need)) >= {threshold} * len(template.need) - 1e-9),
 celled AS (
-    SELECT *, rank() OVER (PARTITION BY n, cell ORDER BY common / whole DESC, common DESC) AS place
+    SELECT *, rank() OVER (PARTITION BY n, variant, cell ORDER BY common / whole DESC, common DESC) AS place
     FROM (SELECT *, unnest(range(b * scale // {licenses.CELL}, (b + 2) * scale // {licenses.CELL})) AS cell FROM fits)),
 best AS (SELECT n, label, max(common / whole) AS share FROM celled GROUP BY n, scale, b, number, label HAVING max(place) = 1),
 base AS ({labels}),
