@@ -24,17 +24,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One row of every group: of those with the smallest id, null ids last, one by its content.
     Repeated rows are copies like any others. Texts without words are in no group and stay.
 
-    Texts are compared under a hash of their own in place of the id, so that every row, with an id
-    or without, has the group of its text; only texts that another one stands for are looked up.
+    A row has the component of its text, told by both halves of a 128-bit hash, so that it has one with
+    an id or without; only texts whose component has others are looked up, the rest are their own groups.
     """
-    rows = with_rest(docs, ["doc_id", "text"]).withColumn("_text", F.xxhash64("text"))
+    t1, t2 = F.xxhash64("text").alias("_t1"), F.xxhash64(F.lit(1), "text").alias("_t2")
+    rows = with_rest(docs, ["doc_id", "text"]).select("*", t1, t2)
     worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    found = minhash.near_duplicates(rows.where(worded).select(F.col("_text").alias("doc_id"), "text"))
-    groups = stored(found.where("not kept").select(
-        F.col("doc_id").alias("_text"), F.col("component_id").alias("_group")).distinct(), "near-groups")
-    placed = rows.where(worded).join(groups, "_text", "left").withColumn("_group", F.coalesce("_group", "_text"))
-    order = Window.partitionBy("_group").orderBy(
-        F.asc_nulls_last("doc_id"), "_text", F.xxhash64(F.to_json(F.struct("_rest"))))
+    found = minhash.classes(rows.where(worded).select("doc_id", "text")).select("t1", "t2", "component").distinct()
+    found = stored(found, "near-texts")
+    shared = found.groupBy("component").agg(F.count("*").alias("_n")).where("_n > 1").select("component")
+    groups = stored(found.join(shared, "component", "left_semi").select(
+        F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), F.col("component").alias("_group")), "near-groups")
+    placed = rows.where(worded).join(groups, ["_t1", "_t2"], "left")
+    alone = [F.when(F.col("_group").isNull(), F.col(c)).alias(f"_own{c}") for c in ("_t1", "_t2")]
+    placed = placed.select("*", *alone)
+    order = Window.partitionBy("_group", "_own_t1", "_own_t2").orderBy(
+        F.asc_nulls_last("doc_id"), "_t1", F.xxhash64(F.to_json(F.struct("_rest"))))
     first = placed.withColumn("_rank", F.row_number().over(order)).where("_rank = 1")
     kept = rows.where(~worded).select("doc_id", "text", "_rest").unionByName(first.select("doc_id", "text", "_rest"))
     return restored(kept, docs.columns, ["doc_id", "text"])
