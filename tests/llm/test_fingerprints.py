@@ -57,6 +57,27 @@ def test_next_document_over_sparse_ids(spark, monkeypatch):
     assert got == {i: f"text {down[(k + 1) % len(down)]}" for k, i in enumerate(down)}
 
 
+def test_ranges_follow_the_order_of_the_rows(spark, monkeypatch):
+    """Null, equal and far ids and equal rows are split like others."""
+    monkeypatch.setattr(fp, "_FAN", 64)
+    rows = [(None, f"no id {i}") for i in range(700)] + [(7, f"seven {i}") for i in range(700)]
+    rows += [(9, "the same row")] * 700 + [(i, f"text {i}") for i in range(100, 800)] + [(1 << 60, "far"), (-(1 << 63), "low")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    seen = []
+
+    def build(dealt):
+        seen.append(max(r["count"] for r in dealt.groupBy("_part").count().collect()))
+        return dealt
+    got = fp.with_following(df, ["text"], build).collect()
+    assert seen[0] <= 4 * 64
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted((i or 0, t) for i, t in rows)
+    # One round through all rows: every text follows as often as it occurs.
+    assert sorted(r.next_text for r in got) == sorted(t for _, t in rows)
+    by_text = {r.text: r.next_text for r in got}
+    assert by_text["far"] == "text 799" and by_text["text 100"] == "the same row" and by_text["low"].startswith("no id")
+    assert [r.next_text for r in got if r.doc_id == 9].count("the same row") == 699
+
+
 def test_sketches_merge_and_estimate(spark):
     texts = [" ".join(f"w{i}" for i in range(a, a + 400)) for a in (0, 100, 5000)]
     whole = [(0, texts[0] + " " + texts[2])] + [(1, t) for t in texts]

@@ -6,12 +6,12 @@ parts merge to the sketch of the whole, and estimate resemblance, containment an
 distinct shingles; below k shingles all three are exact.
 
 Everything is a Column expression or a DataFrame transformation. A null text counts as empty;
-very long texts are ordinary; extra columns are ignored.
+very long texts are ordinary; extra columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import math
+import json
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -90,51 +90,58 @@ def sketches(docs: DataFrame, text: str = "text", k: int = K) -> DataFrame:
 
 
 _FAN = 1024
+MOST_RANGES = 1 << 15
+_PLACE = "struct<absent: int, id: bigint, tie: bigint, row: bigint>"
 
 
-def _below(keys: DataFrame, span: int) -> DataFrame:
-    """(key, below): for distinct whole numbers within `span` of each other the next smaller one,
-    null for the smallest. No window has more than _FAN rows."""
-    if span <= _FAN:
-        return keys.select("key", F.lead("key").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("key"))).alias("below"))
-    parts = keys.withColumn("part", F.floor(F.col("key") / _FAN))
-    tops = parts.groupBy("part").agg(F.max("key").alias("top"))
-    lower = _below(tops.select(F.col("part").alias("key")), span // _FAN + 1)
-    first = lower.join(tops, lower["below"] == tops["part"]).select(lower["key"].alias("part"), "top")
-    inner = F.lead("key").over(Window.partitionBy("part").orderBy(F.desc("key")))
-    return parts.withColumn("_in", inner).join(first, "part", "left").select(
-        "key", F.coalesce("_in", "top").alias("below"))
+def _places(docs: DataFrame) -> DataFrame:
+    """doc_id, text and `_place`, which ascends in descending doc_id order: null ids last, equal ids
+    by a hash of the text, equal rows by where they were read."""
+    text = F.coalesce("text", F.lit(""))
+    place = F.struct(F.col("doc_id").isNull().cast("int").alias("absent"),
+                     F.coalesce(F.bitwise_not(F.col("doc_id").cast("bigint")), F.lit(0)).alias("id"),
+                     F.xxhash64(text).alias("tie"), F.monotonically_increasing_id().alias("row"))
+    return docs.select("doc_id", text.alias("text"), place.alias("_place"))
+
+
+def range_starts(rows: DataFrame) -> list:
+    """First places of ranges of about _FAN rows, or of MOST_RANGES ranges where those are fewer.
+
+    The cut is by order, not by the distance of ids: far, null, equal ids and equal rows are split
+    like others. What comes to the driver is one place a range, MOST_RANGES at most.
+    """
+    ranges = max(1, min(MOST_RANGES, -(-rows.count() // _FAN)))
+    cut = rows.select("_place").repartitionByRange(ranges, "_place")
+    return sorted(r[0] for r in cut.groupBy(F.spark_partition_id()).agg(F.min("_place").alias("first")).select("first").collect())
 
 
 def with_following(docs: DataFrame, columns: list[str], build) -> DataFrame:
     """Rows of `docs` in descending doc_id order, each with the next one's columns.
 
     `build` adds `columns` to rows (doc_id, text); the result has them and `next_<column>`; the
-    last row is followed by the first. Ids are cut into ranges of about _FAN rows by their
-    density; each range also gets the first row of the range below, so one shuffle of the texts
-    is enough. Equal ids follow by a hash of their text, null ids come last.
+    last row is followed by the first. Rows are cut into ranges of their order; the first row of a
+    range is also sent to the range before it, so that one shuffle of the texts is enough.
+    `docs` is read twice and must give its rows in the same partitions, as stored tables do. An
+    empty table gives an empty result.
     """
-    ids = docs.agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
-    lo, hi = (ids["lo"], ids["hi"]) if ids["lo"] is not None else (0, 0)
-    width = float(max(1, (hi - lo + 1) * _FAN // max(1, ids["n"])))
-    lowest = math.floor(lo / width)
-    highest = math.floor(hi / width) if ids["hi"] is not None else lowest - 1
-    part = F.coalesce(F.floor(F.col("doc_id").cast("double") / width), F.lit(lowest - 1)).cast("long")
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), part.alias("_part"))
-    tie = F.xxhash64("text")
-    heads = rows.groupBy("_part").agg(F.max_by(
-        F.struct("doc_id", "text"), F.struct(F.col("doc_id"), -tie.cast("double"))).alias("_head"))
-    links = _below(heads.select(F.col("_part").alias("key")), highest - lowest + 2)
-    links = links.select("key", F.coalesce("below", F.lit(highest)).alias("below"))
-    guests = heads.join(links, heads["_part"] == links["below"]).select(
-        "_head.doc_id", "_head.text", F.col("key").alias("_part"), F.lit(True).alias("_guest"))
-    both = build(rows.withColumn("_guest", F.lit(False)).unionByName(guests))
-    order = Window.partitionBy("_part").orderBy(
-        "_guest", F.desc_nulls_last("doc_id"), F.desc(-tie.cast("double")))
-    out = both
+    rows = _places(docs)
+    starts = range_starts(rows)
+    n = max(1, len(starts))
+    # A literal, looked up by halving steps.
+    first = F.from_json(F.lit(json.dumps([s.asDict() for s in starts])), f"array<{_PLACE}>")
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(n.bit_length()))])
+    at = F.aggregate(steps, F.lit(0), lambda k, step: F.when(
+        F.get(first, k + step - 1) <= F.col("_place"), k + step).otherwise(k))
+    rows = rows.withColumn("_part", at - 1)
+    own = F.struct(F.col("_part").alias("_part"), F.lit(False).alias("_guest"))
+    before = F.struct(F.pmod(F.col("_part") - 1, F.lit(n)).alias("_part"), F.lit(True).alias("_guest"))
+    sent = F.when(F.get(first, F.col("_part")) == F.col("_place"), F.array(own, before)).otherwise(F.array(own))
+    dealt = rows.select("doc_id", "text", "_place", F.inline(sent)).repartition("_part")
+    out = build(dealt)
+    order = Window.partitionBy("_part").orderBy("_guest", "_place")
     for c in columns:
         out = out.withColumn(f"next_{c}", F.lead(c).over(order))
-    return out.where(~F.col("_guest")).drop("_guest", "_part")
+    return out.where(~F.col("_guest")).drop("_guest", "_part", "_place")
 
 
 def edited_fingerprints(docs: DataFrame, k: int = K) -> DataFrame:
