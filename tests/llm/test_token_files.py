@@ -74,3 +74,21 @@ def test_pieces_give_the_ids_of_the_whole_text(name, keeps_space, monkeypatch):
         ids = np.frombuffer(own.encode(text, 7), "<u4").tolist()
         assert ids == whole.encode(text, add_special_tokens=False).ids + [7]
     same()
+
+
+def test_ids_that_do_not_fit_are_refused(docs, spark, monkeypatch):
+    monkeypatch.setattr(token_files, "largest_id", lambda path: 70_000)
+    with pytest.raises(ValueError, match="70000"):
+        written(docs)
+    monkeypatch.setattr(token_files, "largest_id", lambda path: 65_535)
+    written(docs.limit(3))
+    with pytest.raises(ValueError, match="65536"):
+        token_files.write(docs, shared_path(spark, "token-test"), PATH, False, 1 << 16)
+    assert token_files.write(docs.limit(3), shared_path(spark, "token-test"), PATH, False, 1 << 16, 4).count() == 1
+
+
+def test_paths_mean_what_they_mean_to_spark(spark, tmp_path):
+    plain = token_files.qualified(spark, str(tmp_path))
+    assert plain == token_files.qualified(spark, f"file:{tmp_path}") and plain.startswith("file:/")
+    for path in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        assert token_files._file_system(path)[1] == str(tmp_path)

@@ -27,22 +27,35 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import stored, with_package
-from .tokens import encode_all
+from .tokens import encode_all, largest_id
 
 VERSION = 1
 SHARD_BYTES = 32 << 20
 
 
 def _file_system(path: str) -> tuple[pafs.FileSystem, str]:
-    if urlparse(path).scheme:
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
+    parts = urlparse(path)
+    if parts.scheme in ("", "file"):
+        return pafs.LocalFileSystem(), parts.path if parts.scheme else path
+    return pafs.FileSystem.from_uri(path)
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme and authority that Spark takes it to have, so that tasks do not
+    write to their own disks where a path without a scheme means a shared store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, keeps_space: bool, end: int, id_bytes: int = 2,
           shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Writes the shards and the manifest; returns the manifest."""
+    """Writes the shards and the manifest; returns the manifest. A vocabulary whose largest id does
+    not fit into `id_bytes` is refused before anything is written."""
     kind = {2: "<u2", 4: "<u4"}[id_bytes]
+    largest = max(end, largest_id(tokenizer))
+    if end < 0 or largest >> 8 * id_bytes:
+        raise ValueError(f"id {largest if end >= 0 else end} does not fit into {id_bytes} bytes")
+    folder = qualified(docs.sparkSession, folder)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -104,6 +117,8 @@ def open_shard(path: str) -> tuple[np.ndarray, np.ndarray, list[int | None]]:
 
 def digests(spark: SparkSession, folder: str) -> DataFrame:
     """Read back: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
+    folder = qualified(spark, folder)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard in batch.to_pylist():

@@ -20,6 +20,12 @@ _ODD = re.compile(r" (?=\s|\Z)|\n(?=\s|\Z)|\s\n")
 _CUT = re.compile(r" (?=\S)")
 
 
+def largest_id(path: str) -> int:
+    """The largest id of a vocabulary file, added tokens included; -1 without any."""
+    from tokenizers import Tokenizer
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values(), default=-1)
+
+
 class PieceEncoder:
     """Ids of texts as little-endian unsigned 32-bit integers."""
 
