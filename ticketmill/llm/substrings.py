@@ -11,8 +11,9 @@ stands at both.
 1. Spark counts the names of the last round over the whole table.
 2. A window that holds the context of a name that occurs once occurs once, too. The other windows
    are candidates: copies, and a few others.
-3. Spark counts a hash of the words of every candidate. Windows found twice are repeated, and all
-   their words are removed.
+3. Spark counts a hash of the words of every candidate, of 96 bits: among 10^13 windows two different
+   ones share it with a probability under 0.001. Windows found twice are repeated, and all their
+   words are removed.
 
 No window is lost: symbols only rule windows out. Texts are dealt into blocks of about BLOCK bytes
 that are stored once; a block sends each name once, so that a passage in a third of all texts sends
@@ -40,6 +41,7 @@ BLOCK = 4 << 20
 _U = np.uint64
 _LEFT, _RIGHT, _RUN = (_U(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 _BASE = 0xC2B2AE3D27D4EB4F
+_SECOND = _U(0x8EBC6AF09C88C6E3)
 
 
 class Symbols:
@@ -130,7 +132,7 @@ def _spread(low: np.ndarray, high: np.ndarray, n: int) -> np.ndarray:
 def candidates(hashes: np.ndarray, first: np.ndarray, window: int, shared: np.ndarray) -> np.ndarray:
     """Which words start a window that no name outside of `shared` (sorted) rules out."""
     found = symbols(hashes, first, window)
-    unique = ~_within(found.name, shared)
+    unique = ~_within([found.name], [shared])
     low, high, text = found.low[unique], found.high[unique], found.text[unique]
     begin, last = first[:-1][text], first[1:][text] - window
     ruled_out = _spread(np.maximum(high - window, begin), np.minimum(low, last) + 1, len(hashes))
@@ -138,12 +140,21 @@ def candidates(hashes: np.ndarray, first: np.ndarray, window: int, shared: np.nd
     return starts & ~ruled_out
 
 
-def _within(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(ordered, values)
-    return (at < len(ordered)) & (np.take(ordered, at, mode="clip") == values) if len(ordered) else np.zeros(len(values), bool)
+def _within(keys: list[np.ndarray], known: list[np.ndarray]) -> np.ndarray:
+    """Which rows of `keys`, a list of columns, stand in `known`, whose rows are in order."""
+    found = np.zeros(len(keys[0]), bool)
+    at = np.searchsorted(known[0], keys[0])
+    while True:
+        at = np.minimum(at, len(known[0]))
+        here = np.flatnonzero((at < len(known[0])) & ~found)
+        here = here[known[0][at[here]] == keys[0][here]]
+        if not len(here):
+            return found
+        found[here] = np.all([k[at[here]] == v[here] for k, v in zip(known, keys)], axis=0)
+        at[here] += 1
 
 
-def window_hashes(hashes: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
+def _rolling(hashes: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
     n = len(hashes)
     power = np.full(n + 1, _BASE | 1, _U)
     back = np.full(n + 1, pow(_BASE | 1, -1, 1 << 64), _U)
@@ -155,41 +166,68 @@ def window_hashes(hashes: np.ndarray, at: np.ndarray, window: int) -> np.ndarray
     return mix((sums[at + window] - sums[at]) * back[at])
 
 
-def _key_rows(block: int, keys: np.ndarray) -> pa.RecordBatch:
-    names, n = np.unique(keys, return_counts=True)
-    return pa.RecordBatch.from_pydict({
-        "key": pa.array(names.view(np.int64)), "block": pa.array(np.full(len(names), block, np.int64)),
-        "twice": pa.array(n > 1)})
+def window_hashes(hashes: np.ndarray, at: np.ndarray, window: int) -> list[np.ndarray]:
+    """64 and 32 bits for every window, from two names of each word that do not depend on each other."""
+    return [_rolling(hashes, at, window), (_rolling(mix(hashes ^ _SECOND), at, window) >> _U(32)).astype(np.uint32)]
 
 
-_KEYS = "key long, block long, twice boolean"
+def _in_order(keys: list[np.ndarray]) -> list[np.ndarray]:
+    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0])
+    return [k[order] for k in keys]
+
+
+def _key_rows(block: int, keys: list[np.ndarray]) -> pa.RecordBatch:
+    """The distinct keys of a block and whether they stand in it twice."""
+    keys = _in_order(keys)
+    new = np.r_[True, np.any([k[1:] != k[:-1] for k in keys], axis=0)] if len(keys[0]) else np.zeros(0, bool)
+    first = np.flatnonzero(new)
+    keys = [k[first] for k in keys]
+    twice = np.diff(np.r_[first, len(new)]) > 1
+    columns = [pa.array(k.view(f"i{k.itemsize}")) for k in keys]
+    return pa.RecordBatch.from_arrays(
+        [*columns, pa.array(np.full(len(first), block, np.int64)), pa.array(twice)], [*KEY[:len(keys)], "block", "twice"])
+
+
+# Columns of a key: names of symbols have the first, windows both.
+KEY = ("key", "more")
+
+
+def _key_schema(width: int) -> str:
+    return ", ".join([*["key long", "more int"][:width], "block long", "twice boolean"])
+
+
+def _keys_of(table: pa.Table, width: int) -> list[np.ndarray]:
+    kinds = (_U, np.uint32)
+    return _in_order([table.column(c).to_numpy().view(k) for c, k in zip(KEY[:width], kinds)])
 
 
 def repeated_keys(keys: DataFrame) -> DataFrame:
     """(block, key) of the keys that occur at two places at least. A key has one row per block and
     all its rows meet in order, so that tasks only look at neighbours."""
+    names = [c for c in KEY if c in keys.columns]
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before: pa.RecordBatch | None = None  # the last row, not yet judged
         shared_before = False
 
         def some(rows: pa.Table, chosen: np.ndarray) -> pa.RecordBatch:
-            return rows.select(["block", "key"]).filter(pa.array(chosen)).combine_chunks().to_batches()
+            return rows.select(["block", *names]).filter(pa.array(chosen)).combine_chunks().to_batches()
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = pa.Table.from_batches([batch] if before is None else [before, batch])
-            key = rows.column("key").to_numpy()
-            same = key[1:] == key[:-1]
+            own = [rows.column(c).to_numpy() for c in names]
+            same = np.all([k[1:] == k[:-1] for k in own], axis=0)
             shared = rows.column("twice").to_numpy().copy()
             shared[1:] |= same
             shared[:-1] |= same
             shared[0] |= shared_before
-            yield from some(rows.slice(0, len(key) - 1), shared[:-1])
+            yield from some(rows.slice(0, len(shared) - 1), shared[:-1])
             before, shared_before = batch.slice(batch.num_rows - 1), bool(shared[-1])
         if before is not None and shared_before:
             yield from some(pa.Table.from_batches([before]), np.array([True]))
-    ordered = keys.repartition("key").sortWithinPartitions("key")
-    return ordered.mapInArrow(work, "block long, key long")
+    ordered = keys.repartition("key").sortWithinPartitions(*names)
+    return ordered.mapInArrow(work, ", ".join(["block long", "key long", "more int"][:1 + len(names)]))
 
 
 def blocks(docs: DataFrame) -> DataFrame:
@@ -216,14 +254,14 @@ def _names(window: int):
                 if a == b:
                     continue
                 if block is not None and numbers[a] != block:
-                    yield _key_rows(block, np.concatenate(held))
+                    yield _key_rows(block, [np.concatenate(held)])
                     held = []
                 block = int(numbers[a])
                 for _, column in parts(batch.column("text").slice(a, b - a)):
                     words = Words(column, False)
                     held.append(symbols(words.hashes(), words.first, window).name)
         if held:
-            yield _key_rows(block, np.concatenate(held))
+            yield _key_rows(block, [np.concatenate(held)])
     return work
 
 
@@ -231,7 +269,7 @@ def _judge(window: int, with_text: bool):
     """Whole blocks with their shared names: finished texts, and those with candidates."""
     def work(docs: pa.Table, names: pa.Table) -> pa.Table:
         docs = docs.combine_chunks()
-        shared = np.sort(names.column("key").to_numpy().view(_U))
+        shared, = _keys_of(names, 1)
         n_words, digest, starts, text = [], [], [], []
         column = docs.column("text").combine_chunks() if docs.num_rows else pa.array([], pa.string())
         column = column.chunk(0) if isinstance(column, pa.ChunkedArray) and column.num_chunks else column
@@ -262,7 +300,7 @@ def _digest(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _own_windows(text: str, starts: bytes, window: int) -> tuple[np.ndarray, np.ndarray]:
+def _own_windows(text: str, starts: bytes, window: int) -> tuple[np.ndarray, list[np.ndarray]]:
     at = np.frombuffer(starts, "<i4").astype(np.int64)
     return at, window_hashes(Words(pa.array([text]), False).hashes(), at, window)
 
@@ -274,18 +312,18 @@ def _windows(window: int):
             rows = zip(batch.column("_block").to_pylist(), batch.column("text").to_pylist(), batch.column("_starts").to_pylist())
             for number, text, starts in rows:
                 if block is not None and number != block:
-                    yield _key_rows(block, np.concatenate(held))
+                    yield _key_rows(block, [np.concatenate(k) for k in zip(*held)])
                     held = []
                 block = number
                 held.append(_own_windows(text, starts, window)[1])
         if held:
-            yield _key_rows(block, np.concatenate(held))
+            yield _key_rows(block, [np.concatenate(k) for k in zip(*held)])
     return work
 
 
 def _remove(window: int, with_text: bool):
     def work(docs: pa.Table, repeated: pa.Table) -> pa.Table:
-        again = np.sort(repeated.column("key").to_numpy().view(_U))
+        again = _keys_of(repeated, 2)
         removed, digest, kept_text = [], [], []
         for text, starts in zip(docs.column("text").to_pylist(), docs.column("_starts").to_pylist()):
             at, keys = _own_windows(text, starts, window)
@@ -308,14 +346,14 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Tru
     kept words joined by one space). Texts in which nothing repeats stay as they are, those of the
     others are the kept words joined by one space; without `with_text` no text is returned."""
     pieces = stored(blocks(docs), "substring-blocks")
-    names = with_package(pieces.select("text", "_block")).mapInArrow(_names(window), _KEYS)
+    names = with_package(pieces.select("text", "_block")).mapInArrow(_names(window), _key_schema(1))
     shared = repeated_keys(names)
     out = T.StructType([*pieces.schema.fields, T.StructField("_words", T.LongType()), T.StructField("_removed", T.LongType()),
                         T.StructField("_digest", T.StringType()), T.StructField("_starts", T.BinaryType())])
     judged = stored(pieces.groupBy("_block").cogroup(shared.groupBy("block")).applyInArrow(
         _judge(window, with_text), out), "substring-judged")
     pending = judged.where("_starts is not null")
-    windows = pending.select("text", "_block", "_starts").mapInArrow(_windows(window), _KEYS)
+    windows = pending.select("text", "_block", "_starts").mapInArrow(_windows(window), _key_schema(2))
     again = repeated_keys(windows)
     cleaned = pending.groupBy("_block").cogroup(again.groupBy("block")).applyInArrow(_remove(window, with_text), out)
     return judged.where("_starts is null").unionByName(cleaned).drop("_block", "_starts")
