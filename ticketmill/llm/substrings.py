@@ -132,7 +132,7 @@ def _spread(low: np.ndarray, high: np.ndarray, n: int) -> np.ndarray:
 def candidates(hashes: np.ndarray, first: np.ndarray, window: int, shared: np.ndarray) -> np.ndarray:
     """Which words start a window that no name outside of `shared` (sorted) rules out."""
     found = symbols(hashes, first, window)
-    unique = ~_within([found.name], [shared])
+    unique = ~_within(found.name, shared)
     low, high, text = found.low[unique], found.high[unique], found.text[unique]
     begin, last = first[:-1][text], first[1:][text] - window
     ruled_out = _spread(np.maximum(high - window, begin), np.minimum(low, last) + 1, len(hashes))
@@ -140,18 +140,9 @@ def candidates(hashes: np.ndarray, first: np.ndarray, window: int, shared: np.nd
     return starts & ~ruled_out
 
 
-def _within(keys: list[np.ndarray], known: list[np.ndarray]) -> np.ndarray:
-    """Which rows of `keys`, a list of columns, stand in `known`, whose rows are in order."""
-    found = np.zeros(len(keys[0]), bool)
-    at = np.searchsorted(known[0], keys[0])
-    while True:
-        at = np.minimum(at, len(known[0]))
-        here = np.flatnonzero((at < len(known[0])) & ~found)
-        here = here[known[0][at[here]] == keys[0][here]]
-        if not len(here):
-            return found
-        found[here] = np.all([k[at[here]] == v[here] for k, v in zip(known, keys)], axis=0)
-        at[here] += 1
+def _within(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(ordered, values)
+    return (at < len(ordered)) & (np.take(ordered, at, mode="clip") == values) if len(ordered) else np.zeros(len(values), bool)
 
 
 def _rolling(hashes: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
@@ -196,14 +187,10 @@ def _key_schema(width: int) -> str:
     return ", ".join([*["key long", "more int"][:width], "block long", "twice boolean"])
 
 
-def _keys_of(table: pa.Table, width: int) -> list[np.ndarray]:
-    kinds = (_U, np.uint32)
-    return _in_order([table.column(c).to_numpy().view(k) for c, k in zip(KEY[:width], kinds)])
-
-
 def repeated_keys(keys: DataFrame) -> DataFrame:
     """(block, key) of the keys that occur at two places at least. A key has one row per block and
-    all its rows meet in order, so that tasks only look at neighbours."""
+    all its rows meet in order, so that tasks only look at neighbours. A block tells its own windows
+    by the first 64 bits."""
     names = [c for c in KEY if c in keys.columns]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +198,7 @@ def repeated_keys(keys: DataFrame) -> DataFrame:
         shared_before = False
 
         def some(rows: pa.Table, chosen: np.ndarray) -> pa.RecordBatch:
-            return rows.select(["block", *names]).filter(pa.array(chosen)).combine_chunks().to_batches()
+            return rows.select(["block", "key"]).filter(pa.array(chosen)).combine_chunks().to_batches()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -227,7 +214,7 @@ def repeated_keys(keys: DataFrame) -> DataFrame:
         if before is not None and shared_before:
             yield from some(pa.Table.from_batches([before]), np.array([True]))
     ordered = keys.repartition("key").sortWithinPartitions(*names)
-    return ordered.mapInArrow(work, ", ".join(["block long", "key long", "more int"][:1 + len(names)]))
+    return ordered.mapInArrow(work, "block long, key long")
 
 
 def blocks(docs: DataFrame) -> DataFrame:
@@ -269,7 +256,7 @@ def _judge(window: int, with_text: bool):
     """Whole blocks with their shared names: finished texts, and those with candidates."""
     def work(docs: pa.Table, names: pa.Table) -> pa.Table:
         docs = docs.combine_chunks()
-        shared, = _keys_of(names, 1)
+        shared = np.sort(names.column("key").to_numpy().view(_U))
         n_words, digest, starts, text = [], [], [], []
         column = docs.column("text").combine_chunks() if docs.num_rows else pa.array([], pa.string())
         column = column.chunk(0) if isinstance(column, pa.ChunkedArray) and column.num_chunks else column
@@ -278,7 +265,8 @@ def _judge(window: int, with_text: bool):
             open_at = candidates(words.hashes(), words.first, window, shared)
             for i, t in enumerate(part.to_pylist()):
                 a, b = words.first[i], words.first[i + 1]
-                own = np.flatnonzero(open_at[a:b])
+                # Places at which candidates begin and end to follow each other.
+                own = np.flatnonzero(np.diff(np.r_[False, open_at[a:b], False].astype(np.int8)))
                 n_words.append(int(b - a))
                 starts.append(own.astype("<i4").tobytes() if len(own) else None)
                 digest.append(None if len(own) else _digest(_split(t)))
@@ -301,8 +289,10 @@ def _digest(words: list[bytes]) -> str:
 
 
 def _own_windows(text: str, starts: bytes, window: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    at = np.frombuffer(starts, "<i4").astype(np.int64)
-    return at, window_hashes(Words(pa.array([text]), False).hashes(), at, window)
+    hashes = Words(pa.array([text]), False).hashes()
+    low, high = np.frombuffer(starts, "<i4").astype(np.int64).reshape(-1, 2).T
+    at = np.flatnonzero(_spread(low, high, len(hashes)))
+    return at, window_hashes(hashes, at, window)
 
 
 def _windows(window: int):
@@ -323,11 +313,11 @@ def _windows(window: int):
 
 def _remove(window: int, with_text: bool):
     def work(docs: pa.Table, repeated: pa.Table) -> pa.Table:
-        again = _keys_of(repeated, 2)
+        again = np.sort(repeated.column("key").to_numpy().view(_U))
         removed, digest, kept_text = [], [], []
         for text, starts in zip(docs.column("text").to_pylist(), docs.column("_starts").to_pylist()):
             at, keys = _own_windows(text, starts, window)
-            at = at[_within(keys, again)]
+            at = at[_within(keys[0], again)]
             words = _split(text)
             gone = _spread(at, at + window, len(words))
             kept = [w for w, g in zip(words, gone.tolist()) if not g] if len(at) else words
