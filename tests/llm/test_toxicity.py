@@ -64,6 +64,30 @@ def test_only_copies_count_once(spark):
     assert counts["commona"] == 12 and counts["owna"] == 1
 
 
+def test_copies_and_repeated_ids_do_not_weigh_more(spark, monkeypatch):
+    words = [chr(97 + i // 26) + chr(97 + i % 26) + "tterly" for i in range(120)]
+    rows = [(i, f"{w} plain{w} idiot{'s' * (i % 2)} text of {w} and {w}") for i, w in enumerate(words[:40])]
+    rows += [(100 + i, f"{w} plain{w} calm text of {w} and {w}") for i, w in enumerate(words[40:])]
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in rows] + [(i, 1) for i in range(500, 540)], "doc_id long, toxic int")
+    more = rows + [rows[60]] * 300 + [(500 + k, rows[0][1]) for k in range(40)]
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_weights", lambda x, y, fit=toxicity.fit_weights: (seen.append(len(x)), fit(x, y))[1])
+    models = [toxicity.train(spark.createDataFrame(r, "doc_id long, text string"), labels) for r in (rows, more)]
+    # Text 0 may lie in the held-out part; its copies under other ids are one text more then.
+    assert seen[0] <= seen[1] <= seen[0] + 1
+    if seen[0] == seen[1]:
+        assert models[0].terms == models[1].terms and np.allclose(models[0].weights, models[1].weights)
+
+
+def test_few_states_give_the_same_matches(monkeypatch):
+    terms = [(t, 1.0) for t in ("abab", "abba", "baabab", "aabbaabba", "abb*")]
+    words = ["".join(w) for n in range(8) for w in product("abc", repeat=n)][::7]
+    want = [toxicity.Lexicon(terms).match(w) for w in words]
+    monkeypatch.setattr(toxicity, "KNOWN_STATES", 5)
+    small = toxicity.Lexicon(terms)
+    assert [small.match(w) for w in words] == want and len(small.states) < 40
+
+
 def test_rare_terms_stay_however_many_labels(spark):
     words = [chr(97 + i // 26) + chr(97 + i % 26) + "tterly" for i in range(600)]
     rows = [(f"{words[i]} {words[i - 1]} {words[i - 2]}", 1, i) for i in range(600)]

@@ -11,14 +11,16 @@ Every hit is judged in a window of CONTEXT words on both sides: inside quotation
 words of reporting, with other hits, or addressed to somebody. Counts of hits of each kind are the
 features of a logistic regression.
 
-Labels are learned from a sample of at most SAMPLE labelled rows, chosen by a hash of doc_id; all
-statistics are over distinct texts of the sample, where near copies, as `minhash` confirms them on
-full sets of five-word runs, count once. The sample's size is the bound of what is broadcast and of the features
-that the driver fits. Score work is one pass over the texts, without a shuffle.
+Labels are learned from a sample of at most SAMPLE labelled ids, chosen by a hash of doc_id; all
+statistics, the regression too, are over distinct texts of the sample, where near copies of one label, as `minhash`
+confirms them on full sets of five-word runs, count once. The sample's size is the bound of what is broadcast and of the
+features that the driver fits. Score work is one pass over the texts, without a shuffle.
 
 Nulls: a null text is empty; a null label or null doc_id is not learned from; of several labels of
 a document the highest counts. Without labels of both kinds every score is the share of toxic ones,
-or 0. Other columns are ignored.
+or 0. An id stored several times is scored row by row; of its texts one, the first by hash, is learned from.
+An empty table gives an empty result. Very long texts are read whole, in memory that follows the text. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,6 +44,7 @@ LEAST_RATIO = 12.0
 STEM = (4, 9)
 CONTEXT = 6
 KNOWN_WORDS = 200_000
+KNOWN_STATES = 100_000
 
 # Signs that stand for letters; quotation marks; words of reporting and of address.
 LOOKALIKE = str.maketrans("0134578@$!", "oieastbasi")
@@ -143,7 +146,10 @@ class Lexicon:
         return self._state(after) if after else -1
 
     def match(self, word: str) -> tuple[int, int] | None:
-        """(errors, term) of the closest term, or None."""
+        """(errors, term) of the closest term, or None. States are built anew when there are KNOWN_STATES."""
+        if len(self.states) > KNOWN_STATES:
+            self.states, self.numbers, self.steps, self.found = [], {}, [], []
+            self.start = self._state({0: 0})
         state = self.start
         for c in word:
             step = self.steps[state]
@@ -321,8 +327,12 @@ def train(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out: int = 0,
     usable = labels.where("doc_id is not null and toxic is not null").where(crc_bucket(F.col("doc_id"), parts) != held_out)
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = with_groups(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
-    share = texts.agg(F.coalesce(F.avg(F.col("toxic").cast("double")), F.lit(0.0))).first()[0]
+    labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # One text of each id, however often it is stored.
+    one = labelled.groupBy("doc_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("_one"))
+    texts = with_groups(one.select("doc_id", "_one.text", "toxic"))
+    copies = stored(texts.groupBy("of", "toxic").agg(F.min("text").alias("text")), "toxicity-texts")
+    share = copies.agg(F.coalesce(F.avg(F.col("toxic").cast("double")), F.lit(0.0))).first()[0]
     if share in (0.0, 1.0):
         return Model((), np.array([30.0 if share else -30.0, *[0.0] * Reader.FEATURES]))
     terms = tuple(learn_lexicon(texts))
@@ -333,8 +343,9 @@ def train(docs: DataFrame, labels: DataFrame, parts: int = 5, held_out: int = 0,
             rows = [own.features(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_pydict({
                 "x": pa.array([r.tolist() for r in rows], pa.list_(pa.float64())), "toxic": batch.column("toxic")})
-    kind = texts.schema["toxic"].dataType.simpleString()
-    table = with_package(texts.select("text", "toxic")).mapInArrow(work, f"x array<double>, toxic {kind}").toPandas()
+    # A row of ten numbers for each text, SAMPLE of them at most.
+    kind = copies.schema["toxic"].dataType.simpleString()
+    table = with_package(copies.select("text", "toxic")).mapInArrow(work, f"x array<double>, toxic {kind}").toPandas()
     return Model(terms, fit_weights(np.stack(table["x"].to_numpy()), table["toxic"].to_numpy(float)))
 
 
