@@ -2,6 +2,7 @@ import zlib
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 
 from ticketmill.llm import toxicity
 
@@ -122,3 +123,31 @@ def test_odd_rows_and_tables_without_labels(spark, odd, nothing):
         got = toxicity.scores(odd, labels).collect()
         assert len(got) == 11 and all(0 <= r.score <= 1 for r in got)
     assert toxicity.scores(nothing, one).count() == 0
+
+
+def test_terms_of_a_batch_go_on_in_pieces(monkeypatch):
+    """What a task holds follows the pairs of one piece, not the texts that happen to share a batch."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join("".join(rng.choice(list("abcdefgh"), 9)) for _ in range(40)) for _ in range(60)]
+    batch = pa.RecordBatch.from_pydict({"text": [*texts, None], "of": [*range(60), -1]})
+    want = {(t, n) for n, text in enumerate(texts) for t in toxicity._terms_of(set(text.split()))}
+    monkeypatch.setattr(toxicity, "PAIRS", 500)
+    pieces = list(toxicity._terms(None)(iter([batch])))
+    assert max(p.num_rows for p in pieces) < 500 + 40 * 10
+    got = [pair for p in pieces for pair in zip(p.column("term").to_pylist(), p.column("of").to_pylist())]
+    assert set(got) == want and len(got) == len(want)
+
+
+def test_states_and_words_are_bounded_by_their_size(monkeypatch):
+    words = ["".join(w) for n in range(1, 7) for w in product("abc", repeat=n)]
+    whole = toxicity.Lexicon([("abab", 1.0), ("aabbaabba", 1.0), ("babaab*", 1.0)])
+    want = [whole.match(w) for w in words]
+    monkeypatch.setattr(toxicity, "KNOWN_NODES", 50)
+    small = toxicity.Lexicon([("abab", 1.0), ("aabbaabba", 1.0), ("babaab*", 1.0)])
+    assert [small.match(w) for w in words] == want
+    assert small.n_nodes < whole.n_nodes and len(small.states) < len(whole.states)
+    monkeypatch.setattr(toxicity, "KNOWN_LETTERS", 1000)
+    own = toxicity.Reader([("idiot", 5.0)])
+    for n in range(50):
+        own.features(f"{n}" * 400)
+    assert sum(map(len, own.known)) < 3000

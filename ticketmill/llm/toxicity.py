@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -43,8 +44,10 @@ LEAST_COUNT = 3  # toxic texts that must have a term, however many there are
 LEAST_RATIO = 12.0
 STEM = (4, 9)
 CONTEXT = 6
-KNOWN_WORDS = 200_000
-KNOWN_STATES = 100_000
+# What a task keeps for later words; beyond these it starts anew.
+KNOWN_WORDS, KNOWN_LETTERS = 200_000, 4_000_000
+KNOWN_STATES, KNOWN_NODES = 100_000, 1_000_000
+PAIRS = 50_000
 
 # Signs that stand for letters; quotation marks; words of reporting and of address.
 LOOKALIKE = str.maketrans("0134578@$!", "oieastbasi")
@@ -72,10 +75,12 @@ class Lexicon:
     terms: list[tuple[str, float]]
     children: list[dict[str, int]] = field(default_factory=lambda: [{}])
     ends: list[dict[bool, int]] = field(default_factory=lambda: [{}])
-    states: list[dict[int, int]] = field(default_factory=list)
-    numbers: dict[frozenset, int] = field(default_factory=dict)
-    steps: list[dict[str, int]] = field(default_factory=list)
+    # A state is its nodes and their errors, packed; numbers of states, and what follows on a letter.
+    states: list[bytes] = field(default_factory=list)
+    numbers: dict[bytes, int] = field(default_factory=dict)
+    steps: list[dict[str, int] | None] = field(default_factory=list)
     found: list[tuple[int, int] | None] = field(default_factory=list)
+    n_nodes: int = 0
 
     def __post_init__(self):
         self.allowed = [0]
@@ -122,12 +127,13 @@ class Lexicon:
                     best = min(best or (99, 0), (e, term))
                     if stem:
                         nodes[-term - 1] = min(e, nodes.get(-term - 1, 99))
-        key = frozenset(nodes.items())
+        key = array("i", [x for node in sorted(nodes.items()) for x in node]).tobytes()
         if key not in self.numbers:
             self.numbers[key] = len(self.states)
-            self.states.append(nodes)
-            self.steps.append({})
+            self.states.append(key)
+            self.steps.append(None)
             self.found.append(best)
+            self.n_nodes += len(nodes)
         return self.numbers[key]
 
     def _step(self, state: int, c: str) -> int:
@@ -136,7 +142,8 @@ class Lexicon:
         def reach(at: int, e: int) -> None:
             if at < 0 or e <= self.allowed[at]:
                 after[at] = min(e, after.get(at, 99))
-        for at, e in self.states[state].items():
+        packed = array("i", self.states[state])
+        for at, e in zip(packed[::2], packed[1::2]):
             if at < 0:
                 reach(at, e)
                 continue
@@ -146,13 +153,16 @@ class Lexicon:
         return self._state(after) if after else -1
 
     def match(self, word: str) -> tuple[int, int] | None:
-        """(errors, term) of the closest term, or None. States are built anew when there are KNOWN_STATES."""
-        if len(self.states) > KNOWN_STATES:
-            self.states, self.numbers, self.steps, self.found = [], {}, [], []
+        """(errors, term) of the closest term, or None. States are built anew when there are KNOWN_STATES or
+        they have KNOWN_NODES."""
+        if len(self.states) > KNOWN_STATES or self.n_nodes > KNOWN_NODES:
+            self.states, self.numbers, self.steps, self.found, self.n_nodes = [], {}, [], [], 0
             self.start = self._state({0: 0})
         state = self.start
         for c in word:
             step = self.steps[state]
+            if step is None:
+                step = self.steps[state] = {}
             state = step[c] if c in step else step.setdefault(c, self._step(state, c))
             if state < 0:
                 return None
@@ -160,13 +170,14 @@ class Lexicon:
 
 
 class Reader:
-    """Features of texts; what each distinct word matches is kept for KNOWN_WORDS words."""
+    """Features of texts; what each distinct word matches is kept for KNOWN_WORDS words, of KNOWN_LETTERS in all."""
 
     FEATURES = 10
 
     def __init__(self, terms: list[tuple[str, float]]):
         self.lexicon = Lexicon(terms)
         self.known: dict[str, tuple[int, float] | None] = {}
+        self.letters = 0
 
     def _look(self, raw: str) -> tuple[int, float] | None:
         word = core(raw)
@@ -178,11 +189,12 @@ class Reader:
 
     def features(self, text: str | None) -> np.ndarray:
         words = (text or "").lower().split()
-        if len(self.known) > KNOWN_WORDS:
-            self.known = {}
+        if len(self.known) > KNOWN_WORDS or self.letters > KNOWN_LETTERS:
+            self.known, self.letters = {}, 0
         known = self.known
         for w in set(words).difference(known):
             known[w] = self._look(w)
+            self.letters += len(w)
         places = [i for i, w in enumerate(words) if known[w] is not None]
         out = np.zeros(self.FEATURES)
         if not places:
@@ -223,14 +235,22 @@ def _terms(known: set[str] | None):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = set()
-            for text, group in zip(batch.column("text").to_pylist(), batch.column("of").to_pylist()):
-                terms = _terms_of(set((text or "").lower().split()))
+            for text, group in zip(batch.column("text"), batch.column("of")):
+                terms, group = _terms_of(set((text.as_py() or "").lower().split())), group.as_py()
                 rows.update((t, group) for t in (terms if known is None else terms & known))
-            yield pa.RecordBatch.from_pydict({
-                "term": pa.array([r[0] for r in rows], pa.string()), "of": pa.array([r[1] for r in rows], pa.int64())})
+                # A text has many terms: they go on as they come, not when the whole batch is read.
+                if len(rows) >= PAIRS:
+                    yield _pairs(rows)
+                    rows = set()
+            yield _pairs(rows)
     return work
 
 
+def _pairs(rows: set[tuple[str, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({
+        "term": pa.array([r[0] for r in rows], pa.string()), "of": pa.array([r[1] for r in rows], pa.int64())})
+
+
 def _counts(texts: DataFrame, known: set[str] | None) -> DataFrame:
     return with_package(texts.select("text", "of")).mapInArrow(_terms(known), "term string, of long").groupBy("term").agg(
         F.count_distinct("of").alias("n"))
