@@ -128,3 +128,8 @@ def test_scratch_needs_a_shared_folder_off_the_local_master():
 
     with pytest.raises(RuntimeError):
         scratch_root(Cluster())
+
+
+def test_days_sum_whole_counts(tables):
+    days = plan(facts.day_wide(tables.hours))
+    assert "sum(cast(total_tickets" in days and "sum(total_tickets" not in days

@@ -289,3 +289,24 @@ def test_nights_that_refresh_agree_with_full_ones(spark):
             w.daily_build(spark, wh, tickets(spark, ticket), when, (date(1998, 1, 1), date(1998, 12, 31)), refresh=refresh and number > 0)
         out.append({t: rows(wh.read(spark, t)) for t in ("mart_daily", "mart_hourly", "mart_report")})
     assert out[0] == out[1]
+
+
+def test_placed_rows_are_written_without_a_shuffle(spark):
+    path = scratch_path(spark, "placed")
+    rows = spark.range(0, 400, 1, 3).select("id", (F.col("id") % 40).alias("p"))
+    assert "rebalance" in st._clustered(rows, ["p"], [])._jdf.queryExecution().logical().toString().lower()
+    assert "rebalance" not in st._clustered(rows, ["p"], [], placed=True)._jdf.queryExecution().logical().toString().lower()
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    for _ in range(2):  # more partition values than a task keeps files open
+        st.overwrite_partitions(rows, path, ["p"], placed=True)
+    assert spark.conf.get(key) == before and before != str(st.OPEN_FILES)
+    assert sorted((r.id, r.p) for r in st.read(spark, path).collect()) == [(i, i % 40) for i in range(400)]
+
+
+def test_files_keep_the_order_of_their_cluster_columns(spark):
+    path = scratch_path(spark, "clustered")
+    rows = spark.range(0, 600, 1, 4).select((F.col("id") * 7919 % 600).alias("v"), (F.col("id") % 5).alias("p"))
+    st.replace(rows, path, ["p"], cluster_by=["v"])
+    files = {f: [r.v for r in spark.read.parquet(f).collect()] for f in st.read(spark, path).inputFiles()}
+    assert all(v == sorted(v) for v in files.values()) and sum(map(len, files.values())) == 600

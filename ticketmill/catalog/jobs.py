@@ -10,7 +10,7 @@ from ..plans import warehouse as w
 from ..plans.warehouse import AuditedRun, Warehouse
 from . import oracle as o
 from .core import AS_OF, Tables, query
-from .storage import SLICE, slices
+from .storage import SLICE, slices, two_slices
 
 c = F.col
 CALENDAR = (date(1995, 1, 1), date(2001, 12, 31))
@@ -44,8 +44,7 @@ FROM (SELECT prblm_code, year(ingested_at)::INTEGER AS arrived FROM t_raw) GROUP
 def two_nights(t: Tables):
     """Bronze after two nightly runs that were given no id: it has the rows of both."""
     wh = Warehouse(t.scratch("warehouse"), "month_sk")
-    first, second, third = slices(t.raw)
-    for rows in (first.unionByName(second), third):
+    for rows in two_slices(t.raw):
         w.daily_build(t.spark, wh, rows, AS_OF, CALENDAR)
     bronze = w.read_bronze(t.spark, wh, date(1900, 1, 1), date(2999, 1, 1))
     return bronze.groupBy(F.year("ingested_at").alias("arrived")).agg(
@@ -59,8 +58,7 @@ UNION ALL SELECT 'days', sum(total_tickets)::BIGINT FROM t_day""")
 def incremental_nights(t: Tables):
     """Each night is given the whole raw table as it is by then; the third night finds nothing new."""
     wh = Warehouse(t.scratch("warehouse"), "month_sk")
-    first, second, _ = slices(t.raw)
-    for night, raw in enumerate([first.unionByName(second), t.raw, t.raw], 1):
+    for night, raw in enumerate([two_slices(t.raw)[0], t.raw, t.raw], 1):
         w.daily_build(t.spark, wh, raw, AS_OF, CALENDAR, f"night-{night}", incremental=True)
     bronze = w.read_bronze(t.spark, wh, date(1900, 1, 1), date(2999, 1, 1))
     return reduce(DataFrame.unionByName, [
@@ -114,8 +112,8 @@ SELECT strftime(prblm_date, '%Y%m') AS value, sum(total_tickets)::DOUBLE AS tota
 def heal_late_partitions(t: Tables):
     """Late versions enter the list instead of lengthening the batch; working it off brings every day up to date."""
     wh = Warehouse(t.scratch("warehouse"), "month_sk")
-    first, second, third = slices(t.raw)
-    w.run_batch(t.spark, wh, first.unionByName(second), AS_OF, "b-1")
+    first, third = two_slices(t.raw)
+    w.run_batch(t.spark, wh, first, AS_OF, "b-1")
     w.run_batch(t.spark, wh, third, AS_OF, "b-2", heal_days=7)
     listed = w.heal(t.spark, wh, AS_OF)
     value = F.date_format("prblm_date", "yyyyMM")
@@ -126,8 +124,8 @@ def heal_late_partitions(t: Tables):
 
 def _backfilled(t: Tables, *calls: tuple[str | None, int | None]) -> DataFrame:
     wh = Warehouse(t.scratch("warehouse"), "month_sk")
-    first, second, third = slices(t.raw)
-    w.run_batch(t.spark, wh, first.unionByName(second), AS_OF, "b-1")
+    first, third = two_slices(t.raw)
+    w.run_batch(t.spark, wh, first, AS_OF, "b-1")
     w.append_bronze(wh, third, AS_OF, "b-2")
     for run_id, step in calls or [(None, None)]:
         w.backfill(t.spark, wh, date(1998, 2, 10), date(1998, 5, 20), AS_OF, run_id, step)

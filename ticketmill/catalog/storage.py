@@ -25,6 +25,12 @@ def slices(raw: DataFrame) -> list[DataFrame]:
     return [raw.where(at < low), raw.where((at >= low) & (at < high)), raw.where(at >= high)]
 
 
+def two_slices(raw: DataFrame) -> list[DataFrame]:
+    """The first two arrivals as one, and the third."""
+    high, at = fn.utc_instant(CUTS[1]), c("ingested_at")
+    return [raw.where(at < high), raw.where(at >= high)]
+
+
 RAW_NAMES = ", ".join(n for n, _ in schema.RAW_COLUMNS)
 SLICE = "CASE WHEN ingested_at < TIMESTAMP '1997-01-01' THEN 0 WHEN ingested_at < TIMESTAMP '1998-07-01' THEN 1 ELSE 2 END"
 
@@ -155,7 +161,9 @@ def upsert_guarded(t: Tables):
     path = t.scratch("silver")
     parts = slices(t.raw)
     for part in [*parts, parts[-1]]:
-        st.upsert(_silver_batch(part), path, ["prblm_code"], "month_sk", ticket_version_order())
+        # The guarded merge ranks the versions of the batch together with the stored ones.
+        rows = layers.silver_columns(layers.bronze(part, AS_OF), AS_OF).withColumn("month_sk", fn.month_sk(c("prblm_date")))
+        st.upsert(rows, path, ["prblm_code"], "month_sk", ticket_version_order())
     return st.read(t.spark, path).select(END_STATE)
 
 

@@ -16,7 +16,7 @@ from . import oracle as o
 from .core import AS_OF, TODAY, Tables, query
 from .facts import SUMMED
 from .marts import OUT_LABELS
-from .storage import LACKING, RAW_NAMES, slices, without_cells
+from .storage import LACKING, RAW_NAMES, slices, two_slices, without_cells
 
 c = F.col
 LATER = "ingested_at >= TIMESTAMP '1998-07-01'"
@@ -24,8 +24,7 @@ LATER = "ingested_at >= TIMESTAMP '1998-07-01'"
 
 def _two(raw: DataFrame) -> list[DataFrame]:
     """Two arrivals: until mid 1998, with versions of older tickets in the second."""
-    first, second, third = slices(raw)
-    return [first.unionByName(second), third]
+    return two_slices(raw)
 
 
 def _drained(t: Tables) -> tuple[str, str]:

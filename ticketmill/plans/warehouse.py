@@ -195,15 +195,15 @@ def refresh_facts(spark: SparkSession, wh: Warehouse, touched: list, as_of: date
     the way."""
     part = F.col(wh.partition_col)
 
-    def swap(table: str, df: DataFrame) -> DataFrame:
+    def swap(table: str, df: DataFrame, placed: bool = False) -> DataFrame:
         rules = row_rules(table)
-        storage.overwrite_partitions(wh.tagged(df), wh.path(table), [wh.partition_col],
+        storage.overwrite_partitions(wh.tagged(df), wh.path(table), [wh.partition_col], placed=placed,
                                      watch=checks.on(table, rules) if checks and rules else None)
         return wh.read(spark, table).where(part.isin(touched))
 
     silver = wh.read(spark, "silver").where(part.isin(touched))
     hours = swap("hour_wide", facts.hour_totals(silver, as_of))
-    swap("hour_long", facts.long_from_wide(hours))
+    swap("hour_long", facts.long_from_wide(hours), placed=True)
     swap("day_wide", facts.day_wide(hours))
     refresh_months(spark, wh, touched)
 
@@ -219,7 +219,7 @@ def refresh_months(spark: SparkSession, wh: Warehouse, touched: list) -> None:
 
 def refresh_marts(spark: SparkSession, wh: Warehouse, today: date, touched: list | None = None) -> None:
     """Serving tables. The report keeps one tier per date, since each partition is
-    written whole."""
+    written whole. All rows but today's sums lie in files of their partitions."""
     days, hours = wh.read(spark, "day_wide"), wh.read(spark, "hour_wide")
     if touched is not None:
         part = F.col(wh.partition_col)
@@ -228,7 +228,7 @@ def refresh_marts(spark: SparkSession, wh: Warehouse, today: date, touched: list
                       ("mart_hourly", marts.ticket_hourly(hours, today)),
                       ("mart_report", marts.daily_report(days, hours, today))):
         keyed = df.withColumn(wh.partition_col, wh.partition_of(F.col("date_sk")))
-        storage.overwrite_partitions(keyed, wh.path(table), [wh.partition_col])
+        storage.overwrite_partitions(keyed, wh.path(table), [wh.partition_col], placed=True)
 
 
 # -- jobs --------------------------------------------------------------------------

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from datetime import date, timedelta
 
 from py4j.protocol import Py4JJavaError
@@ -24,6 +25,9 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # What a write does with the frame that goes to the files, to count or note what passes.
 Watch = Callable[[DataFrame], DataFrame]
 
+# Files that a task keeps open; only rows of further partition values are sorted before they are written.
+OPEN_FILES = 16
+
 
 # -- file system ----------------------------------------------------------------
 
@@ -76,24 +80,37 @@ def _spread(df: DataFrame, partition_by: list[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
 
 
-def _clustered(df: DataFrame, partition_by: list[str], cluster_by: list[str]) -> DataFrame:
+def _clustered(df: DataFrame, partition_by: list[str], cluster_by: list[str], placed: bool = False) -> DataFrame:
     """Rows sorted inside each file, so that row-group statistics of the cluster
-    columns are narrow. The order starts with the partition columns, which the
-    partitioned writer needs anyway."""
-    spread = _spread(df, partition_by)
-    return spread.sortWithinPartitions(*partition_by, *cluster_by) if cluster_by else spread
+    columns are narrow. Every file gets its rows in that order, so that the
+    partition columns need no place in it."""
+    spread = df if placed else _spread(df, partition_by)
+    return spread.sortWithinPartitions(*cluster_by) if cluster_by else spread
+
+
+@contextmanager
+def _open_files(spark: SparkSession) -> Iterator[None]:
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
     """Append a batch. An empty one still leaves a typed table; where the table is
     partitioned it has no file yet and is read with its schema."""
-    _writer(_spread(df, list(partition_by)), list(partition_by)).mode("append").parquet(path)
+    with _open_files(df.sparkSession):
+        _writer(_spread(df, list(partition_by)), list(partition_by)).mode("append").parquet(path)
 
 
 def replace(df: DataFrame, path: str, partition_by: list[str] = (), cluster_by: list[str] = (),
             watch: Watch | None = None) -> None:
     rows = _clustered(df, list(partition_by), list(cluster_by))
-    _writer(watch(rows) if watch else rows, list(partition_by)).mode("overwrite").parquet(path)
+    with _open_files(df.sparkSession):
+        _writer(watch(rows) if watch else rows, list(partition_by)).mode("overwrite").parquet(path)
 
 
 def _writer(df: DataFrame, partition_by: list[str]):
@@ -101,10 +118,13 @@ def _writer(df: DataFrame, partition_by: list[str]):
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str],
-                         cluster_by: list[str] = (), watch: Watch | None = None) -> None:
-    rows = _clustered(df, partition_by, list(cluster_by))
-    ((watch(rows) if watch else rows).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+                         cluster_by: list[str] = (), watch: Watch | None = None, placed: bool = False) -> None:
+    """Replace the partitions that `df` has. Rows that were read from files of these partitions, or all
+    belong to one, are `placed`: they are written where they are, without a shuffle."""
+    rows = _clustered(df, partition_by, list(cluster_by), placed)
+    with _open_files(df.sparkSession):
+        ((watch(rows) if watch else rows).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
 
 
 def replace_slice(df: DataFrame, path: str, column: str, values: list, watch: Watch | None = None) -> None:
