@@ -124,6 +124,31 @@ def test_registry_matches_the_ticket_facts(tables):
     assert "resolution_hours_sum" not in wide.columns
 
 
+def test_registry_hours_equal_the_pivot_of_the_long_fact(spark, tables):
+    wide, pivoted = facts.registry_hours(tables.silver, AS_OF), reg.hour_wide(tables.long, TICKETS, ["month_sk"])
+    assert wide.dtypes == pivoted.dtypes and same(wide, pivoted)
+    raw = tickets(spark, {"prblm_code": "A", "prblm_perform_id": None}, {"prblm_code": "B", "prblm_source_id": None},
+                  {"prblm_code": "C", "prblm_source_id": None, "prblm_donedate": "1998-06-29 02:00:00"})
+    assert same(facts.registry_hours(build(raw), AS_OF), reg.hour_wide(facts.hour_long(build(raw), AS_OF), TICKETS, ["month_sk"]))
+
+
+def test_only_counts_are_summed_as_whole_numbers(spark):
+    registry = Registry("x", [Field("n", "N", whole=True), Field("v", "V"), Field("top", "T", hour_to_day="max", day_to_month="max"),
+                              Field("r", "R", "double", "weighted_avg", "weighted_avg", "v", "n")], ["k"])
+    agg = spark.createDataFrame([(date(2024, 1, 1), h, 202401, "k", n, v, t, datetime(2024, 1, 1))
+                                 for h, n, v, t in ((1, 3, "0.25", -2), (2, 1, "0.50", -5), (3, None, None, None))],
+                                "date_sk date, hour int, month_sk bigint, k string, n bigint, v string, top int, updated_at timestamp")
+    agg = agg.withColumn("v", F.col("v").cast("decimal(38,12)"))
+    long = reg.unpivot(agg, registry, ["date_sk", "hour", "month_sk", "k", "updated_at"])
+    pivoted, straight = reg.hour_wide(long, registry, ["month_sk"]), reg.hour_wide_from_totals(agg, registry, ["month_sk"])
+    assert pivoted.dtypes == straight.dtypes and same(pivoted, straight)
+    day = reg.day_wide(straight, registry, ["month_sk"])
+    month = reg.month_wide(day, registry)
+    assert dict(day.dtypes)["n"] == dict(month.dtypes)["n"] == "decimal(38,12)"
+    for row in (day.first(), month.first()):
+        assert (int(row.n), float(row.v), int(row.top), row.r) == (4, 0.75, -2, 0.1875)
+
+
 def test_max_is_not_floored_at_zero(spark):
     long = spark.createDataFrame([(date(2024, 1, 1), 1, "x")], "date_sk date, hour int, event_type string").select(
         "*", ACTIVITY.sk("active_users").alias("field_sk"), F.lit(-3).cast("decimal(38,12)").alias("value_decimal"),

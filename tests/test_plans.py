@@ -133,3 +133,11 @@ def test_scratch_needs_a_shared_folder_off_the_local_master():
 def test_days_sum_whole_counts(tables):
     days = plan(facts.day_wide(tables.hours))
     assert "sum(cast(total_tickets" in days and "sum(total_tickets" not in days
+
+
+@pytest.mark.parametrize("name", ["e11_registry_day_wide"])
+def test_registry_roll_ups_hold_two_aggregates_at_once(spark, name):
+    """Each aggregate of a stage keeps a hash table of the task's groups."""
+    text = plan(QUERIES[name](spark, DATA))
+    assert max(stage.count("HashAggregate(") for stage in text.split("Exchange ")) == 2
+    assert "partial_sum(cast(total_tickets" in text and "partial_sum(total_tickets" not in text

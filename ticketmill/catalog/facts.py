@@ -111,7 +111,7 @@ def registry_hour_wide(t: Tables):
 
 @query("e11_registry_day_wide", _registry_sql("t_hourw", f"prblm_date, month_sk, {o.KEYS5}"))
 def registry_day_wide(t: Tables):
-    return reg.day_wide(reg.hour_wide(t.long, TICKETS, ["month_sk"]), TICKETS, ["month_sk"])
+    return reg.day_wide(facts.registry_hours(t.silver, AS_OF), TICKETS, ["month_sk"])
 
 
 @query("e12_registry_month_wide", _registry_sql("t_hourw", f"month_sk, {o.KEYS5}"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import field_key, safe_ratio
 from ..schema import MEASURE, TICKET_DIMS
@@ -27,6 +27,7 @@ class Field:
     numerator: str | None = None
     denominator: str | None = None
     expose: bool = True
+    whole: bool = False                  # counts: never a fraction
 
     @property
     def weighted(self) -> bool:
@@ -75,16 +76,16 @@ class Registry:
 
 # The two ticket durations and their components, and the counters.
 TICKETS = Registry("ticket", [
-    Field("total_tickets", "總問題單數"),
-    Field("resolved_tickets", "已結案數"),
-    Field("one_shot_resolved", "一次結案數"),
-    Field("complain_tickets", "客訴問題單數"),
-    Field("forwarded_tickets", "轉派問題單數"),
-    Field("within_sla_tickets", "時效內問題單數"),
+    Field("total_tickets", "總問題單數", whole=True),
+    Field("resolved_tickets", "已結案數", whole=True),
+    Field("one_shot_resolved", "一次結案數", whole=True),
+    Field("complain_tickets", "客訴問題單數", whole=True),
+    Field("forwarded_tickets", "轉派問題單數", whole=True),
+    Field("within_sla_tickets", "時效內問題單數", whole=True),
     Field("resolution_hours_sum", "結案時效總和(hr)", "double", expose=False),
-    Field("resolution_hours_cnt", "有效結案時效筆數", expose=False),
+    Field("resolution_hours_cnt", "有效結案時效筆數", expose=False, whole=True),
     Field("response_hours_sum", "回覆時效總和(hr)", "double", expose=False),
-    Field("response_hours_cnt", "有效回覆時效筆數", expose=False),
+    Field("response_hours_cnt", "有效回覆時效筆數", expose=False, whole=True),
     Field("avg_resolution_hours", "平均結案時效(hr)", "double", WEIGHTED, WEIGHTED,
           "resolution_hours_sum", "resolution_hours_cnt"),
     Field("avg_response_hours", "平均回覆時效(hr)", "double", WEIGHTED, WEIGHTED,
@@ -93,29 +94,29 @@ TICKETS = Registry("ticket", [
 
 # Codes and labels of the further metric name spaces.
 ACTIVITY = Registry("activity", [
-    Field("events_count", "Events Count"),
-    Field("active_users", "Active Users", hour_to_day="max", day_to_month="max"),
-    Field("conversions", "Conversions Count", expose=False),
-    Field("sessions", "Sessions Count", expose=False),
+    Field("events_count", "Events Count", whole=True),
+    Field("active_users", "Active Users", hour_to_day="max", day_to_month="max", whole=True),
+    Field("conversions", "Conversions Count", expose=False, whole=True),
+    Field("sessions", "Sessions Count", expose=False, whole=True),
     Field("conversion_rate", "Conversion Rate", "double", WEIGHTED, WEIGHTED,
           "conversions", "sessions"),
 ], ["event_type"])
 
 ORDER_METRICS = Registry("order", [
-    Field("orders_count", "Orders Count"),
+    Field("orders_count", "Orders Count", whole=True),
     Field("revenue_amount", "Revenue Amount"),
 ], ["entity_sk"])
 
 CASES = Registry("cs", [
-    Field("ticket_count", "問題單件數"),
+    Field("ticket_count", "問題單件數", whole=True),
     Field("response_hours_sum", "回覆時效總和"),
-    Field("has_response_count", "有回覆工單數"),
+    Field("has_response_count", "有回覆工單數", whole=True),
     Field("closure_hours_sum", "結案時效總和"),
-    Field("has_closure_count", "有結案工單數"),
-    Field("sla_4hr_met_count", "4小時內回覆件數"),
-    Field("sla_8hr_met_count", "8小時內回覆件數"),
-    Field("sla_24hr_met_count", "24小時內回覆件數"),
-    Field("first_resolution_count", "一次結案件數"),
+    Field("has_closure_count", "有結案工單數", whole=True),
+    Field("sla_4hr_met_count", "4小時內回覆件數", whole=True),
+    Field("sla_8hr_met_count", "8小時內回覆件數", whole=True),
+    Field("sla_24hr_met_count", "24小時內回覆件數", whole=True),
+    Field("first_resolution_count", "一次結案件數", whole=True),
 ], ["entity_sk"], date="event_date", hour="event_hour")
 
 # Spec name spaces, for dim_field.
@@ -152,9 +153,26 @@ def _pick(registry: Registry, code: str) -> Column:
     return F.when(F.col("field_sk") == registry.sk(code), F.col(f.value_column))
 
 
+def _kind(registry: Registry, code: str) -> T.DataType:
+    return T.DoubleType() if registry._by_code[code].value_type == "double" else MEASURE
+
+
 def _zero(registry: Registry, code: str) -> Column:
-    kind = "double" if registry._by_code[code].value_type == "double" else MEASURE
-    return F.lit(0).cast(kind)
+    return F.lit(0).cast(_kind(registry, code))
+
+
+def _sum(value: Column, kind: T.DataType, whole: bool) -> Column:
+    """Counts are summed as whole numbers: the buffer of a decimal sum takes four times the memory
+    in every hash table on the way. The type of the result is the same."""
+    if whole and isinstance(kind, T.DecimalType):
+        return F.sum(value.cast("bigint")).cast(T.DecimalType(min(kind.precision + 10, 38), kind.scale))
+    return F.sum(value)
+
+
+def _sum_picked(registry: Registry, code: str) -> Column:
+    """Sum of a field's long rows, 0 where there are none."""
+    total = _sum(_pick(registry, code), _kind(registry, code), registry._by_code[code].whole)
+    return F.coalesce(total, _zero(registry, code))
 
 
 def pivot_columns(registry: Registry, codes: list[str] | None = None) -> list[Column]:
@@ -167,9 +185,8 @@ def pivot_columns(registry: Registry, codes: list[str] | None = None) -> list[Co
     for f in registry.stored:
         if codes is not None and f.code not in codes:
             continue
-        agg = ADDITIVE[f.hour_to_day](_pick(registry, f.code))
-        out.append((F.coalesce(agg, _zero(registry, f.code)) if f.hour_to_day == "sum" else agg)
-                   .alias(f.code))
+        out.append((_sum_picked(registry, f.code) if f.hour_to_day == "sum"
+                    else ADDITIVE[f.hour_to_day](_pick(registry, f.code))).alias(f.code))
     return out
 
 
@@ -179,8 +196,7 @@ def hour_wide(long: DataFrame, registry: Registry, extra_keys: list[str] = ()) -
     cols = []
     for f in registry.exposed:
         if f.weighted:
-            cols += [F.coalesce(F.sum(_pick(registry, part)), _zero(registry, part))
-                     .alias(f"{f.code}_{suffix}")
+            cols += [_sum_picked(registry, part).alias(f"{f.code}_{suffix}")
                      for part, suffix in ((f.numerator, "num"), (f.denominator, "den"))]
         else:
             cols += pivot_columns(registry, [f.code])
@@ -188,12 +204,39 @@ def hour_wide(long: DataFrame, registry: Registry, extra_keys: list[str] = ()) -
                         registry, keys)
 
 
+def hour_wide_from_totals(agg: DataFrame, registry: Registry, extra_keys: list[str] = ()) -> DataFrame:
+    """hour_wide straight from the aggregate that unpivot takes, one row per hour and entity.
+
+    Equal to pivoting its unpivoted rows, as a map: a task that goes on to the days then holds no
+    hash tables of a partial and a final pivot besides those of the hours and the days.
+    """
+    keys = [registry.date, registry.hour, *extra_keys, *registry.dims]
+
+    def cell(code: str) -> Column:
+        value = F.col(code).cast(_kind(registry, code))
+        return F.coalesce(value, _zero(registry, code)) if registry._by_code[code].hour_to_day == "sum" else value
+
+    cols = []
+    for f in registry.exposed:
+        if f.weighted:
+            cols += [F.coalesce(cell(part), _zero(registry, part)).alias(f"{f.code}_{suffix}")
+                     for part, suffix in ((f.numerator, "num"), (f.denominator, "den"))]
+        else:
+            cols.append(cell(f.code).alias(f.code))
+    return _with_ratios(agg.select(*keys, *cols, "updated_at"), registry, keys)
+
+
 def roll_up(wide: DataFrame, registry: Registry, keys: list[str], hop: str) -> DataFrame:
     """One hop coarser: additive fields by their rule, ratios from summed parts."""
+    def total(name: str, code: str) -> Column:
+        return _sum(F.col(name), wide.schema[name].dataType, registry._by_code[code].whole).alias(name)
+
     cols = []
     for f in registry.exposed:
         if f.weighted:
-            cols += [F.sum(f"{f.code}_{part}").alias(f"{f.code}_{part}") for part in ("num", "den")]
+            cols += [total(f"{f.code}_num", f.numerator), total(f"{f.code}_den", f.denominator)]
+        elif getattr(f, hop) == "sum":
+            cols.append(total(f.code, f.code))
         else:
             cols.append(ADDITIVE[getattr(f, hop)](f.code).alias(f.code))
     return _with_ratios(wide.groupBy(*keys).agg(*cols, F.max("updated_at").alias("updated_at")),

@@ -64,6 +64,13 @@ def hour_totals(silver: DataFrame, as_of: datetime) -> DataFrame:
                       *[cell(f) for f in [*COUNTS, *PARTS]], fn.utc_instant(as_of).alias("updated_at"))
 
 
+def registry_hours(silver: DataFrame, as_of: datetime) -> DataFrame:
+    """The registry's hourly facts straight from silver; equal to its pivot of the long fact."""
+    agg = hour_agg(silver).withColumns({"month_sk": fn.month_sk(F.col("prblm_date")),
+                                        "updated_at": fn.utc_instant(as_of)})
+    return reg.hour_wide_from_totals(agg, TICKETS, ["month_sk"])
+
+
 def long_from_wide(wide: DataFrame) -> DataFrame:
     """Narrow form of stored hours: a map over the rows, without an aggregate."""
     fields = {**{c: F.col(c) for c in COUNTS},
