@@ -135,7 +135,7 @@ def test_days_sum_whole_counts(tables):
     assert "sum(cast(total_tickets" in days and "sum(total_tickets" not in days
 
 
-@pytest.mark.parametrize("name", ["e11_registry_day_wide"])
+@pytest.mark.parametrize("name", ["e11_registry_day_wide", "e12_registry_month_wide"])
 def test_registry_roll_ups_hold_two_aggregates_at_once(spark, name):
     """Each aggregate of a stage keeps a hash table of the task's groups."""
     text = plan(QUERIES[name](spark, DATA))

@@ -116,7 +116,7 @@ def registry_day_wide(t: Tables):
 
 @query("e12_registry_month_wide", _registry_sql("t_hourw", f"month_sk, {o.KEYS5}"))
 def registry_month_wide(t: Tables):
-    days = reg.day_wide(reg.hour_wide(t.long, TICKETS, ["month_sk"]), TICKETS, ["month_sk"])
+    days = reg.day_wide(facts.registry_hours(t.silver, AS_OF), TICKETS, ["month_sk"])
     return reg.month_wide(days, TICKETS)
 
 
